@@ -77,7 +77,7 @@ def running_total(
             "__before": F.coalesce(
                 F.sum("__part").over(everything.orderBy(_RANGE).rowsBetween(*_EARLIER)), F.lit(0)
             ),
-            "__all": F.sum("__part").over(everything),
+            "__whole": F.sum("__part").over(everything),
         }
     ).drop("__part")
     within = Window.partitionBy(_RANGE, *by).orderBy(*order).rowsBetween(*_SO_FAR)
@@ -85,8 +85,8 @@ def running_total(
         running, F.sum("__weight").over(within) + F.col("__before")
     )
     if group_total:
-        scanned = scanned.withColumn(group_total, F.col("__all"))
-    return scanned.drop("__weight", "__before", "__all", _RANGE)
+        scanned = scanned.withColumn(group_total, F.col("__whole"))
+    return scanned.drop("__weight", "__before", "__whole", _RANGE)
 
 
 def carry_last(

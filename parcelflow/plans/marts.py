@@ -32,7 +32,7 @@ _TIE_BREAKS = (
 
 def flat_extract(star: Star, first: int = 2021, last: int = 2024) -> DataFrame:
     """Q0: sales of some years with every dimension, and their number on each row."""
-    sales = _star_rows(star, star.facts_of_years(first, last), years=(first, last))
+    sales = star_rows(star, star.facts_of_years(first, last), years=(first, last))
     shown = (*_MEASURES, "commune", "code_departement", "nature_mutation", "annee", "type_local")
     return _with_date(sales, "date_transaction_f", shown, total="total_lignes")
 
@@ -206,7 +206,7 @@ def yearly_change_per_department(star: Star) -> DataFrame:
 
 def flat_extract_v2(star: Star, first: int = 2021, last: int = 2024) -> DataFrame:
     """Q13: as Q0, with its columns in another order."""
-    sales = _star_rows(star, star.facts_of_years(first, last), years=(first, last))
+    sales = star_rows(star, star.facts_of_years(first, last), years=(first, last))
     shown = (*_MEASURES, "commune", "code_departement", "nature_mutation", "type_local", "annee")
     return _with_date(sales, "date_transaction", shown, total="nombre_de_lignes")
 
@@ -214,14 +214,14 @@ def flat_extract_v2(star: Star, first: int = 2021, last: int = 2024) -> DataFram
 def extract_keeping_untyped(star: Star, first: int = 2023, last: int = 2024) -> DataFrame:
     """Q14: sales of some years, also those without a known property type."""
     facts = star.facts_of_years(first, last)
-    sales = _star_rows(star, facts, local="left", years=(first, last))
+    sales = star_rows(star, facts, local="left", years=(first, last))
     shown = (*_MEASURES, "commune", "code_departement", "nature_mutation", "type_local", "annee")
     return _with_date(sales, "date_transaction", shown)
 
 
 def inner_star_count(star: Star) -> DataFrame:
     """Q15: number of sales found in every dimension."""
-    return _star_rows(star, star.facts).agg(F.count(F.lit(1)).alias("nombre_de_lignes"))
+    return star_rows(star, star.facts).agg(F.count(F.lit(1)).alias("nombre_de_lignes"))
 
 
 def left_star(star: Star) -> DataFrame:
@@ -237,23 +237,16 @@ def left_star_with_year(star: Star) -> DataFrame:
 
 
 def full_outer_on_time(star: Star) -> DataFrame:
-    """Q18: as Q17, with the dates on which nothing was sold.
-
-    A full outer join cannot broadcast either side. Each sale meets at most one
-    date, so it is a left join and the dates without a sale.
-    """
-    sales = _every_star_row(star)
-    sold_on = star.facts.select("id_temps").distinct()
-    no_sale = star.tables["dim_temps"].join(sold_on, "id_temps", "left_anti")
-    rows = sales.unionByName(no_sale, allowMissingColumns=True)
-    counted = star.facts.select("id_temps").unionByName(no_sale.select("id_temps"))
+    """Q18: as Q17, with the dates on which nothing was sold."""
+    rows = full_outer_rows(star)
+    counted = star.facts.select("id_temps").unionByName(_unsold_dates(star).select("id_temps"))
     shown = (*_MEASURES, "commune", "code_departement", "nature_mutation", "type_local", "annee")
     return _sorted_extract(rows, shown, "nombre_de_lignes", counted, by_year=True)
 
 
 def extract_from_time(star: Star) -> DataFrame:
     """Q19: sales of all years, asked from the time dimension."""
-    sales = _star_rows(star, star.facts)
+    sales = star_rows(star, star.facts)
     shown = (VALUE, "code_departement", "nature_mutation", "type_local")
     return _with_date(sales, "date_transaction", shown, total="nombre_de_lignes")
 
@@ -263,21 +256,7 @@ def count_on_every_fact(star: Star) -> DataFrame:
     return with_total(star.facts.select(), "nombre_de_lignes")
 
 
-def _in_years(star: Star, facts: DataFrame, years: tuple[int, int]) -> DataFrame:
-    dated = star.lookup(facts, "dim_temps", ["annee"])
-    return dated.where(F.col("annee").between(*years))
-
-
-def _dated_and_typed(star: Star) -> DataFrame:
-    dated = star.lookup(star.facts, "dim_temps", ["annee"])
-    return star.lookup(dated, "dim_local", ["type_local"])
-
-
-def _partial_means(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return facts.groupBy(*keys).agg(F.sum(VALUE).alias("somme"), F.count(VALUE).alias("nombre"))
-
-
-def _star_rows(
+def star_rows(
     star: Star,
     facts: DataFrame,
     how: str = "inner",
@@ -293,8 +272,33 @@ def _star_rows(
     return star.lookup(rows, "dim_commune", ["commune", "code_departement"], how)
 
 
-def _every_star_row(star: Star) -> DataFrame:
-    return _star_rows(star, star.facts, how="left")
+def full_outer_rows(star: Star) -> DataFrame:
+    """Facts with the columns of all four dimensions, and the dates without a fact.
+
+    A full outer join on time cannot broadcast either side. Each fact meets at
+    most one date, so the result is a left join and the dates nothing meets.
+    """
+    sales = star_rows(star, star.facts, how="left")
+    return sales.unionByName(_unsold_dates(star), allowMissingColumns=True)
+
+
+def _unsold_dates(star: Star) -> DataFrame:
+    sold_on = star.facts.select("id_temps").distinct()
+    return star.tables["dim_temps"].join(sold_on, "id_temps", "left_anti")
+
+
+def _in_years(star: Star, facts: DataFrame, years: tuple[int, int]) -> DataFrame:
+    dated = star.lookup(facts, "dim_temps", ["annee"])
+    return dated.where(F.col("annee").between(*years))
+
+
+def _dated_and_typed(star: Star) -> DataFrame:
+    dated = star.lookup(star.facts, "dim_temps", ["annee"])
+    return star.lookup(dated, "dim_local", ["type_local"])
+
+
+def _partial_means(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return facts.groupBy(*keys).agg(F.sum(VALUE).alias("somme"), F.count(VALUE).alias("nombre"))
 
 
 def _with_date(
@@ -306,7 +310,7 @@ def _with_date(
 
 def _left_extract(star: Star, shown: Sequence[str], total: str, by_year: bool) -> DataFrame:
     # Ids are unique in a dimension, so a left join keeps the number of facts.
-    return _sorted_extract(_every_star_row(star), shown, total, star.facts, by_year)
+    return _sorted_extract(star_rows(star, star.facts, how="left"), shown, total, star.facts, by_year)
 
 
 def _sorted_extract(
