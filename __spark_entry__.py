@@ -156,8 +156,7 @@ def _dimension(name: str) -> Callable[[Layers], DataFrame]:
 
 
 def _keyed(layers: Layers, **options: int) -> DataFrame:
-    dimensions = {spec.name: op.build_dimension(layers.silver, spec) for spec in op.DIMENSIONS}
-    keyed = op.attach_keys(layers.silver, dimensions, **options)
+    keyed = op.attach_keys(layers.silver, op.build_dimensions(layers.silver), **options)
     return keyed.select(ID, "valeur_fonciere", *ALL_IDS)
 
 

@@ -19,17 +19,18 @@ EXACT_TYPE = "decimal(20,6)"
 def lenient_int(text: Column) -> Column:
     """Integer value of a text column, NULL where it is not a number.
 
-    A fractional part is cut off ("12.7" gives 12), as a non-ANSI cast does.
+    A fractional part is cut off ("12.7" gives 12), as a non-ANSI cast does. The
+    pattern is tried only on text that is no whole number.
     """
     whole = F.regexp_replace(
         text, r"^\s*(?<sign>[+-]?)(?<digits>\d*)\.\d*\s*$", "${sign}0${digits}"
     )
-    return whole.try_cast("int")
+    return F.coalesce(text.try_cast("int"), whole.try_cast("int"))
 
 
 def lenient_double(text: Column, decimal_comma: bool = False) -> Column:
     """Double value of a text column, NULL where it is not a number."""
-    plain = F.regexp_replace(text, ",", ".") if decimal_comma else text
+    plain = F.replace(text, F.lit(","), F.lit(".")) if decimal_comma else text
     return plain.try_cast("double")
 
 

@@ -29,6 +29,7 @@ from parcelflow.operators.star import (
     Star,
     attach_keys,
     build_dimension,
+    build_dimensions,
     build_star,
     load_star,
     star_integrity,
@@ -41,6 +42,7 @@ __all__ = [
     "Star",
     "attach_keys",
     "build_dimension",
+    "build_dimensions",
     "build_star",
     "carry_forward",
     "carry_last",

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.sources.staging import Staged, measure, stage
+from parcelflow.sources.staging import measure, stage
 
 # A dimension is broadcast only if its measured size stays below this.
 BROADCAST_BYTES = 64 << 20
@@ -24,6 +24,8 @@ def dimension_join(
     null_safe: bool = False,
     dim_bytes: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
+    hot: DataFrame | None = None,
+    grouped: bool = False,
 ) -> DataFrame:
     """Inner or left join of ``facts`` with ``dim`` on columns of the same name.
 
@@ -32,6 +34,10 @@ def dimension_join(
     moves no fact. Otherwise both sides are shuffled on the keys, and the facts
     of every hot key are spread over salts, with that key's dimension row
     repeated once per salt.
+
+    ``hot`` gives hot keys that are known already; which keys are taken as hot
+    never changes the result. With ``grouped``, facts have been aggregated per
+    key, so none is hot.
     """
     if how not in ("inner", "left"):
         raise ValueError("how is 'inner' or 'left'")
@@ -40,7 +46,9 @@ def dimension_join(
         return _lookup(facts, F.broadcast(dim), keys, how, null_safe)
     if how == "inner" and not null_safe:
         facts = facts.dropna(subset=list(keys))
-    hot = F.broadcast(hot_keys(facts, keys).df)
+    if grouped:
+        return _lookup(facts, dim, keys, how, null_safe)
+    hot = F.broadcast(hot_keys(facts, keys) if hot is None else hot)
     spread_over = F.coalesce("__salts", F.lit(1))
     salted = _lookup(facts, hot, keys, "left", null_safe=True).withColumn(
         "__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]), spread_over)
@@ -54,7 +62,7 @@ def dimension_join(
     return joined.drop("__salt")
 
 
-def hot_keys(facts: DataFrame, keys: Sequence[str]) -> Staged:
+def hot_keys(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys above the hot share and the number of salts for each.
 
     Staged, so that both sides of a join see the same salts, and bounded: the
@@ -64,7 +72,7 @@ def hot_keys(facts: DataFrame, keys: Sequence[str]) -> Staged:
     all_rows = counts.agg(F.sum("__n")).scalar()
     share = F.col("__n") / (all_rows * F.lit(HOT_SHARE))
     hot = counts.where(share > 1).select(*keys, F.ceil(share).alias("__salts"))
-    return stage(hot, "hot-keys")
+    return stage(hot, "hot-keys").df
 
 
 def _lookup(

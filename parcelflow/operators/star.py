@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.operators.joins import BROADCAST_BYTES, dimension_join
+from parcelflow.operators.joins import BROADCAST_BYTES, dimension_join, hot_keys
 from parcelflow.operators.ordered import SINGLE_TASK_ROWS, surrogate_key
 from parcelflow.sources.layers import read_layer
 from parcelflow.sources.staging import Staged, measure, stage
@@ -62,6 +63,7 @@ class Star:
     tables: Mapping[str, DataFrame]
     dim_bytes: Mapping[str, int]
     broadcast_bytes: int = BROADCAST_BYTES
+    _hot: dict[str, DataFrame] = field(default_factory=dict)
 
     @property
     def facts(self) -> DataFrame:
@@ -75,10 +77,19 @@ class Star:
         return facts
 
     def lookup(
-        self, facts: DataFrame, name: str, columns: Sequence[str], how: str = "inner"
+        self,
+        facts: DataFrame,
+        name: str,
+        columns: Sequence[str],
+        how: str = "inner",
+        grouped: bool = False,
     ) -> DataFrame:
-        """Add columns of a dimension to rows that hold its id."""
+        """Add columns of a dimension to rows that hold its id.
+
+        ``grouped`` says that the rows have been aggregated per id.
+        """
         spec = next(d for d in DIMENSIONS if d.name == name)
+        spread = self.dim_bytes[name] > self.broadcast_bytes and not grouped
         return dimension_join(
             facts,
             self.tables[name].select(spec.id_column, *columns),
@@ -86,16 +97,41 @@ class Star:
             how,
             dim_bytes=self.dim_bytes[name],
             broadcast_bytes=self.broadcast_bytes,
+            hot=self._hot_ids(spec) if spread else None,
+            grouped=grouped,
         )
 
+    def _hot_ids(self, spec: DimensionSpec) -> DataFrame:
+        if spec.name not in self._hot:
+            self._hot[spec.name] = hot_keys(self.facts, [spec.id_column])
+        return self._hot[spec.name]
+
 
 def build_dimension(
-    clean: DataFrame, spec: DimensionSpec, single_task_rows: int = SINGLE_TASK_ROWS
+    clean: DataFrame,
+    spec: DimensionSpec,
+    base: str | None = None,
+    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> Staged:
-    """Distinct key tuples, numbered in the order of all key columns, NULLs first."""
+    """Distinct key tuples, numbered in the order of all key columns, NULLs first.
+
+    Written below ``base``, or to the shared folder.
+    """
     keys = clean.select(*spec.columns).distinct()
     numbered = surrogate_key(keys, spec.id_column, spec.columns, single_task_rows)
-    return stage(numbered, spec.name)
+    return stage(numbered, spec.name, base=base)
+
+
+def build_dimensions(
+    clean: DataFrame, base: str | None = None, single_task_rows: int = SINGLE_TASK_ROWS
+) -> dict[str, Staged]:
+    """All dimensions by name; their jobs do not depend on each other and overlap."""
+
+    def build(spec: DimensionSpec) -> Staged:
+        return build_dimension(clean, spec, base, single_task_rows)
+
+    with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
+        return {spec.name: dim for spec, dim in zip(DIMENSIONS, pool.map(build, DIMENSIONS))}
 
 
 def attach_keys(
@@ -111,8 +147,9 @@ def attach_keys(
     keyed = clean
     for spec in DIMENSIONS:
         dim = dimensions[spec.name]
+        hot = hot_keys(clean, spec.columns) if dim.bytes > broadcast_bytes else None
         keyed = dimension_join(
-            keyed, dim.df, spec.columns, "left", null_safe, dim.bytes, broadcast_bytes
+            keyed, dim.df, spec.columns, "left", null_safe, dim.bytes, broadcast_bytes, hot
         )
     return keyed
 
@@ -120,13 +157,17 @@ def attach_keys(
 def build_star(
     clean: DataFrame,
     null_safe: bool = False,
+    base: str | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> Star:
-    """Build the star of a clean table, which is best a written one: it is read five times."""
-    dimensions = {s.name: build_dimension(clean, s, single_task_rows) for s in DIMENSIONS}
+    """Build and write the star of a clean table, which is best a written one: it is read often.
+
+    The tables go below ``base``, or to the shared folder.
+    """
+    dimensions = build_dimensions(clean, base, single_task_rows)
     facts = attach_keys(clean, dimensions, null_safe, broadcast_bytes)
-    staged = stage(facts.select(*FACT_COLUMNS, "annee"), FACTS, partition_by=["annee"])
+    staged = stage(facts.select(*FACT_COLUMNS, "annee"), FACTS, ["annee"], base)
     tables = {name: dim.df for name, dim in dimensions.items()}
     sizes = {name: dim.bytes for name, dim in dimensions.items()}
     return Star({**tables, FACTS: staged.df}, sizes, broadcast_bytes)

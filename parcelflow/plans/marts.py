@@ -52,7 +52,7 @@ def top_communes(star: Star, k: int = 10, year: int | None = None) -> DataFrame:
         facts = _in_years(star, star.facts_of_years(year, year), (year, year))
     per_id = facts.groupBy("id_commune").agg(F.count(VALUE).alias("ventes"))
     per_commune = (
-        star.lookup(per_id, "dim_commune", ["commune"])
+        star.lookup(per_id, "dim_commune", ["commune"], grouped=True)
         .groupBy("commune")
         .agg(F.sum("ventes").alias("nombre_transaction"))
     )
@@ -90,7 +90,7 @@ def price_per_square_metre(star: Star) -> DataFrame:
     )
     ratio = safe_ratio(F.sum("valeur").cast("double"), F.sum("surface").cast("double"))
     prices = (
-        star.lookup(per_id, "dim_commune", ["commune", "code_departement"])
+        star.lookup(per_id, "dim_commune", ["commune", "code_departement"], grouped=True)
         .groupBy("type_local", "commune", "code_departement")
         .agg(ratio.alias("prix_m2_moyen"))
     )
@@ -101,7 +101,7 @@ def dearest_sale_per_commune(star: Star, year: int = 2023) -> DataFrame:
     """Q7: highest value in each commune in one year; the first of a ranking is a maximum."""
     sales = _in_years(star, star.facts_of_years(year, year), (year, year))
     per_id = sales.groupBy("id_commune").agg(F.max(VALUE).alias(VALUE))
-    named = star.lookup(per_id, "dim_commune", ["commune"])
+    named = star.lookup(per_id, "dim_commune", ["commune"], grouped=True)
     return named.groupBy("commune").agg(F.max(VALUE).alias(VALUE)).orderBy(F.desc(VALUE), "commune")
 
 
@@ -124,7 +124,7 @@ def department_gap(star: Star) -> DataFrame:
     """Q9: mean value by department against the unweighted mean of those means."""
     per_id = _partial_means(star.facts, ["id_commune"])
     means = (
-        star.lookup(per_id, "dim_commune", ["code_departement"])
+        star.lookup(per_id, "dim_commune", ["code_departement"], grouped=True)
         .groupBy("code_departement")
         .agg(mean_of_partials("somme", "nombre").alias("prix_moyen_departement"))
     )
@@ -153,7 +153,7 @@ def commune_attractiveness(star: Star) -> DataFrame:
         F.count(VALUE).alias("ventes"), exact_sum(VALUE).alias("valeur")
     )
     totals = (
-        star.lookup(per_id, "dim_commune", ["commune"])
+        star.lookup(per_id, "dim_commune", ["commune"], grouped=True)
         .groupBy("commune", "annee")
         .agg(
             F.sum("ventes").alias("nombre_transactions_imo"),
@@ -192,7 +192,7 @@ def yearly_change_per_department(star: Star) -> DataFrame:
     dated = star.lookup(star.facts, "dim_temps", ["annee"])
     per_id = _partial_means(dated, ["id_commune", "annee"])
     means = (
-        star.lookup(per_id, "dim_commune", ["code_departement"])
+        star.lookup(per_id, "dim_commune", ["code_departement"], grouped=True)
         .groupBy("annee", "code_departement")
         .agg(mean_of_partials("somme", "nombre").alias("prix_moyn"))
     )

@@ -44,6 +44,5 @@ def run(
     clean_rows = read_layer(spark, silver, [SILVER_TABLE])[SILVER_TABLE]
 
     gold = f"{out}/gold"
-    star = build_star(clean_rows, null_safe)
-    write_layer(star.tables, gold, {"facts": ["annee"]})
+    build_star(clean_rows, null_safe, gold)
     return load_star(spark, gold)

@@ -42,7 +42,7 @@ class Layers:
     def bronze(self) -> DataFrame:
         """Raw text rows of both extracts, with the year of the extract."""
         with self._lock:
-            return stage(self._raw(), "bronze", partition_by=[SOURCE_COLUMN]).df
+            return stage(self._raw(), "bronze").df
 
     @cached_property
     def silver(self) -> DataFrame:

@@ -43,17 +43,24 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/parcelflow/{spark.conf.get('spark.app.id')}"
 
 
-def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> Staged:
-    """Write ``df`` to the shared folder and return the table read back."""
+def stage(
+    df: DataFrame, name: str, partition_by: Sequence[str] = (), base: str | None = None
+) -> Staged:
+    """Write ``df`` and return the table read back.
+
+    It goes to a new folder of the shared one, or replaces ``base/name``.
+    Partitioned tables are rebalanced on their partition columns, as in
+    ``write_layer``.
+    """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid4().hex}" if base is None else f"{base}/{name}"
     seen = Observation()
     observed = df.observe(
         seen, F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df)).alias("bytes")
     )
     if partition_by:
         observed = observed.hint("rebalance", *partition_by)
-    observed.write.partitionBy(*partition_by).parquet(path)
+    observed.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     table = spark.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
     return Staged(table, seen.get["rows"] or 0, seen.get["bytes"] or 0)
 

@@ -110,6 +110,13 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_join_of_grouped_rows(spark, skewed):
+    dim = spark.createDataFrame([(k, f"name {k}") for k in range(1, 30)], "g int, name string")
+    counts = skewed.groupBy("g").count()
+    large = dimension_join(counts, dim, ["g"], "inner", broadcast_bytes=0, grouped=True)
+    assert bag(large) == bag(counts.join(dim, "g"))
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("null_safe", [False, True])
 def test_salted_join(spark, skewed, how, null_safe, monkeypatch):
@@ -125,7 +132,7 @@ def test_salted_join(spark, skewed, how, null_safe, monkeypatch):
 
 def test_hot_keys_are_spread(spark, skewed, monkeypatch):
     monkeypatch.setattr(joins, "HOT_SHARE", 1 / 20)
-    hot = {r.g: r["__salts"] for r in joins.hot_keys(skewed, ["g"]).df.collect()}
+    hot = {r.g: r["__salts"] for r in joins.hot_keys(skewed, ["g"]).collect()}
     assert hot[1] == 7 and len(hot) <= 20
 
 
