@@ -24,7 +24,7 @@ def dimension_join(
     null_safe: bool = False,
     dim_bytes: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot: DataFrame | None = None,
+    counted: DataFrame | None = None,
     grouped: bool = False,
 ) -> DataFrame:
     """Inner or left join of ``facts`` with ``dim`` on columns of the same name.
@@ -35,9 +35,9 @@ def dimension_join(
     of every hot key are spread over salts, with that key's dimension row
     repeated once per salt.
 
-    ``hot`` gives hot keys that are known already; which keys are taken as hot
-    never changes the result. With ``grouped``, facts have been aggregated per
-    key, so none is hot.
+    Hot keys are counted in ``counted``, a cheaper frame with the keys of
+    ``facts``; which keys are taken as hot never changes the result. With
+    ``grouped``, facts have been aggregated per key, so none is hot.
     """
     if how not in ("inner", "left"):
         raise ValueError("how is 'inner' or 'left'")
@@ -48,7 +48,7 @@ def dimension_join(
         facts = facts.dropna(subset=list(keys))
     if grouped:
         return _lookup(facts, dim, keys, how, null_safe)
-    hot = F.broadcast(hot_keys(facts, keys) if hot is None else hot)
+    hot = F.broadcast(hot_keys(facts if counted is None else counted, keys))
     spread_over = F.coalesce("__salts", F.lit(1))
     salted = _lookup(facts, hot, keys, "left", null_safe=True).withColumn(
         "__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]), spread_over)

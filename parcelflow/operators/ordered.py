@@ -57,36 +57,24 @@ def running_total(
     weight: Column,
     running: str,
     by: Sequence[str] = (),
-    group_total: str | None = None,
     single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
-    """Running sum of integer weights in a total order, per group of ``by``.
-
-    ``group_total`` also adds the sum of each whole group.
-    """
+    """Running sum of integer weights in a total order, per group of ``by``."""
     ranges = _in_ranges(df.withColumn("__weight", weight), by, order)
-    everything = Window.partitionBy(*by)
     if ranges.rows <= single_task_rows:
-        sums = {running: F.sum("__weight").over(everything.orderBy(*order).rowsBetween(*_SO_FAR))}
-        if group_total:
-            sums[group_total] = F.sum("__weight").over(everything)
-        return ranges.df.withColumns(sums).drop("__weight", _RANGE)
-    parts = ranges.df.groupBy(_RANGE, *by).agg(F.sum("__weight").alias("__part"))
-    offsets = parts.withColumns(
-        {
-            "__before": F.coalesce(
-                F.sum("__part").over(everything.orderBy(_RANGE).rowsBetween(*_EARLIER)), F.lit(0)
-            ),
-            "__whole": F.sum("__part").over(everything),
-        }
-    ).drop("__part")
+        so_far = Window.partitionBy(*by).orderBy(*order).rowsBetween(*_SO_FAR)
+        return ranges.df.withColumn(running, F.sum("__weight").over(so_far)).drop("__weight", _RANGE)
+    sums = ranges.df.groupBy(_RANGE, *by).agg(F.sum("__weight").alias("__range_sum"))
+    earlier = Window.partitionBy(*by).orderBy(_RANGE).rowsBetween(*_EARLIER)
+    offsets = sums.select(
+        _RANGE, *by, F.coalesce(F.sum("__range_sum").over(earlier), F.lit(0)).alias("__offset")
+    )
     within = Window.partitionBy(_RANGE, *by).orderBy(*order).rowsBetween(*_SO_FAR)
-    scanned = _with_range_row(ranges.df, offsets, by).withColumn(
-        running, F.sum("__weight").over(within) + F.col("__before")
+    return (
+        _with_range_row(ranges.df, offsets, by)
+        .withColumn(running, F.sum("__weight").over(within) + F.col("__offset"))
+        .drop("__weight", "__offset", _RANGE)
     )
-    if group_total:
-        scanned = scanned.withColumn(group_total, F.col("__whole"))
-    return scanned.drop("__weight", "__before", "__whole", _RANGE)
 
 
 def carry_last(
@@ -152,24 +140,51 @@ def exact_median(
 ) -> DataFrame:
     """Median per group with linear interpolation, as ``percentile_cont(0.5)``.
 
-    The distinct values of a group are counted and scanned in order, so no task
-    holds a whole group.
+    A first pass counts the values of each group per bucket of a logarithmic
+    scale and finds the buckets that hold the middle. A second pass counts the
+    distinct values of those buckets alone, which are then scanned in order.
+    Neither pass shuffles the rows, and no task holds a whole group.
     """
-    counts = df.groupBy(*by, value).agg(F.count(value).alias("__n"))
-    scanned = running_total(
-        counts, [F.col(value).asc()], F.col("__n"), "__upto", by, "__all", single_task_rows
+    bucketed = df.select(*by, value, _bucket(F.col(value)).alias("__bucket"))
+    per_bucket = bucketed.groupBy(*by, "__bucket").agg(F.count(value).alias("__n"))
+    group = Window.partitionBy(*by)
+    placed = per_bucket.withColumns(
+        {
+            "__upto": F.sum("__n").over(group.orderBy("__bucket").rowsBetween(*_SO_FAR)),
+            "__all": F.sum("__n").over(group),
+        }
+    )
+    holds_middle = F.expr(f"__upto >= {_LOW} AND __upto - __n < {_HIGH}")
+    before = F.min(F.col("__upto") - F.col("__n")).over(group)
+    middle = stage(
+        placed.where(holds_middle).select(*by, "__bucket", "__all", before.alias("__before")),
+        "middle-buckets",
+    )
+    near = dimension_join(
+        bucketed, middle.df, [*by, "__bucket"], "inner", null_safe=True, dim_bytes=middle.bytes
     )
+    counts = near.groupBy(*by, value, "__before", "__all").agg(F.count(value).alias("__n"))
+    scanned = running_total(
+        counts, [F.col(value).asc()], F.col("__n"), "__seen", by, single_task_rows=single_task_rows
+    ).withColumn("__upto", F.col("__before") + F.col("__seen"))
 
-    def value_at(position: str) -> Column:
-        place = F.expr(position)
-        reached = (F.col("__upto") >= place) & (F.col("__upto") - F.col("__n") < place)
+    def value_at(place: str) -> Column:
+        reached = F.expr(f"__upto >= {place} AND __upto - __n < {place}")
         return F.max(F.when(reached, F.col(value)))
 
-    middle = scanned.groupBy(*by).agg(
-        value_at("(__all + 1) div 2").alias("__low"), value_at("__all div 2 + 1").alias("__high")
-    )
+    ends = scanned.groupBy(*by).agg(value_at(_LOW).alias("__low"), value_at(_HIGH).alias("__high"))
     between = F.col("__low") + (F.col("__high") - F.col("__low")) * 0.5
-    return middle.select(*by, between.alias(median))
+    return ends.select(*by, between.alias(median))
+
+
+# Places of the two middle values among the values of a group.
+_LOW = "((__all + 1) div 2)"
+_HIGH = "(__all div 2 + 1)"
+
+
+def _bucket(value: Column) -> Column:
+    """Number of a bucket about half a percent wide; never falls as the value grows."""
+    return F.rint(F.signum(value) * F.log1p(F.abs(value)) * 200)
 
 
 _SO_FAR = (Window.unboundedPreceding, Window.currentRow)

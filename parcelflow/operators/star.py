@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.operators.joins import BROADCAST_BYTES, dimension_join, hot_keys
+from parcelflow.operators.joins import BROADCAST_BYTES, dimension_join
 from parcelflow.operators.ordered import SINGLE_TASK_ROWS, surrogate_key
 from parcelflow.sources.layers import read_layer
-from parcelflow.sources.staging import Staged, measure, stage
+from parcelflow.sources.staging import Staged, keep, measure, stage
 
 
 @dataclass(frozen=True)
@@ -63,7 +63,6 @@ class Star:
     tables: Mapping[str, DataFrame]
     dim_bytes: Mapping[str, int]
     broadcast_bytes: int = BROADCAST_BYTES
-    _hot: dict[str, DataFrame] = field(default_factory=dict)
 
     @property
     def facts(self) -> DataFrame:
@@ -89,7 +88,6 @@ class Star:
         ``grouped`` says that the rows have been aggregated per id.
         """
         spec = next(d for d in DIMENSIONS if d.name == name)
-        spread = self.dim_bytes[name] > self.broadcast_bytes and not grouped
         return dimension_join(
             facts,
             self.tables[name].select(spec.id_column, *columns),
@@ -97,15 +95,10 @@ class Star:
             how,
             dim_bytes=self.dim_bytes[name],
             broadcast_bytes=self.broadcast_bytes,
-            hot=self._hot_ids(spec) if spread else None,
+            counted=self.facts,
             grouped=grouped,
         )
 
-    def _hot_ids(self, spec: DimensionSpec) -> DataFrame:
-        if spec.name not in self._hot:
-            self._hot[spec.name] = hot_keys(self.facts, [spec.id_column])
-        return self._hot[spec.name]
-
 
 def build_dimension(
     clean: DataFrame,
@@ -147,9 +140,8 @@ def attach_keys(
     keyed = clean
     for spec in DIMENSIONS:
         dim = dimensions[spec.name]
-        hot = hot_keys(clean, spec.columns) if dim.bytes > broadcast_bytes else None
         keyed = dimension_join(
-            keyed, dim.df, spec.columns, "left", null_safe, dim.bytes, broadcast_bytes, hot
+            keyed, dim.df, spec.columns, "left", null_safe, dim.bytes, broadcast_bytes, clean
         )
     return keyed
 
@@ -167,10 +159,10 @@ def build_star(
     """
     dimensions = build_dimensions(clean, base, single_task_rows)
     facts = attach_keys(clean, dimensions, null_safe, broadcast_bytes)
-    staged = stage(facts.select(*FACT_COLUMNS, "annee"), FACTS, ["annee"], base)
+    written = keep(facts.select(*FACT_COLUMNS, "annee"), FACTS, ["annee"], base)
     tables = {name: dim.df for name, dim in dimensions.items()}
     sizes = {name: dim.bytes for name, dim in dimensions.items()}
-    return Star({**tables, FACTS: staged.df}, sizes, broadcast_bytes)
+    return Star({**tables, FACTS: written}, sizes, broadcast_bytes)
 
 
 def load_star(spark: SparkSession, base: str, broadcast_bytes: int = BROADCAST_BYTES) -> Star:

@@ -19,7 +19,7 @@ from parcelflow.operators.joins import dimension_join
 from parcelflow.operators.star import Star, build_star
 from parcelflow.plans.medallion import SOURCE_COLUMN
 from parcelflow.sources.delimited import union_years
-from parcelflow.sources.staging import stage
+from parcelflow.sources.staging import keep
 
 SPLIT_YEAR = 1998
 LAST_YEAR = 2001
@@ -42,13 +42,13 @@ class Layers:
     def bronze(self) -> DataFrame:
         """Raw text rows of both extracts, with the year of the extract."""
         with self._lock:
-            return stage(self._raw(), "bronze").df
+            return keep(self._raw(), "bronze")
 
     @cached_property
     def silver(self) -> DataFrame:
         """Clean rows."""
         with self._lock:
-            return stage(clean(self.raw, SPEC), "silver", partition_by=["annee"]).df
+            return keep(clean(self.raw, SPEC), "silver", ["annee"])
 
     @cached_property
     def star(self) -> Star:
@@ -75,9 +75,9 @@ class Layers:
         suppliers = self.table("supplier").select(
             F.col("s_suppkey").alias("l_suppkey"), "s_name", "s_nationkey"
         )
-        sales = dimension_join(lines, orders, ["l_orderkey"], "inner")
-        sales = dimension_join(sales, parts, ["l_partkey"], "inner")
-        sales = dimension_join(sales, suppliers, ["l_suppkey"], "inner")
+        sales = dimension_join(lines, orders, ["l_orderkey"], "inner", counted=lines)
+        sales = dimension_join(sales, parts, ["l_partkey"], "inner", counted=lines)
+        sales = dimension_join(sales, suppliers, ["l_suppkey"], "inner", counted=lines)
         year = F.year("l_shipdate")
         text = sales.select(
             year.alias("year"), *[column.alias(name) for name, column in _text_columns().items()]

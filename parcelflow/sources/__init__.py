@@ -1,13 +1,14 @@
 """Reading extracts and links, writing and reading Parquet layers."""
 
 from parcelflow.sources.delimited import read_delimited, read_extracts, union_years
-from parcelflow.sources.layers import read_layer, write_layer
+from parcelflow.sources.layers import read_layer, write_layer, write_table
 from parcelflow.sources.links import extract_links, latest_per_key
-from parcelflow.sources.staging import Staged, measure, shared_dir, stage
+from parcelflow.sources.staging import Staged, keep, measure, shared_dir, stage
 
 __all__ = [
     "Staged",
     "extract_links",
+    "keep",
     "latest_per_key",
     "measure",
     "read_delimited",
@@ -17,4 +18,5 @@ __all__ = [
     "stage",
     "union_years",
     "write_layer",
+    "write_table",
 ]

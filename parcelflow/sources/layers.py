@@ -7,21 +7,25 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Overwrite a Parquet table.
+
+    A partitioned table is rebalanced on its partition columns first: each
+    directory gets files of the advisory size, and a value that holds a large
+    share of the rows is split over several tasks.
+    """
+    sized = df.hint("rebalance", *partition_by) if partition_by else df
+    sized.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+
+
 def write_layer(
     tables: Mapping[str, DataFrame],
     base: str,
     partition_by: Mapping[str, Sequence[str]] | None = None,
 ) -> None:
-    """Overwrite ``base/<name>`` for every table.
-
-    Partitioned tables are rebalanced on their partition columns first: each
-    directory gets files of the advisory size, and a value that holds a large
-    share of the rows is split over several tasks.
-    """
+    """Overwrite ``base/<name>`` for every table."""
     for name, df in tables.items():
-        columns = list((partition_by or {}).get(name, ()))
-        sized = df.hint("rebalance", *columns) if columns else df
-        sized.write.mode("overwrite").partitionBy(*columns).parquet(f"{base}/{name}")
+        write_table(df, f"{base}/{name}", (partition_by or {}).get(name, ()))
 
 
 def read_layer(spark: SparkSession, base: str, names: Iterable[str]) -> dict[str, DataFrame]:

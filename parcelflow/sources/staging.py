@@ -1,7 +1,7 @@
 """Written tables that cut lineage and survive the loss of executors.
 
 A staged table is Parquet in the shared folder that the cluster names in
-``spark.checkpoint.dir``. Its row count and size are observed while it is
+``spark.checkpoint.dir``. Its row count and size can be observed while it is
 written, so later steps can check the size of what they would broadcast.
 """
 
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow.functions import row_bytes
+from parcelflow.sources.layers import write_table
 
 
 @dataclass(frozen=True)
@@ -43,25 +44,25 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/parcelflow/{spark.conf.get('spark.app.id')}"
 
 
-def stage(
+def keep(
     df: DataFrame, name: str, partition_by: Sequence[str] = (), base: str | None = None
-) -> Staged:
+) -> DataFrame:
     """Write ``df`` and return the table read back.
 
     It goes to a new folder of the shared one, or replaces ``base/name``.
-    Partitioned tables are rebalanced on their partition columns, as in
-    ``write_layer``.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid4().hex}" if base is None else f"{base}/{name}"
+    write_table(df, path, partition_by)
+    return spark.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
+
+
+def stage(df: DataFrame, name: str, base: str | None = None) -> Staged:
+    """As ``keep``, observing the rows and bytes written."""
     seen = Observation()
-    observed = df.observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df)).alias("bytes")
-    )
-    if partition_by:
-        observed = observed.hint("rebalance", *partition_by)
-    observed.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    table = spark.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
+    size = F.sum(row_bytes(df))
+    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), size.alias("bytes"))
+    table = keep(observed, name, base=base)
     return Staged(table, seen.get["rows"] or 0, seen.get["bytes"] or 0)
 
 

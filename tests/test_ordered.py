@@ -46,11 +46,9 @@ def test_surrogate_key(skewed, limit):
 
 def test_running_total(skewed, limit):
     window = Window.partitionBy("g").orderBy(F.col("n").desc())
-    plain = skewed.withColumns({
-        "upto": F.sum(F.lit(2)).over(window.rowsBetween(Window.unboundedPreceding, 0)),
-        "whole": F.sum(F.lit(2)).over(Window.partitionBy("g")),
-    })
-    ours = running_total(skewed, [F.col("n").desc()], F.lit(2), "upto", ["g"], "whole", limit)
+    upto = F.sum(F.col("n") % 5).over(window.rowsBetween(Window.unboundedPreceding, 0))
+    plain = skewed.withColumn("upto", upto)
+    ours = running_total(skewed, [F.col("n").desc()], F.col("n") % 5, "upto", ["g"], limit)
     assert bag(ours) == bag(plain)
 
 
@@ -86,6 +84,16 @@ def test_exact_median(skewed, limit):
     assert bag(exact_median(skewed, ["g"], "v", "m", limit)) == bag(plain)
 
 
+def test_exact_median_of_signed_and_close_values(spark, limit):
+    pick = random.Random(3)
+    wide = [(g, pick.uniform(-1, 1) * 10 ** pick.randint(-3, 9)) for g in (1, 2) for _ in range(401 + g)]
+    close = [(3, 1000 + n / 1e6) for n in range(500)]
+    df = spark.createDataFrame(wide + close, "g int, v double").repartition(4)
+    plain = df.groupBy("g").agg(F.percentile("v", 0.5).alias("m"))
+    got = {r.g: r.m for r in exact_median(df, ["g"], "v", "m", limit).collect()}
+    assert got == pytest.approx({r.g: r.m for r in plain.collect()}, rel=1e-14)
+
+
 def test_median_of_a_group_of_nulls(spark, limit):
     df = spark.createDataFrame([(1, None), (1, None), (2, 4.0), (2, 7.0)], "g int, v double")
     assert bag(exact_median(df, ["g"], "v", "m", limit)) == ["(1, None)", "(2, 5.5)"]
