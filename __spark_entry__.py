@@ -174,7 +174,7 @@ def _mixed_shape(star: op.Star) -> DataFrame:
 
 def _document_ids(layers: Layers) -> DataFrame:
     documents = layers.silver.select(ID).distinct()
-    return op.surrogate_key(documents, "id_document", [ID], single_task_rows=0)
+    return op.surrogate_key(documents, "id_document", [ID])
 
 
 def _medians_distributed(layers: Layers) -> DataFrame:

@@ -3,8 +3,8 @@
 A window without a partition column sends every row to one task. Here the rows
 are range-partitioned and written once with the number of their range. Each
 range is then scanned on its own, and what precedes it comes from a table with
-one row per range (and group). Below ``SINGLE_TASK_ROWS`` counted rows a plain
-window is used.
+one row per range (and group). Running totals and ranks use a plain window
+below ``SINGLE_TASK_ROWS`` counted rows.
 """
 
 from __future__ import annotations
@@ -38,17 +38,31 @@ def top_k(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int) ->
     return df.withColumn("__place", place).where(F.col("__place") <= k).drop("__place")
 
 
-def surrogate_key(
-    df: DataFrame,
-    id_column: str,
-    order: Sequence[str],
-    single_task_rows: int = SINGLE_TASK_ROWS,
-) -> DataFrame:
-    """Number the rows 1..n in a total order, NULLs first."""
-    numbered = running_total(
-        df, [F.col(c).asc() for c in order], F.lit(1), id_column, single_task_rows=single_task_rows
+def surrogate_key(df: DataFrame, id_column: str, order: Sequence[str]) -> DataFrame:
+    """Number the rows 1..n in a total order, NULLs first.
+
+    Each range is sorted where it is, and the place of a row in its range is
+    written with it. The rows themselves are shuffled once.
+    """
+    ascending = [F.col(c).asc() for c in order]
+    ranged = df.repartitionByRange(*ascending).sortWithinPartitions(*ascending)
+    # The upper bits of this number are the range, the lower 33 the place in it.
+    place = F.monotonically_increasing_id()
+    placed = stage(ranged.withColumn("__place", place), "numbered").df.withColumns(
+        {
+            _RANGE: F.shiftright("__place", 33),
+            "__place": F.col("__place").bitwiseAND(F.lit((1 << 33) - 1)),
+        }
+    )
+    sizes = placed.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("__size"))
+    earlier = Window.orderBy(_RANGE).rowsBetween(*_EARLIER)
+    offsets = sizes.select(
+        _RANGE, F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__offset")
     )
-    return numbered.withColumn(id_column, F.col(id_column).cast("int"))
+    # One row per range, so never more than there are shuffle partitions.
+    numbered = placed.join(F.broadcast(offsets), _RANGE)
+    number = F.col("__offset") + F.col("__place") + 1
+    return numbered.select(*[f"`{c}`" for c in df.columns], number.cast("int").alias(id_column))
 
 
 def running_total(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow.operators.joins import BROADCAST_BYTES, dimension_join
-from parcelflow.operators.ordered import SINGLE_TASK_ROWS, surrogate_key
+from parcelflow.operators.ordered import surrogate_key
 from parcelflow.sources.layers import read_layer
 from parcelflow.sources.staging import Staged, keep, measure, stage
 
@@ -100,28 +100,21 @@ class Star:
         )
 
 
-def build_dimension(
-    clean: DataFrame,
-    spec: DimensionSpec,
-    base: str | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-) -> Staged:
+def build_dimension(clean: DataFrame, spec: DimensionSpec, base: str | None = None) -> Staged:
     """Distinct key tuples, numbered in the order of all key columns, NULLs first.
 
     Written below ``base``, or to the shared folder.
     """
     keys = clean.select(*spec.columns).distinct()
-    numbered = surrogate_key(keys, spec.id_column, spec.columns, single_task_rows)
+    numbered = surrogate_key(keys, spec.id_column, spec.columns)
     return stage(numbered, spec.name, base=base)
 
 
-def build_dimensions(
-    clean: DataFrame, base: str | None = None, single_task_rows: int = SINGLE_TASK_ROWS
-) -> dict[str, Staged]:
+def build_dimensions(clean: DataFrame, base: str | None = None) -> dict[str, Staged]:
     """All dimensions by name; their jobs do not depend on each other and overlap."""
 
     def build(spec: DimensionSpec) -> Staged:
-        return build_dimension(clean, spec, base, single_task_rows)
+        return build_dimension(clean, spec, base)
 
     with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
         return {spec.name: dim for spec, dim in zip(DIMENSIONS, pool.map(build, DIMENSIONS))}
@@ -151,13 +144,12 @@ def build_star(
     null_safe: bool = False,
     base: str | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> Star:
     """Build and write the star of a clean table, which is best a written one: it is read often.
 
     The tables go below ``base``, or to the shared folder.
     """
-    dimensions = build_dimensions(clean, base, single_task_rows)
+    dimensions = build_dimensions(clean, base)
     facts = attach_keys(clean, dimensions, null_safe, broadcast_bytes)
     written = keep(facts.select(*FACT_COLUMNS, "annee"), FACTS, ["annee"], base)
     tables = {name: dim.df for name, dim in dimensions.items()}

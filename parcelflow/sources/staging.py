@@ -36,7 +36,7 @@ def _local_folder() -> str:
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder of this application inside the cluster's checkpoint folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.conf.get("spark.master").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor shares")

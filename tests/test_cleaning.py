@@ -121,7 +121,7 @@ def test_star_integrity(star):
 def test_ids_do_not_depend_on_partitions(cleaned):
     for spec in DIMENSIONS:
         once = build_dimension(cleaned.repartition(1), spec).df
-        again = build_dimension(cleaned.repartition(7), spec, single_task_rows=0).df
+        again = build_dimension(cleaned.repartition(7), spec).df
         assert sorted(map(str, once.collect())) == sorted(map(str, again.collect()))
         ids = sorted(r[0] for r in once.select(spec.id_column).collect())
         assert ids == list(range(1, len(ids) + 1))

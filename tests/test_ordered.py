@@ -39,7 +39,7 @@ def test_surrogate_key(skewed, limit):
     keys = skewed.select("g", "v").distinct()
     window = Window.orderBy(F.col("g").asc(), F.col("v").asc())
     plain = keys.withColumn("id", F.row_number().over(window))
-    ours = surrogate_key(keys, "id", ["g", "v"], single_task_rows=limit)
+    ours = surrogate_key(keys, "id", ["g", "v"])
     assert bag(ours) == bag(plain)
     assert dict(ours.dtypes)["id"] == "int"
 
@@ -101,7 +101,7 @@ def test_median_of_a_group_of_nulls(spark, limit):
 
 def test_empty_input(spark, limit):
     none = spark.createDataFrame([], "g int, v double")
-    assert surrogate_key(none, "id", ["g"], limit).count() == 0
+    assert surrogate_key(none, "id", ["g"]).count() == 0
     assert exact_median(none, ["g"], "v", "m", limit).count() == 0
     assert rank_over_all(none, {"r": "v"}, limit).count() == 0
 

@@ -36,7 +36,7 @@ def test_only_partial_aggregates_reach_one_task(layers):
         with_total(layers.star.facts, "n"),
         surrogate_key(
             layers.silver.select("identifiant_de_document").distinct(),
-            "id", ["identifiant_de_document"], single_task_rows=0,
+            "id", ["identifiant_de_document"],
         ),
     ]
     for df in frames:

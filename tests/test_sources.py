@@ -137,7 +137,7 @@ def test_star_does_not_depend_on_limits(spark, tmp_path):
     (tmp_path / "a.txt").write_text(LINES)
     rows = stage(clean(read_delimited(spark, str(tmp_path)), CleanSpec()), "clean").df
     plain = build_star(rows)
-    forced = build_star(rows, broadcast_bytes=0, single_task_rows=0)
+    forced = build_star(rows, broadcast_bytes=0)
     for name, table in plain.tables.items():
         columns = sorted(table.columns)
         assert sorted(map(str, table.select(columns).collect())) == sorted(
