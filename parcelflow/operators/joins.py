@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.sources.staging import measure, stage
+from parcelflow.sources.staging import keep, measure
 
 # A dimension is broadcast only if its measured size stays below this.
 BROADCAST_BYTES = 64 << 20
@@ -65,14 +65,14 @@ def dimension_join(
 def hot_keys(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys above the hot share and the number of salts for each.
 
-    Staged, so that both sides of a join see the same salts, and bounded: the
+    Written, so that both sides of a join see the same salts, and bounded: the
     shares of the keys add up to one, so at most ``1 / HOT_SHARE`` keys remain.
     """
     counts = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     all_rows = counts.agg(F.sum("__n")).scalar()
     share = F.col("__n") / (all_rows * F.lit(HOT_SHARE))
     hot = counts.where(share > 1).select(*keys, F.ceil(share).alias("__salts"))
-    return stage(hot, "hot-keys").df
+    return keep(hot, "hot-keys")
 
 
 def _lookup(

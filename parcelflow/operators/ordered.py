@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelflow.operators.joins import dimension_join
-from parcelflow.sources.staging import Staged, stage
+from parcelflow.sources.staging import Staged, keep, stage
 
 SINGLE_TASK_ROWS = 1_000_000
 _RANGE = "__range"
@@ -48,7 +48,7 @@ def surrogate_key(df: DataFrame, id_column: str, order: Sequence[str]) -> DataFr
     ranged = df.repartitionByRange(*ascending).sortWithinPartitions(*ascending)
     # The upper bits of this number are the range, the lower 33 the place in it.
     place = F.monotonically_increasing_id()
-    placed = stage(ranged.withColumn("__place", place), "numbered").df.withColumns(
+    placed = keep(ranged.withColumn("__place", place), "numbered").withColumns(
         {
             _RANGE: F.shiftright("__place", 33),
             "__place": F.col("__place").bitwiseAND(F.lit((1 << 33) - 1)),

@@ -8,7 +8,7 @@ lines of 1998 are in both.
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Callable
 from threading import RLock
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,28 +33,32 @@ class Layers:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
         self.sf_dir = sf_dir
+        self._built: dict[str, DataFrame | Star] = {}
         self._lock = RLock()
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    @cached_property
+    @property
     def bronze(self) -> DataFrame:
         """Raw text rows of both extracts, with the year of the extract."""
-        with self._lock:
-            return keep(self._raw(), "bronze")
+        return self._once("bronze", lambda: keep(self._raw(), "bronze"))
 
-    @cached_property
+    @property
     def silver(self) -> DataFrame:
         """Clean rows."""
-        with self._lock:
-            return keep(clean(self.raw, SPEC), "silver", ["annee"])
+        return self._once("silver", lambda: keep(clean(self.raw, SPEC), "silver", ["annee"]))
 
-    @cached_property
+    @property
     def star(self) -> Star:
         """Dimensions and facts."""
+        return self._once("star", lambda: build_star(self.silver))
+
+    def _once(self, name: str, build: Callable[[], DataFrame | Star]) -> DataFrame | Star:
         with self._lock:
-            return build_star(self.silver)
+            if name not in self._built:
+                self._built[name] = build()
+            return self._built[name]
 
     @property
     def raw(self) -> DataFrame:

@@ -1,8 +1,8 @@
 """Written tables that cut lineage and survive the loss of executors.
 
 A staged table is Parquet in the shared folder that the cluster names in
-``spark.checkpoint.dir``. Its row count and size can be observed while it is
-written, so later steps can check the size of what they would broadcast.
+``spark.checkpoint.dir``. Its size is counted on what was written, so that
+later steps can check what they would broadcast or send to one task.
 """
 
 from __future__ import annotations
@@ -10,10 +10,10 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, cached_property
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow.functions import row_bytes
@@ -22,11 +22,17 @@ from parcelflow.sources.layers import write_table
 
 @dataclass(frozen=True)
 class Staged:
-    """A written table with the rows and bytes seen while writing it."""
+    """A written table, and its size when somebody asks."""
 
     df: DataFrame
-    rows: int
-    bytes: int
+
+    @cached_property
+    def rows(self) -> int:
+        return self.df.count()
+
+    @cached_property
+    def bytes(self) -> int:
+        return measure(self.df)
 
 
 @cache
@@ -58,12 +64,8 @@ def keep(
 
 
 def stage(df: DataFrame, name: str, base: str | None = None) -> Staged:
-    """As ``keep``, observing the rows and bytes written."""
-    seen = Observation()
-    size = F.sum(row_bytes(df))
-    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), size.alias("bytes"))
-    table = keep(observed, name, base=base)
-    return Staged(table, seen.get["rows"] or 0, seen.get["bytes"] or 0)
+    """As ``keep``, for a table whose size matters."""
+    return Staged(keep(df, name, base=base))
 
 
 def measure(df: DataFrame) -> int:
