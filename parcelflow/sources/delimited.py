@@ -7,7 +7,8 @@ from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,8 +58,8 @@ def read_extracts(
     Files are grouped by header and each group is one scan. The header line is
     read per file, or with ``header_per="directory"`` once for every directory,
     for layouts that split each extract into many parts; the scan still checks
-    the header of every part. Files without a readable header fail the call, or
-    are logged and left out with ``skip_unreadable``.
+    the header of every part. Empty files hold nothing. Files without a readable
+    header fail the call, or are logged and left out with ``skip_unreadable``.
     """
     if header_per not in ("file", "directory"):
         raise ValueError("header_per is 'file' or 'directory'")
@@ -76,11 +77,14 @@ def read_extracts(
     header = spark.read.option("sep", sep).option("header", True).option("pathGlobFilter", glob)
     for path in units:
         try:
-            by_header[tuple(header.csv(path).columns)].append(path)
-        except AnalysisException:
+            columns = header.csv(path).columns
+        except (PySparkException, Py4JJavaError):
             if not skip_unreadable:
                 raise
             logger.warning("no readable header in %s, left out", path)
+            continue
+        if columns:
+            by_header[tuple(columns)].append(path)
     if not by_header:
         raise FileNotFoundError(f"no extract matching {glob} under {folder}")
     scans = [

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 # Text a browser does not render as markup: comments, scripts, styles.
 _HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
-_ANCHOR = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*["']([^"']*)["']"""
+# The target of an anchor, with its quotes if it has any.
+_ANCHOR = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+_QUOTED = r"""(?s)^(["'])(.*)\1$"""
 
 
 def key_of_link(href: Column) -> Column:
@@ -29,8 +31,9 @@ def extract_links(
     """
     markup = F.regexp_replace(F.col(html), _HIDDEN, "")
     hrefs = F.regexp_extract_all(markup, F.lit(_ANCHOR), F.lit(1))
+    bare = F.regexp_replace("href", _QUOTED, "$2")
     links = pages.select(page, F.posexplode(hrefs).alias("position", "href")).withColumn(
-        "href", F.replace(F.col("href"), F.lit("&amp;"), F.lit("&"))
+        "href", F.replace(bare, F.lit("&amp;"), F.lit("&"))
     )
     wanted = links.where(F.col("href").contains(contains) & F.col("href").endswith(suffix))
     return wanted.withColumn("link_key", key_of_link(F.col("href")) if key is None else key)

@@ -51,6 +51,17 @@ def test_extracts_per_directory(spark, tmp_path):
     ]
 
 
+def test_empty_and_unreadable_extracts(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("a|b\n1|2\n")
+    (tmp_path / "empty.txt").write_text("")
+    assert read_extracts(spark, str(tmp_path)).collect() == [("1", "2")]
+    (tmp_path / "broken.txt.gz").write_bytes(b"\x1f\x8b\x08\x00no gzip")
+    with pytest.raises(Exception):
+        read_extracts(spark, str(tmp_path), glob="*.txt*")
+    left = read_extracts(spark, str(tmp_path), glob="*.txt*", skip_unreadable=True)
+    assert left.collect() == [("1", "2")]
+
+
 def test_no_extract(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         read_extracts(spark, str(tmp_path))
@@ -98,7 +109,8 @@ PAGE = """<html><!-- <a href="https://x/valeursfoncieres-1999.zip">no</a> -->
 <a class="b" href="https://x/valeursfoncieres-2021.txt.zip">2021</a>
 <A HREF = 'https://x/get?a=1&amp;f=valeursfoncieres-2022.zip'>2022</A>
 <a href="https://x/notice-2022.pdf">notice</a><a data-href="https://x/valeursfoncieres-1.zip">no</a>
-<a href="https://y/valeursfoncieres-2021.zip">again</a></html>"""
+<a href="https://y/valeursfoncieres-2021.zip">again</a>
+<a href="it's/valeursfoncieres-2019.zip"></a><a id=x href=z/valeursfoncieres-2018.zip>bare</a></html>"""
 
 
 def test_links(spark):
@@ -106,11 +118,15 @@ def test_links(spark):
     links = extract_links(pages)
     assert sorted((r.page_id, r.link_key, r.href) for r in links.collect()) == [
         (1, "2022", "z/valeursfoncieres-2022.zip"),
+        (2, "2018", "z/valeursfoncieres-2018.zip"),
+        (2, "2019", "it's/valeursfoncieres-2019.zip"),
         (2, "2021", "https://x/valeursfoncieres-2021.txt.zip"),
         (2, "2021", "https://y/valeursfoncieres-2021.zip"),
         (2, "2022", "https://x/get?a=1&f=valeursfoncieres-2022.zip"),
     ]
     assert {r.link_key: r.href for r in latest_per_key(links).collect()} == {
+        "2018": "z/valeursfoncieres-2018.zip",
+        "2019": "it's/valeursfoncieres-2019.zip",
         "2021": "https://y/valeursfoncieres-2021.zip",
         "2022": "https://x/get?a=1&f=valeursfoncieres-2022.zip",
     }
