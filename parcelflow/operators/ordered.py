@@ -32,8 +32,37 @@ def with_total(df: DataFrame, total: str, counted: DataFrame | None = None) -> D
     return df.withColumn(total, rows.scalar())
 
 
-def top_k(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
-    """First ``k`` rows of every group; the limit is also applied before the shuffle."""
+def top_k(
+    df: DataFrame,
+    by: Sequence[str],
+    value: str,
+    ties: Sequence[str],
+    k: int,
+    pieces: Sequence[str] = (),
+) -> DataFrame:
+    """First ``k`` rows of every group, largest value first, then in the order of ``ties``.
+
+    The limit is also applied before the shuffle. With ``pieces``, columns that
+    cut each group into parts, rows that cannot be among the first are left out
+    before anything is sorted: the k-th largest of the parts' maxima is a value
+    that k rows reach, so smaller ones are no candidates.
+    """
+    order = [F.desc(value), *[F.asc(c) for c in ties]]
+    if pieces:
+        best = df.groupBy(*by, *pieces).agg(F.max(value).alias("__best"))
+        floors = (
+            _first_rows(best, by, [F.desc("__best")], k)
+            .groupBy(*by)
+            .agg(F.when(F.count("__best") == k, F.min("__best")).alias("__floor"))
+        )
+        known = stage(floors, "floors")
+        df = dimension_join(df, known.df, by, "left", null_safe=True, dim_bytes=known.bytes)
+        df = df.where(F.col("__floor").isNull() | (F.col(value) >= F.col("__floor")))
+        df = df.drop("__floor")
+    return _first_rows(df, by, order, k)
+
+
+def _first_rows(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
     place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
     return df.withColumn("__place", place).where(F.col("__place") <= k).drop("__place")
 

@@ -180,8 +180,8 @@ def top_sales_per_year(star: Star, k: int = 5) -> DataFrame:
     """Q12a: the sales of highest value of every year."""
     sales = _dated_and_typed(star)
     sales = star.lookup(sales, "dim_commune", ["commune"])
-    order = [F.desc(VALUE), *[F.asc(c) for c in _TIE_BREAKS if c != VALUE]]
-    first = top_k(sales, ["annee"], order, k)
+    ties = [c for c in _TIE_BREAKS if c != VALUE]
+    first = top_k(sales, ["annee"], VALUE, ties, k, pieces=["id_temps"])
     return first.select("annee", "commune", "type_local", VALUE).orderBy(
         F.desc("annee"), F.desc(VALUE)
     )

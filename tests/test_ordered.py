@@ -106,10 +106,13 @@ def test_empty_input(spark, limit):
     assert rank_over_all(none, {"r": "v"}, limit).count() == 0
 
 
-def test_top_k(skewed):
+@pytest.mark.parametrize("pieces", [[], ["n"], ["part"], ["one"]])
+@pytest.mark.parametrize("k", [1, 3, 200])
+def test_top_k(skewed, pieces, k):
+    rows = skewed.withColumns({"part": F.col("n") % 7, "one": F.lit(1)})
     window = Window.partitionBy("g").orderBy(F.desc("v"), "n")
-    plain = skewed.withColumn("p", F.row_number().over(window)).where("p <= 3").drop("p")
-    ours = top_k(skewed, ["g"], [F.desc("v"), F.asc("n")], 3)
+    plain = rows.withColumn("p", F.row_number().over(window)).where(f"p <= {k}").drop("p")
+    ours = top_k(rows, ["g"], "v", ["n"], k, pieces)
     assert bag(ours) == bag(plain)
     assert "WindowGroupLimit" in plan_of(ours)
 
