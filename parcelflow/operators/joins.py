@@ -51,7 +51,7 @@ def dimension_join(
     hot = F.broadcast(hot_keys(facts if counted is None else counted, keys))
     spread_over = F.coalesce("__salts", F.lit(1))
     salted = _lookup(facts, hot, keys, "left", null_safe=True).withColumn(
-        "__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]), spread_over)
+        "__salt", F.pmod(row_hash(facts), spread_over)
     )
     repeated = _lookup(dim, hot, keys, "left", null_safe=True).withColumn(
         "__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), spread_over - 1))
@@ -62,6 +62,14 @@ def dimension_join(
     return joined.drop("__salt")
 
 
+def row_hash(df: DataFrame) -> Column:
+    """Number that tells rows apart, and copies of a row that different tasks hold.
+
+    A task that runs again has the same input partition, so it repeats its numbers.
+    """
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.spark_partition_id())
+
+
 def hot_keys(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys above the hot share and the number of salts for each.
 

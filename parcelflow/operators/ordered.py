@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelflow.operators.joins import dimension_join
+from parcelflow.operators.joins import dimension_join, row_hash
 from parcelflow.sources.staging import Staged, keep, stage
 
 SINGLE_TASK_ROWS = 1_000_000
@@ -127,14 +127,20 @@ def carry_last(
     by: Sequence[str] = (),
     single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
-    """Replace NULLs of a column by its last value in the order of the group."""
-    ascending = [F.col(c).asc() for c in order]
-    ranges = _in_ranges(df, by, ascending)
+    """Replace NULLs of a column by its last value in the order of the group.
+
+    Rows that the order does not tell apart are kept apart by a hash, so that
+    many of them, copies included, can be split over several ranges.
+    """
+    total_order = [*order, "__tie"]
+    ascending = [F.col(c).asc() for c in total_order]
+    ranges = _in_ranges(df.withColumn("__tie", row_hash(df)), by, ascending)
     if ranges.rows <= single_task_rows:
         so_far = Window.partitionBy(*by).orderBy(*ascending).rowsBetween(*_SO_FAR)
-        return ranges.df.withColumn(column, F.last(column, ignorenulls=True).over(so_far)).drop(_RANGE)
+        filled = F.last(column, ignorenulls=True).over(so_far)
+        return ranges.df.withColumn(column, filled).drop("__tie", _RANGE)
     # max_by skips the rows whose ordering value is NULL.
-    place = F.when(F.col(column).isNotNull(), F.struct(*order))
+    place = F.when(F.col(column).isNotNull(), F.struct(*total_order))
     parts = ranges.df.groupBy(_RANGE, *by).agg(F.max_by(column, place).alias("__part"))
     earlier = Window.partitionBy(*by).orderBy(_RANGE).rowsBetween(*_EARLIER)
     carried = parts.withColumn("__carried", F.last("__part", ignorenulls=True).over(earlier))
@@ -143,7 +149,7 @@ def carry_last(
     return (
         _with_range_row(ranges.df, carried.drop("__part"), by)
         .withColumn(column, filled)
-        .drop("__carried", _RANGE)
+        .drop("__carried", "__tie", _RANGE)
     )
 
 

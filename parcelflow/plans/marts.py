@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelflow.functions import date_from_parts, exact_sum, mean_of_partials, safe_ratio
+from parcelflow.operators.joins import row_hash
 from parcelflow.operators.ordered import exact_median, rank_over_all, top_k, with_total
 from parcelflow.operators.star import Star
 
@@ -39,9 +40,8 @@ def flat_extract(star: Star, first: int = 2021, last: int = 2024) -> DataFrame:
 
 def mean_price_per_year_and_type(star: Star) -> DataFrame:
     """Q1: mean value by year and type of property."""
-    means = (
-        _dated_and_typed(star).groupBy("annee", "type_local").agg(F.avg(VALUE).alias("valeur_fonciere_moyenne"))
-    )
+    mean = F.avg(VALUE).alias("valeur_fonciere_moyenne")
+    means = _dated_and_typed(star).groupBy("annee", "type_local").agg(mean)
     return means.orderBy(F.desc("annee"), F.desc("valeur_fonciere_moyenne"))
 
 
@@ -318,5 +318,6 @@ def _sorted_extract(
 ) -> DataFrame:
     dated = rows.withColumn("date_transaction", date_from_parts("annee", "mois", "jour"))
     first = ["annee", "date_transaction"] if by_year else ["date_transaction"]
-    sorted_rows = with_total(dated, total, counted).orderBy(*first, *_TIE_BREAKS)
+    counted_rows = with_total(dated, total, counted).withColumn("tie", row_hash(dated))
+    sorted_rows = counted_rows.orderBy(*first, *_TIE_BREAKS, "tie")
     return sorted_rows.select(*shown, "date_transaction", total)

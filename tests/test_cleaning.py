@@ -5,7 +5,7 @@ import datetime
 import pytest
 from parcelflow.functions import lenient_int
 from parcelflow.operators import (
-    CleanSpec, attach_keys, build_dimension, build_star, carry_forward, clean, impute_mean,
+    CleanSpec, build_dimension, build_star, carry_forward, clean, impute_mean,
     normalise_names, star_integrity, DIMENSIONS,
 )
 from parcelflow.plans import marts

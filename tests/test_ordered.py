@@ -147,6 +147,27 @@ def test_hot_keys_are_spread(spark, skewed, monkeypatch):
     assert hot[1] == 7 and len(hot) <= 20
 
 
+def test_copies_of_a_hot_row_are_spread(spark, monkeypatch):
+    """Copies in different tasks get different salts."""
+    copies = spark.range(0, 8000, 1, 8).select(F.lit(1).alias("g"), F.lit("same").alias("v"))
+    numbers = copies.withColumn("h", joins.row_hash(copies)).select("h").distinct()
+    assert numbers.count() == 8
+    dim = spark.createDataFrame([(1, "one")], "g int, name string")
+    joined = dimension_join(copies, dim, ["g"], "inner", broadcast_bytes=0)
+    assert joined.where("name = 'one'").count() == 8000
+
+
+def test_carry_last_splits_copies(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        copies = spark.range(0, 8000, 1, 8).select(F.lit(2).alias("n"), F.lit(None).cast("int").alias("v"))
+        first = spark.createDataFrame([(1, 7)], "n int, v int")
+        filled = carry_last(first.union(copies), "v", ["n"], single_task_rows=0)
+        assert filled.groupBy("n", "v").count().orderBy("n").collect() == [(1, 7, 1), (2, 7, 8000)]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_dimension_join_keeps_every_row_of_a_missing_key(spark, skewed):
     none = spark.createDataFrame([], "g int, name string")
     for limit in (0, 1 << 20):
