@@ -1,4 +1,4 @@
-"""Registered queries of the operators in this package."""
+"""Registered queries of the operators in this package, and the SQL of those SQL can express."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import multi_index
+from parcelflow.llm import line_dedup, mixing, multi_index, shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,94 @@ def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
 
 
-QUERIES: dict[str, Query] = {"op1_multi_index": op1_multi_index}
+def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards whose bytes are near equal, equal texts together."""
+    placed = shards.assign_shards(_table(spark, sf_dir, "documents"), 16)
+    return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
-SQL: dict[str, str] = {}
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document that a mix of the sources takes."""
+    return mixing.taken_words(_table(spark, sf_dir, "documents"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that ten documents share."""
+    kept = line_dedup.without_shared_lines(_table(spark, sf_dir, "documents"), min_docs=10)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+QUERIES: dict[str, Query] = {
+    "op1_multi_index": op1_multi_index,
+    "op5_shards": op5_shards,
+    "op6_mixing": op6_mixing,
+    "op7_line_dedup": op7_line_dedup,
+}
+
+_SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SQL: dict[str, str] = {
+    "op6_mixing": r"""
+WITH sized AS (
+    SELECT doc_id, source,
+           CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+')) AS BIGINT) AS size,
+           CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT) AS tie
+    FROM documents
+),
+totals AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+           [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight
+    FROM sized GROUP BY source
+),
+levels AS (
+    SELECT s.*, 2 * source_size AS cap,
+           (SELECT sum(least(2 * o.source_size * s.weight, 2 * s.source_size * o.weight))
+            FROM totals o) <= 1.5 * (SELECT sum(source_size) FROM totals) * s.weight AS is_full
+    FROM totals s
+),
+shared AS (
+    SELECT *,
+           1.5::DOUBLE * (SELECT sum(source_size) FROM levels)
+           - coalesce((SELECT sum(cap) FROM levels WHERE is_full), 0) AS rest,
+           (SELECT sum(weight) FROM levels WHERE NOT is_full) AS weights
+    FROM levels
+),
+targets AS (
+    SELECT source, source_size,
+           CASE WHEN is_full THEN CAST(cap AS DOUBLE)
+                ELSE CAST(rest AS DOUBLE) * weight / CAST(weights AS DOUBLE) END AS target,
+           CAST('0x' || substr(md5(coalesce(source, '')), 1, 15) AS BIGINT)
+           / CAST(1152921504606846976 AS DOUBLE) AS start_at
+    FROM shared
+),
+placed AS (
+    SELECT s.doc_id, s.size, t.source_size, t.target, t.start_at,
+           CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS copies,
+           CAST(row_number() OVER (PARTITION BY s.source ORDER BY s.size, s.tie, s.doc_id) AS DOUBLE) AS upto
+    FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST(floor(upto * copies + start_at) - floor((upto - 1) * copies + start_at) AS BIGINT) * size AS taken
+FROM placed
+""",
+    "op7_line_dedup": f"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents
+),
+lines AS (
+    SELECT row, doc_id, text, unnest(string_split(text, chr(10))) AS line,
+           unnest(range(len(string_split(text, chr(10))))) AS pos
+    FROM texts
+),
+keyed AS (SELECT *, {_LOWER.format(f"trim(line, {_SPACE})")} AS key FROM lines),
+shared AS (
+    SELECT key FROM (SELECT DISTINCT key, doc_id, text FROM keyed WHERE length(key) >= 1)
+    GROUP BY key HAVING count(*) >= 10
+),
+marked AS (SELECT k.*, s.key IS NOT NULL AS gone FROM keyed k LEFT JOIN shared s ON k.key = s.key)
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(gone AS INTEGER)) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY row, doc_id
+""",
+}
