@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import line_dedup, mixing, multi_index, shards
+from parcelflow.llm import line_dedup, mixing, multi_index, phrase_index, shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,14 +39,22 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten-word passages of the benchmark in all documents."""
+    docs, items = (_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return phrase_index.contamination(docs, items, length=10).drop("content")
+
+
 QUERIES: dict[str, Query] = {
     "op1_multi_index": op1_multi_index,
     "op5_shards": op5_shards,
     "op6_mixing": op6_mixing,
     "op7_line_dedup": op7_line_dedup,
+    "op8_phrase_index": op8_phrase_index,
 }
 
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 SQL: dict[str, str] = {
@@ -111,5 +119,44 @@ marked AS (SELECT k.*, s.key IS NOT NULL AS gone FROM keyed k LEFT JOIN shared s
 SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(gone AS INTEGER)) AS BIGINT) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY row, doc_id
+""",
+    "op8_phrase_index": rf"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row, doc_id,
+           regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_WORD}') AS words
+    FROM documents
+),
+items AS (
+    SELECT item_id, regexp_extract_all({_LOWER.format("text")}, '{_WORD}') AS words
+    FROM benchmark WHERE item_id IS NOT NULL
+),
+windows AS (
+    SELECT item_id, unnest(list_transform(
+        range(greatest(1, len(words) - 9)), lambda i: array_to_string(words[i + 1 : i + 10], ' '))) AS phrase,
+        least(10, len(words)) AS length
+    FROM items WHERE len(words) > 0
+),
+lengths AS (SELECT DISTINCT length FROM windows),
+places AS (
+    SELECT row, length, unnest(range(len(words) - length + 1)) AS start, words
+    FROM texts, lengths WHERE len(words) >= length
+),
+matches AS (
+    SELECT p.row, p.start, w.length, w.item_id
+    FROM (SELECT *, array_to_string(words[start + 1 : start + length], ' ') AS phrase FROM places) p
+    JOIN windows w ON w.phrase = p.phrase AND w.length = p.length
+),
+hits AS (
+    SELECT row, count(DISTINCT place) AS n_hit
+    FROM (SELECT row, unnest(range(start, start + length)) AS place FROM matches) GROUP BY row
+),
+owners AS (
+    SELECT row, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+    FROM (SELECT DISTINCT row, CAST(item_id AS VARCHAR) AS item FROM matches) GROUP BY row
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+       n_hit IS NOT NULL AS contaminated
+FROM texts LEFT JOIN hits USING (row) LEFT JOIN owners USING (row)
 """,
 }
