@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import line_dedup, mixing, multi_index, phrase_index, shards
+from parcelflow.llm import jaccard_join, line_dedup, mixing, multi_index, phrase_index, shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,12 @@ def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 4-word shingles have a similarity of 0.85."""
+    similarity = jaccard_join.Similarity(words=4, percent=85)
+    return jaccard_join.linked_documents(_table(spark, sf_dir, "documents"), similarity)
+
+
 def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards whose bytes are near equal, equal texts together."""
     placed = shards.assign_shards(_table(spark, sf_dir, "documents"), 16)
@@ -47,6 +53,7 @@ def op8_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_multi_index": op1_multi_index,
+    "op2_jaccard_join": op2_jaccard_join,
     "op5_shards": op5_shards,
     "op6_mixing": op6_mixing,
     "op7_line_dedup": op7_line_dedup,
