@@ -4,10 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import jaccard_join, line_dedup, mixing, multi_index, phrase_index, shards
+from parcelflow.llm import (
+    factorization,
+    jaccard_join,
+    language,
+    licenses,
+    line_dedup,
+    mixing,
+    multi_index,
+    phrase_index,
+    pseudonyms,
+    shards,
+)
+
+# A cluster passes a secret of its own to the operator.
+KEY = "registered-query"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +42,17 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked_documents(_table(spark, sf_dir, "documents"), similarity)
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and templates in all documents."""
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
+def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts with pseudonyms for personal data."""
+    named = pseudonyms.pseudonymise(_table(spark, sf_dir, "documents"), KEY)
+    return named.select("doc_id", "n_private", "text")
+
+
 def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards whose bytes are near equal, equal texts together."""
     placed = shards.assign_shards(_table(spark, sf_dir, "documents"), 16)
@@ -51,13 +76,44 @@ def op8_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_index.contamination(docs, items, length=10).drop("content")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from three quarters of the labels."""
+    docs, labels = (_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    held_out = _remainder(4) == 2
+    machine = factorization.learn(docs, labels.where(~held_out))
+    return factorization.score(docs, machine).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from four fifths of them."""
+    docs = _table(spark, sf_dir, "documents")
+    held_out = _remainder(5) == 0
+    network = language.learn(docs.where(~held_out))
+    return language.identify(docs, network).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
+def _remainder(parts: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
 QUERIES: dict[str, Query] = {
     "op1_multi_index": op1_multi_index,
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_licenses": op3_licenses,
+    "op4_pseudonyms": op4_pseudonyms,
     "op5_shards": op5_shards,
     "op6_mixing": op6_mixing,
     "op7_line_dedup": op7_line_dedup,
     "op8_phrase_index": op8_phrase_index,
+    "op9_toxicity": op9_toxicity,
+    "op10_language": op10_language,
 }
 
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
