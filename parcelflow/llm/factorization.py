@@ -133,7 +133,7 @@ def fit(
     return Machine(bias, buckets, weights, vectors)
 
 
-def _telling(documents: list[np.ndarray], toxic: np.ndarray, least: float = 4.0) -> np.ndarray:
+def _telling(documents: list[np.ndarray], toxic: np.ndarray, least: float = 3.0) -> np.ndarray:
     """Buckets whose documents are of one class ``least`` standard deviations more than chance."""
     every, inverse = np.unique(np.concatenate(documents), return_inverse=True)
     counts = np.bincount(inverse, minlength=len(every))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 # The formats. Each stands alone, without letters or digits beside it.
 EMAIL = r"[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"
-PHONE = r"\+1 \([2-9][0-9]{2}\) [0-9]{3}-[0-9]{4}(?![0-9])"
+PHONE = r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}(?![0-9])"
 CARD = r"[0-9]{13,19}+(?![A-Za-z0-9])"
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
 ADDRESS = r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z])(?!\.[0-9])"
@@ -96,10 +96,10 @@ def _card(value: Column, key: str) -> Column:
 
 def _phone(value: Column, key: str) -> Column:
     low = F.concat(F.substring(value, 10, 3), F.substring(value, 14, 4))
-    new = permute(_digits(value, 5, 3) - 200, low, F.lit(800), F.lit(10**7), key, "phone")
+    new = permute(_digits(value, 5, 3), low, F.lit(1000), F.lit(10**7), key, "phone")
     rest = _padded(new["low"], 7)
     return F.concat(
-        F.lit("+1 ("), (new["high"] + 200).cast("string"), F.lit(") "),
+        F.lit("+1 ("), _padded(new["high"], 3), F.lit(") "),
         F.substring(rest, 1, 3), F.lit("-"), F.substring(rest, 4, 4),
     )
 
