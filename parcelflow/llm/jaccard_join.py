@@ -12,8 +12,8 @@ of the parts on which it equals a similar set at least one is not empty. A set
 with more empty parts has those signatures too.
 
 Sets that share a signature are candidates. They are not compared all with all:
-each is first compared with the most central set of the groups it is in, then
-only sets that are not yet connected are compared. Every link between sets of
+each is first compared with the most central set of the groups it is in, then only
+sets that are not yet connected and differ from it in like ways. Every link between sets of
 different components has then been looked for, so the components are exact.
 
 Defined results: null texts and texts without words have empty sets and no
@@ -27,6 +27,7 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,8 @@ from parcelflow.sources import keep, stage
 
 # Sets of a task whose copies are not signed again.
 SEEN_SETS = 200_000
+# Counts of hashed n-grams that decide which are rare.
+BUCKETS = 1 << 18
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -145,7 +148,7 @@ def linked_documents(
     shared = _shared_signatures(texts.where("doc_id IS NOT NULL"), copies, similarity)
     edges = [copies.select(F.col("doc_id").alias("one"), F.col("label").alias("other"))]
     labels, tested = copies, None
-    for choice in (_central_pairs, _leader_pairs, _remaining_pairs):
+    for choice in (_central_pairs, _leader_pairs, partial(_remaining_pairs, texts=texts)):
         pairs = keep(_untested(choice(relabelled(shared, labels), similarity), tested), "pairs")
         found = keep(_verified(texts, pairs, similarity), "links")
         edges.append(found)
@@ -241,19 +244,64 @@ def _leader_pairs(labelled: DataFrame, similarity: Similarity) -> DataFrame:
     return led.select(*_pair(F.col("doc_id"), F.col("leader.doc_id"))).distinct()
 
 
-def _remaining_pairs(labelled: DataFrame, similarity: Similarity) -> DataFrame:
-    """Documents of different components that share a signature."""
-    open_groups = _leaders(labelled).select("signature")
-    rows = labelled.join(open_groups, "signature", "left_semi").select("signature", "doc_id", "label", "size")
-    partners = rows.withColumnsRenamed({"doc_id": "partner", "label": "its_label", "size": "its_size"})
+def _remaining_pairs(labelled: DataFrame, similarity: Similarity, texts: DataFrame) -> DataFrame:
+    """Documents of different components that share a group and enough differences to its leader.
+
+    Both have been compared with the leader of the group. The difference of two
+    sets is what only one of their differences to the leader holds, so linked
+    sets of other components have at least ``need`` differences in common, and
+    one of these is early enough in both when differences are put in any one
+    order. Counts of hashed n-grams decide on that order, rare ones first, so
+    near copies with changes of their own and sets with the same frequent
+    passage are told apart without being paired.
+    """
+    leaders = _leaders(labelled).select("signature", F.col("leader.doc_id").alias("leader"))
+    led = labelled.join(leaders, "signature")
+    members = led.where("doc_id <> leader").select("leader", "doc_id", "label", "size").distinct()
+    known = _needed_texts(texts, stage(members, "members").df.select(F.explode(F.array("leader", "doc_id"))))
+    own = known.select(F.col("known_id").alias("doc_id"), "text")
+    central = known.select(F.col("known_id").alias("leader"), F.col("text").alias("leader_text"))
+    differences = keep(
+        members.join(own, "doc_id").join(central, "leader").mapInArrow(
+            _differences(similarity),
+            "leader long, doc_id long, label long, size int, grams array<long>",
+        ),
+        "differences",
+    )
+    bucket = F.call_function("shiftrightunsigned", "gram", F.lit(46)).cast("int").alias("bucket")
+    counted = differences.select(F.explode("grams").alias("gram")).groupBy(bucket).count()
+    counts = np.zeros(BUCKETS, np.int64)
+    for row in counted.collect():  # at most BUCKETS rows
+        counts[row.bucket] = row["count"]
+    placed = keep(
+        differences.mapInArrow(
+            _in_order(similarity, counts),
+            "leader long, gram long, doc_id long, label long, size int, differing int, place int",
+        ),
+        "places",
+    )
+    group = ["leader", "gram"]
+    met = placed.groupBy(*group).agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    rows = placed.join(met.where("low < high").select(*group), group, "left_semi")
+    partners = rows.select(
+        *group, *[F.col(c).alias(f"other_{c}") for c in ("doc_id", "label", "size", "differing", "place")]
+    )
+    most = F.floor(
+        (F.col("size") + F.col("other_size")) * (100 - similarity.percent) / (100 + similarity.percent)
+    )
+    need = F.greatest(
+        F.lit(1), F.ceil((F.col("differing") + F.col("other_differing") - most) / 2)
+    )
     return (
-        rows.join(partners, "signature")
+        rows.join(partners, group)
         .where(
-            (F.col("doc_id") < F.col("partner"))
-            & (F.col("label") != F.col("its_label"))
-            & _near_size(F.col("size"), F.col("its_size"), similarity)
+            (F.col("doc_id") < F.col("other_doc_id"))
+            & (F.col("label") != F.col("other_label"))
+            & _near_size(F.col("size"), F.col("other_size"), similarity)
+            & (F.col("place") <= F.col("differing") - need + 1)
+            & (F.col("other_place") <= F.col("other_differing") - need + 1)
         )
-        .select(F.col("doc_id").alias("one"), F.col("partner").alias("other"))
+        .select(F.col("doc_id").alias("one"), F.col("other_doc_id").alias("other"))
         .distinct()
     )
 
@@ -262,15 +310,19 @@ def _untested(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
     return pairs if tested is None else pairs.join(tested, ["one", "other"], "left_anti")
 
 
+def _needed_texts(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """``known_id, text`` of the documents whose ids are in the one column of ``ids``."""
+    needed = stage(ids.toDF("needed").distinct(), "needed")
+    side = F.broadcast(needed.df) if needed.bytes <= BROADCAST_BYTES else needed.df
+    rows = texts.join(side, F.col("doc_id") == F.col("needed"), "left_semi")
+    return keep(rows.select(F.col("doc_id").alias("known_id"), "text"), "texts")
+
+
 def _verified(texts: DataFrame, pairs: DataFrame, similarity: Similarity) -> DataFrame:
     """The pairs that are linked, by comparing their sets."""
-    ids = stage(
-        pairs.select(F.explode(F.array("one", "other")).alias("needed")).distinct(), "needed"
-    )
-    side = F.broadcast(ids.df) if ids.bytes <= BROADCAST_BYTES else ids.df
-    known = keep(texts.join(side, F.col("doc_id") == F.col("needed"), "left_semi"), "texts")
-    one = known.select(F.col("doc_id").alias("one"), F.col("text").alias("one_text"))
-    other = known.select(F.col("doc_id").alias("other"), F.col("text").alias("other_text"))
+    known = _needed_texts(texts, pairs.select(F.explode(F.array("one", "other"))))
+    one = known.select(F.col("known_id").alias("one"), F.col("text").alias("one_text"))
+    other = known.select(F.col("known_id").alias("other"), F.col("text").alias("other_text"))
     compared = pairs.join(other, "other").join(one, "one")
     return compared.mapInArrow(_compare(similarity), "one long, other long").distinct()
 
@@ -334,6 +386,55 @@ def _sign(similarity: Similarity):
     return sign
 
 
+def _differences(similarity: Similarity):
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_text, last = None, np.empty(0, np.uint64)
+        for batch in batches:
+            grams = []
+            for text, central in zip(
+                byte_texts(batch.column("text")), byte_texts(batch.column("leader_text")), strict=True
+            ):
+                if central != last_text:
+                    last_text, last = central, ngrams(central, similarity.words)
+                grams.append(np.setxor1d(ngrams(text, similarity.words), last, assume_unique=True).view(np.int64))
+            names = ["leader", "doc_id", "label", "size"]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(n) for n in names], pa.array(grams, pa.list_(pa.int64()))], names=[*names, "grams"]
+            )
+
+    return differ
+
+
+def _in_order(similarity: Similarity, counts: np.ndarray):
+    def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The differences that can be early enough for a partner, rare ones first."""
+        for batch in batches:
+            chosen, places, taken, totals = [], [], [], []
+            for grams, size in zip(
+                batch.column("grams").to_pylist(), batch.column("size").to_pylist(), strict=True
+            ):
+                own = np.array(grams, np.int64)
+                seen = counts[(own.view(np.uint64) >> np.uint64(46)).astype(np.int64)]
+                first = np.lexsort((own, seen))[: similarity.differing(size) + 1]
+                chosen.append(own[first])
+                places.append(np.arange(1, len(first) + 1, dtype=np.int32))
+                taken.append(len(first))
+                totals.append(len(own))
+            rows = pa.array(np.repeat(np.arange(len(taken)), taken))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("leader").take(rows),
+                    pa.array(np.concatenate([*chosen, np.empty(0, np.int64)])),
+                    *[batch.column(n).take(rows) for n in ("doc_id", "label", "size")],
+                    pa.array(np.array(totals, np.int32)).take(rows),
+                    pa.array(np.concatenate([*places, np.empty(0, np.int32)])),
+                ],
+                names=["leader", "gram", "doc_id", "label", "size", "differing", "place"],
+            )
+
+    return order
+
+
 def _compare(similarity: Similarity):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_id, last = None, np.empty(0, np.uint64)
