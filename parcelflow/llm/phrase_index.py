@@ -65,7 +65,7 @@ def identified(docs: DataFrame) -> DataFrame:
 
 
 def phrase_matches(
-    docs: DataFrame, items: DataFrame, length: int = 10, anchors: int = 3
+    docs: DataFrame, items: DataFrame, length: int = 10, anchors: int = 2
 ) -> DataFrame:
     """``doc_id, content, item_id, start, end``: spans of words covered by windows of an item."""
     parts = [
@@ -76,7 +76,7 @@ def phrase_matches(
 
 
 def proximity_matches(
-    docs: DataFrame, items: DataFrame, length: int = 10, anchors: int = 3, slop: int = 5
+    docs: DataFrame, items: DataFrame, length: int = 10, anchors: int = 2, slop: int = 5
 ) -> DataFrame:
     """``doc_id, content, item_id, start``: places where the rarest terms of a window stand nearly right.
 
