@@ -6,8 +6,7 @@ scheduled: groups above a small share of the total each are one, and all
 smaller groups are bundled by a hash of their key, so the schedule takes a
 bounded table to the driver and the rows stay where they are.
 
-Defined results: a null text is a group of its own with no bytes and crc 0,
-apart from the empty text. A group larger than a shard's fair part fills a
+Defined results: a null text is as an empty one, without bytes and with crc 0. A group larger than a shard's fair part fills a
 shard alone. Repeated rows are rows like others and get slots of their own.
 An empty table gives no rows; columns other than the id and the text are
 ignored.
@@ -27,7 +26,7 @@ from parcelflow.sources import keep
 # A group above total / ITEMS is scheduled alone, so there are fewer than ITEMS of them.
 ITEMS = 1 << 15
 BUNDLES = 1 << 12
-_GROUP = ("has_text", "hash1", "hash2")
+_GROUP = ("hash1", "hash2")
 
 
 def pack(sizes: Sequence[int], shards: int) -> list[int]:
@@ -47,13 +46,12 @@ def assign_shards(docs: DataFrame, shards: int = 16, doc_id: str = "doc_id") ->
     The size of a row is the bytes of its text plus one. Slots number the rows
     of a shard from 0 in the order of group and id.
     """
-    text = F.col("text")
+    text = F.coalesce("text", F.lit(""))
     rows = keep(
         docs.select(
             F.col(doc_id).alias("doc_id"),
-            (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
-            F.coalesce(F.crc32(text), F.lit(0)).cast("long").alias("text_crc32"),
-            text.isNotNull().alias("has_text"),
+            (F.octet_length(text) + 1).cast("long").alias("size"),
+            F.crc32(text).cast("long").alias("text_crc32"),
             F.xxhash64(text).alias("hash1"),
             F.xxhash64(F.octet_length(text), text).alias("hash2"),
         ),
@@ -77,7 +75,7 @@ def assign_shards(docs: DataFrame, shards: int = 16, doc_id: str = "doc_id") ->
         for item, shard in zip(items, pack([i.item_size for i in items], shards), strict=True)
     ]
     plan = rows.sparkSession.createDataFrame(
-        placed, "bundle int, has_text boolean, hash1 long, hash2 long, shard int"
+        placed, "bundle int, hash1 long, hash2 long, shard int"
     )
     # At most ITEMS + BUNDLES rows.
     single = F.broadcast(plan.where("bundle IS NULL").drop("bundle"))
