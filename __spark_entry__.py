@@ -150,11 +150,11 @@ def _imputed(layers: Layers) -> DataFrame:
     return op.impute_mean(filled, SPEC.mean_columns, SPEC.mean_decimals)
 
 
-def _carry(layers: Layers, **options: int) -> DataFrame:
+def _carry(layers: Layers) -> DataFrame:
     rows = _typed(layers).select(
         ID, "code_commune", "nombre_de_lots", "valeur_fonciere", "date_mutation"
     )
-    return op.carry_forward(rows, [ID, "date_mutation"], ["code_commune"], **options)
+    return op.carry_forward(rows, [ID, "date_mutation"], ["code_commune"])
 
 
 def _global_mean(layers: Layers) -> DataFrame:
@@ -191,15 +191,6 @@ def _document_ids(layers: Layers) -> DataFrame:
     return op.surrogate_key(documents, "id_document", [ID])
 
 
-def _medians_distributed(layers: Layers) -> DataFrame:
-    star = layers.star
-    dated = star.lookup(star.facts.select("id_temps", "valeur_fonciere"), "dim_temps", ["annee", "mois"])
-    medians = op.exact_median(
-        dated, ["annee", "mois"], "valeur_fonciere", "valeur_fonciere_mediane", single_task_rows=0
-    )
-    return _rounded(medians, {"valeur_fonciere_mediane": 4})
-
-
 _OPERATORS: dict[str, Callable[[Layers], DataFrame]] = {
     "scan_delimited": _scan_delimited,
     "scan_multi_file": _scan_multi_file,
@@ -258,7 +249,6 @@ _OPERATORS: dict[str, Callable[[Layers], DataFrame]] = {
     # Missing dates sort first, so the date before a missing one is missing too.
     "carry_lag_parity": lambda l: _typed(l).select(ID, "valeur_fonciere", "date_mutation"),
     "carry_forward": _carry,
-    "carry_forward_distributed": lambda l: _carry(l, single_task_rows=0),
     "rebate_price": lambda l: op.rebate_price(_imputed(l)).select(
         ID, "code_departement", "valeur_fonciere", "prix_a_payer"
     ),
@@ -288,7 +278,6 @@ _OPERATORS: dict[str, Callable[[Layers], DataFrame]] = {
     "surrogate_key_distributed": _document_ids,
     "facts": lambda l: l.star.facts,
     "star_integrity": lambda l: op.star_integrity(l.star.facts),
-    "q04_median_month_distributed": _medians_distributed,
 }
 
 _MARTS: dict[str, Callable[[Layers], DataFrame]] = {

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.functions import lenient_date, lenient_double, lenient_int
-from parcelflow.operators.ordered import SINGLE_TASK_ROWS, carry_last
+from parcelflow.operators.ordered import carry_last
 
 # Columns left out, sentinels, departments with a rebate and its factor.
 DROPPED_COLUMNS = (
@@ -151,10 +151,9 @@ def carry_forward(
     order_cols: Sequence[str],
     partition_cols: Sequence[str] = (),
     column: str = "date_mutation",
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Replace missing dates by the last known one in an explicit order.
 
     Not part of ``clean``, which leaves missing dates missing.
     """
-    return carry_last(df, column, order_cols, partition_cols, single_task_rows)
+    return carry_last(df, column, order_cols, partition_cols)

@@ -3,8 +3,7 @@
 A window without a partition column sends every row to one task. Here the rows
 are range-partitioned and written once with the number of their range. Each
 range is then scanned on its own, and what precedes it comes from a table with
-one row per range (and group). Running totals and ranks use a plain window
-below ``SINGLE_TASK_ROWS`` counted rows.
+one row per range (and group).
 """
 
 from __future__ import annotations
@@ -16,9 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelflow.operators.joins import dimension_join, row_hash
-from parcelflow.sources.staging import Staged, keep, stage
+from parcelflow.sources.staging import keep, stage
 
-SINGLE_TASK_ROWS = 1_000_000
 _RANGE = "__range"
 
 
@@ -91,7 +89,7 @@ def surrogate_key(df: DataFrame, id_column: str, order: Sequence[str]) -> DataFr
     # One row per range, so never more than there are shuffle partitions.
     numbered = placed.join(F.broadcast(offsets), _RANGE)
     number = F.col("__offset") + F.col("__place") + 1
-    return numbered.select(*[f"`{c}`" for c in df.columns], number.cast("int").alias(id_column))
+    return numbered.select(*[f"`{c}`" for c in df.columns], number.alias(id_column))
 
 
 def running_total(
@@ -100,21 +98,17 @@ def running_total(
     weight: Column,
     running: str,
     by: Sequence[str] = (),
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Running sum of integer weights in a total order, per group of ``by``."""
     ranges = _in_ranges(df.withColumn("__weight", weight), by, order)
-    if ranges.rows <= single_task_rows:
-        so_far = Window.partitionBy(*by).orderBy(*order).rowsBetween(*_SO_FAR)
-        return ranges.df.withColumn(running, F.sum("__weight").over(so_far)).drop("__weight", _RANGE)
-    sums = ranges.df.groupBy(_RANGE, *by).agg(F.sum("__weight").alias("__range_sum"))
+    sums = ranges.groupBy(_RANGE, *by).agg(F.sum("__weight").alias("__range_sum"))
     earlier = Window.partitionBy(*by).orderBy(_RANGE).rowsBetween(*_EARLIER)
     offsets = sums.select(
         _RANGE, *by, F.coalesce(F.sum("__range_sum").over(earlier), F.lit(0)).alias("__offset")
     )
     within = Window.partitionBy(_RANGE, *by).orderBy(*order).rowsBetween(*_SO_FAR)
     return (
-        _with_range_row(ranges.df, offsets, by)
+        _with_range_row(ranges, offsets, by)
         .withColumn(running, F.sum("__weight").over(within) + F.col("__offset"))
         .drop("__weight", "__offset", _RANGE)
     )
@@ -125,7 +119,6 @@ def carry_last(
     column: str,
     order: Sequence[str],
     by: Sequence[str] = (),
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Replace NULLs of a column by its last value in the order of the group.
 
@@ -135,48 +128,37 @@ def carry_last(
     total_order = [*order, "__tie"]
     ascending = [F.col(c).asc() for c in total_order]
     ranges = _in_ranges(df.withColumn("__tie", row_hash(df)), by, ascending)
-    if ranges.rows <= single_task_rows:
-        so_far = Window.partitionBy(*by).orderBy(*ascending).rowsBetween(*_SO_FAR)
-        filled = F.last(column, ignorenulls=True).over(so_far)
-        return ranges.df.withColumn(column, filled).drop("__tie", _RANGE)
     # max_by skips the rows whose ordering value is NULL.
     place = F.when(F.col(column).isNotNull(), F.struct(*total_order))
-    parts = ranges.df.groupBy(_RANGE, *by).agg(F.max_by(column, place).alias("__part"))
+    parts = ranges.groupBy(_RANGE, *by).agg(F.max_by(column, place).alias("__part"))
     earlier = Window.partitionBy(*by).orderBy(_RANGE).rowsBetween(*_EARLIER)
     carried = parts.withColumn("__carried", F.last("__part", ignorenulls=True).over(earlier))
     within = Window.partitionBy(_RANGE, *by).orderBy(*ascending).rowsBetween(*_SO_FAR)
     filled = F.coalesce(F.last(column, ignorenulls=True).over(within), F.col("__carried"))
     return (
-        _with_range_row(ranges.df, carried.drop("__part"), by)
+        _with_range_row(ranges, carried.drop("__part"), by)
         .withColumn(column, filled)
         .drop("__carried", "__tie", _RANGE)
     )
 
 
-def rank_over_all(
-    df: DataFrame, ranks: Mapping[str, str], single_task_rows: int = SINGLE_TASK_ROWS
-) -> DataFrame:
+def rank_over_all(df: DataFrame, ranks: Mapping[str, str]) -> DataFrame:
     """Add the rank of each row over the whole table, largest value first.
 
     ``ranks`` names the column ranked by each new column. Equal values share a
-    rank and NULLs come last. On a large table the distinct values are ranked,
-    weighted by how often they occur, and joined back.
+    rank and NULLs come last. The distinct values are ranked, weighted by how
+    often they occur, and joined back.
     """
-    ranked = stage(df, "ranked")
-    if ranked.rows <= single_task_rows:
-        places = {
-            name: F.rank().over(Window.orderBy(F.col(value).desc()))
-            for name, value in ranks.items()
-        }
-        return ranked.df.withColumns(places)
-    result = ranked.df
+    ranked = keep(df, "ranked")
+    result = ranked
     for name, value in ranks.items():
-        values = ranked.df.groupBy(value).agg(F.count(F.lit(1)).alias("__n"))
-        counted = running_total(
-            values, [F.col(value).desc()], F.col("__n"), "__upto", single_task_rows=single_task_rows
+        values = ranked.groupBy(value).agg(F.count(F.lit(1)).alias("__n"))
+        counted = running_total(values, [F.col(value).desc()], F.col("__n"), "__upto")
+        place = (F.col("__upto") - F.col("__n") + 1).alias(name)
+        places = stage(counted.select(value, place), "places")
+        result = dimension_join(
+            result, places.df, [value], null_safe=True, dim_bytes=places.bytes, counted=ranked
         )
-        place = (F.col("__upto") - F.col("__n") + 1).cast("int").alias(name)
-        result = dimension_join(result, counted.select(value, place), [value], null_safe=True)
     return result
 
 
@@ -185,7 +167,6 @@ def exact_median(
     by: Sequence[str],
     value: str,
     median: str,
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Median per group with linear interpolation, as ``percentile_cont(0.5)``.
 
@@ -213,9 +194,8 @@ def exact_median(
         bucketed, middle.df, [*by, "__bucket"], "inner", null_safe=True, dim_bytes=middle.bytes
     )
     counts = near.groupBy(*by, value, "__before", "__all").agg(F.count(value).alias("__n"))
-    scanned = running_total(
-        counts, [F.col(value).asc()], F.col("__n"), "__seen", by, single_task_rows=single_task_rows
-    ).withColumn("__upto", F.col("__before") + F.col("__seen"))
+    seen = running_total(counts, [F.col(value).asc()], F.col("__n"), "__seen", by)
+    scanned = seen.withColumn("__upto", F.col("__before") + F.col("__seen"))
 
     def value_at(place: str) -> Column:
         reached = F.expr(f"__upto >= {place} AND __upto - __n < {place}")
@@ -240,14 +220,14 @@ _SO_FAR = (Window.unboundedPreceding, Window.currentRow)
 _EARLIER = (Window.unboundedPreceding, -1)
 
 
-def _in_ranges(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> Staged:
+def _in_ranges(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Write ``df`` in ranges of the order, with the number of the range.
 
     Bounds of ranges come from a sample and may differ if a task runs again, so
     the number is fixed in the written table before anything depends on it.
     """
     ranged = df.repartitionByRange(*[F.col(c).asc() for c in by], *order)
-    return stage(ranged.withColumn(_RANGE, F.spark_partition_id()), "ranges")
+    return keep(ranged.withColumn(_RANGE, F.spark_partition_id()), "ranges")
 
 
 def _with_range_row(rows: DataFrame, per_range: DataFrame, by: Sequence[str]) -> DataFrame:

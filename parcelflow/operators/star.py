@@ -6,8 +6,10 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from parcelflow.operators.joins import BROADCAST_BYTES, dimension_join
 from parcelflow.operators.ordered import surrogate_key
@@ -107,7 +109,8 @@ def build_dimension(clean: DataFrame, spec: DimensionSpec, base: str | None = No
     """
     keys = clean.select(*spec.columns).distinct()
     numbered = surrogate_key(keys, spec.id_column, spec.columns)
-    return stage(numbered, spec.name, base=base)
+    narrow = numbered.withColumn(spec.id_column, F.col(spec.id_column).cast("int"))
+    return stage(narrow, spec.name, base=base)
 
 
 def build_dimensions(clean: DataFrame, base: str | None = None) -> dict[str, Staged]:
@@ -117,7 +120,8 @@ def build_dimensions(clean: DataFrame, base: str | None = None) -> dict[str, Sta
         return build_dimension(clean, spec, base)
 
     with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
-        return {spec.name: dim for spec, dim in zip(DIMENSIONS, pool.map(build, DIMENSIONS))}
+        run = inheritable_thread_target(clean.sparkSession)(build)
+        return {spec.name: dim for spec, dim in zip(DIMENSIONS, pool.map(run, DIMENSIONS))}
 
 
 def attach_keys(
@@ -157,9 +161,19 @@ def build_star(
     return Star({**tables, FACTS: written}, sizes, broadcast_bytes)
 
 
-def load_star(spark: SparkSession, base: str, broadcast_bytes: int = BROADCAST_BYTES) -> Star:
-    """Read a star from a gold folder and register its tables as temporary views."""
-    tables = read_layer(spark, base, [*(spec.name for spec in DIMENSIONS), FACTS])
+def load_star(
+    spark: SparkSession,
+    base: str,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    schemas: Mapping[str, StructType] | None = None,
+) -> Star:
+    """Read a star from a gold folder and register its tables as temporary views.
+
+    Without ``schemas`` of its tables, the type of the year is fixed and all
+    other types are those the files hold.
+    """
+    tables = read_layer(spark, base, [*(spec.name for spec in DIMENSIONS), FACTS], schemas)
+    tables[FACTS] = tables[FACTS].withColumn("annee", F.col("annee").cast("int"))
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     sizes = {spec.name: measure(tables[spec.name]) for spec in DIMENSIONS}

@@ -37,12 +37,14 @@ def run(
     )
     bronze = f"{out}/bronze"
     write_layer({BRONZE_TABLE: raw}, bronze, {BRONZE_TABLE: [SOURCE_COLUMN]})
-    rows = read_layer(spark, bronze, [BRONZE_TABLE])[BRONZE_TABLE].drop(SOURCE_COLUMN)
+    raw_rows = read_layer(spark, bronze, [BRONZE_TABLE], {BRONZE_TABLE: raw.schema})[BRONZE_TABLE]
 
     silver = f"{out}/silver"
-    write_layer({SILVER_TABLE: clean(rows, spec)}, silver, {SILVER_TABLE: ["annee"]})
-    clean_rows = read_layer(spark, silver, [SILVER_TABLE])[SILVER_TABLE]
+    cleaned = clean(raw_rows.drop(SOURCE_COLUMN), spec)
+    write_layer({SILVER_TABLE: cleaned}, silver, {SILVER_TABLE: ["annee"]})
+    known = {SILVER_TABLE: cleaned.schema}
+    clean_rows = read_layer(spark, silver, [SILVER_TABLE], known)[SILVER_TABLE]
 
     gold = f"{out}/gold"
-    build_star(clean_rows, null_safe, gold)
-    return load_star(spark, gold)
+    built = build_star(clean_rows, null_safe, gold)
+    return load_star(spark, gold, schemas={name: df.schema for name, df in built.tables.items()})

@@ -3,7 +3,7 @@
 from parcelflow.sources.delimited import read_delimited, read_extracts, union_years
 from parcelflow.sources.layers import read_layer, write_layer, write_table
 from parcelflow.sources.links import extract_links, latest_per_key
-from parcelflow.sources.staging import Staged, keep, measure, shared_dir, stage
+from parcelflow.sources.staging import Staged, keep, measure, release, shared_dir, stage
 
 __all__ = [
     "Staged",
@@ -14,6 +14,7 @@ __all__ = [
     "read_delimited",
     "read_extracts",
     "read_layer",
+    "release",
     "shared_dir",
     "stage",
     "union_years",

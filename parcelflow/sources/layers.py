@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -28,6 +29,20 @@ def write_layer(
         write_table(df, f"{base}/{name}", (partition_by or {}).get(name, ()))
 
 
-def read_layer(spark: SparkSession, base: str, names: Iterable[str]) -> dict[str, DataFrame]:
-    """Tables of a layer by name."""
-    return {name: spark.read.parquet(f"{base}/{name}") for name in names}
+def read_layer(
+    spark: SparkSession,
+    base: str,
+    names: Iterable[str],
+    schemas: Mapping[str, StructType] | None = None,
+) -> dict[str, DataFrame]:
+    """Tables of a layer by name.
+
+    A table whose schema is given is read with it; types of partition columns
+    are otherwise guessed from the names of folders.
+    """
+    tables = {}
+    for name in names:
+        schema = (schemas or {}).get(name)
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        tables[name] = reader.parquet(f"{base}/{name}")
+    return tables

@@ -7,10 +7,9 @@ later steps can check what they would broadcast or send to one task.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import cache, cached_property
+from functools import cached_property
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,21 +34,26 @@ class Staged:
         return measure(self.df)
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="parcelflow-")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """Folder of this application inside the cluster's checkpoint folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.conf.get("spark.master").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor shares")
-        base = _local_folder()
+    """Folder of this application inside the cluster's checkpoint folder, or else its warehouse."""
+    base = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
+    )
     return f"{base.rstrip('/')}/parcelflow/{spark.conf.get('spark.app.id')}"
 
 
+def release(spark: SparkSession) -> None:
+    """Delete everything that ``keep`` wrote for this application without a ``base``.
+
+    Frames returned by operators are lazy and read these tables, so this is for
+    the end of a session, when all results are written.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def keep(
     df: DataFrame, name: str, partition_by: Sequence[str] = (), base: str | None = None
 ) -> DataFrame:

@@ -25,7 +25,10 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    from parcelflow.sources import release
+
     yield session
+    release(session)
     session.stop()
 
 

@@ -27,83 +27,83 @@ def skewed(spark):
     return spark.createDataFrame(rows, "n int, g int, v double").repartition(6, "n").cache()
 
 
-@pytest.fixture(params=["small", "large"])
-def limit(request, spark):
-    """Without coalescing, the large path really has several ranges."""
+@pytest.fixture(autouse=True)
+def several_ranges(spark):
+    """Without coalescing there really are several ranges."""
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    yield 10**6 if request.param == "small" else 0
+    yield
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
-def test_surrogate_key(skewed, limit):
+def test_surrogate_key(skewed):
     keys = skewed.select("g", "v").distinct()
     window = Window.orderBy(F.col("g").asc(), F.col("v").asc())
     plain = keys.withColumn("id", F.row_number().over(window))
     ours = surrogate_key(keys, "id", ["g", "v"])
     assert bag(ours) == bag(plain)
-    assert dict(ours.dtypes)["id"] == "int"
+    assert dict(ours.dtypes)["id"] == "bigint"
 
 
-def test_running_total(skewed, limit):
+def test_running_total(skewed):
     window = Window.partitionBy("g").orderBy(F.col("n").desc())
     upto = F.sum(F.col("n") % 5).over(window.rowsBetween(Window.unboundedPreceding, 0))
     plain = skewed.withColumn("upto", upto)
-    ours = running_total(skewed, [F.col("n").desc()], F.col("n") % 5, "upto", ["g"], limit)
+    ours = running_total(skewed, [F.col("n").desc()], F.col("n") % 5, "upto", ["g"])
     assert bag(ours) == bag(plain)
 
 
-def test_rank_with_ties_and_nulls(skewed, limit):
+def test_rank_with_ties_and_nulls(skewed):
     window = Window.orderBy(F.col("v").desc())
     plain = skewed.withColumn("place", F.rank().over(window))
-    ours = rank_over_all(skewed, {"place": "v"}, single_task_rows=limit)
+    ours = rank_over_all(skewed, {"place": "v"})
     assert bag(ours) == bag(plain)
 
 
-def test_two_ranks(skewed, limit):
+def test_two_ranks(skewed):
     plain = skewed.withColumns({
         "a": F.rank().over(Window.orderBy(F.col("v").desc())),
         "b": F.rank().over(Window.orderBy(F.col("g").desc())),
     })
-    assert bag(rank_over_all(skewed, {"a": "v", "b": "g"}, single_task_rows=limit)) == bag(plain)
+    assert bag(rank_over_all(skewed, {"a": "v", "b": "g"})) == bag(plain)
 
 
-def test_carry_last(skewed, limit):
+def test_carry_last(skewed):
     window = Window.partitionBy("g").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
     plain = skewed.withColumn("v", F.last("v", ignorenulls=True).over(window))
-    assert bag(carry_last(skewed, "v", ["n"], ["g"], limit)) == bag(plain)
+    assert bag(carry_last(skewed, "v", ["n"], ["g"])) == bag(plain)
 
 
-def test_carry_last_over_all(skewed, limit):
+def test_carry_last_over_all(skewed):
     window = Window.orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
     plain = skewed.withColumn("v", F.last("v", ignorenulls=True).over(window))
-    assert bag(carry_last(skewed, "v", ["n"], single_task_rows=limit)) == bag(plain)
+    assert bag(carry_last(skewed, "v", ["n"])) == bag(plain)
 
 
-def test_exact_median(skewed, limit):
+def test_exact_median(skewed):
     plain = skewed.groupBy("g").agg(F.percentile("v", 0.5).alias("m"))
-    assert bag(exact_median(skewed, ["g"], "v", "m", limit)) == bag(plain)
+    assert bag(exact_median(skewed, ["g"], "v", "m")) == bag(plain)
 
 
-def test_exact_median_of_signed_and_close_values(spark, limit):
+def test_exact_median_of_signed_and_close_values(spark):
     pick = random.Random(3)
     wide = [(g, pick.uniform(-1, 1) * 10 ** pick.randint(-3, 9)) for g in (1, 2) for _ in range(401 + g)]
     close = [(3, 1000 + n / 1e6) for n in range(500)]
     df = spark.createDataFrame(wide + close, "g int, v double").repartition(4)
     plain = df.groupBy("g").agg(F.percentile("v", 0.5).alias("m"))
-    got = {r.g: r.m for r in exact_median(df, ["g"], "v", "m", limit).collect()}
+    got = {r.g: r.m for r in exact_median(df, ["g"], "v", "m").collect()}
     assert got == pytest.approx({r.g: r.m for r in plain.collect()}, rel=1e-14)
 
 
-def test_median_of_a_group_of_nulls(spark, limit):
+def test_median_of_a_group_of_nulls(spark):
     df = spark.createDataFrame([(1, None), (1, None), (2, 4.0), (2, 7.0)], "g int, v double")
-    assert bag(exact_median(df, ["g"], "v", "m", limit)) == ["(1, None)", "(2, 5.5)"]
+    assert bag(exact_median(df, ["g"], "v", "m")) == ["(1, None)", "(2, 5.5)"]
 
 
-def test_empty_input(spark, limit):
+def test_empty_input(spark):
     none = spark.createDataFrame([], "g int, v double")
     assert surrogate_key(none, "id", ["g"]).count() == 0
-    assert exact_median(none, ["g"], "v", "m", limit).count() == 0
-    assert rank_over_all(none, {"r": "v"}, limit).count() == 0
+    assert exact_median(none, ["g"], "v", "m").count() == 0
+    assert rank_over_all(none, {"r": "v"}).count() == 0
 
 
 @pytest.mark.parametrize("pieces", [[], ["n"], ["part"], ["one"]])
@@ -162,7 +162,7 @@ def test_carry_last_splits_copies(spark):
     try:
         copies = spark.range(0, 8000, 1, 8).select(F.lit(2).alias("n"), F.lit(None).cast("int").alias("v"))
         first = spark.createDataFrame([(1, 7)], "n int, v int")
-        filled = carry_last(first.union(copies), "v", ["n"], single_task_rows=0)
+        filled = carry_last(first.union(copies), "v", ["n"])
         assert filled.groupBy("n", "v").count().orderBy("n").collect() == [(1, 7, 1), (2, 7, 8000)]
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

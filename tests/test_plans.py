@@ -3,6 +3,7 @@
 import re
 
 import __spark_entry__ as registry
+import oracle
 import pytest
 from parcelflow.operators import impute_mean, surrogate_key, with_total
 from parcelflow.plans import marts, proxy
@@ -23,7 +24,7 @@ def below_single_partition(plan):
     return [lines[i + 1] for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(oracle.STATEMENTS))
 def test_no_pairs_of_all_rows(spark, sf_dir, name):
     plan = plan_of(registry.queries()[name](spark, sf_dir))
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
@@ -78,3 +79,11 @@ def test_communes_are_looked_up_after_aggregation(layers):
 def test_top_k_limits_before_the_shuffle(layers):
     plan = plan_of(marts.top_sales_per_year(layers.star))
     assert plan.count("WindowGroupLimit") == 2
+
+
+@pytest.mark.parametrize("name", ["q06_price_m2_rank", "q11_attractiveness"])
+def test_ranks_send_no_rows_to_one_task(spark, sf_dir, name):
+    """What is left of single partitions holds one row per range or a small final sort."""
+    plan = plan_of(registry.queries()[name](spark, sf_dir))
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert all("__range" in line for line in windows)
