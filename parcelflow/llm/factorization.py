@@ -61,7 +61,7 @@ def terms(text: bytes) -> np.ndarray:
 
 
 def learn(
-    docs: DataFrame, labels: DataFrame, per_class: int = 8000, rank: int = 4, rounds: int = 12
+    docs: DataFrame, labels: DataFrame, per_class: int = 5000, rank: int = 4, rounds: int = 12
 ) -> Machine | None:
     """Fit on at most ``per_class`` labelled documents of each class, chosen by a hash of the id."""
     known = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").select(
