@@ -78,8 +78,10 @@ def nearest(
     enough = max(k + 1, share * sum(sizes.values()))
 
     distinct = asked.groupBy("vec").agg(F.min("id").alias("probe"))
+    # Few bytes, but much work a row: a stated number of tasks is not merged by their bytes.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     probes = keep(
-        distinct.select("probe", "vec").mapInPandas(
+        distinct.select("probe", "vec").repartition(tasks, "probe").mapInPandas(
             _walk(codebook, sizes, enough), "probe long, vec array<double>, c1 int, cells long"
         ),
         "probes",
