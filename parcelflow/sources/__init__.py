@@ -3,11 +3,22 @@
 from parcelflow.sources.delimited import read_delimited, read_extracts, union_years
 from parcelflow.sources.layers import read_layer, write_layer, write_table
 from parcelflow.sources.links import extract_links, latest_per_key
-from parcelflow.sources.staging import Staged, keep, measure, release, shared_dir, stage
+from parcelflow.sources.staging import (
+    Staged,
+    discard,
+    fresh_dir,
+    keep,
+    measure,
+    release,
+    shared_dir,
+    stage,
+)
 
 __all__ = [
     "Staged",
+    "discard",
     "extract_links",
+    "fresh_dir",
     "keep",
     "latest_per_key",
     "measure",

@@ -50,8 +50,24 @@ def release(spark: SparkSession) -> None:
     Frames returned by operators are lazy and read these tables, so this is for
     the end of a session, when all results are written.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, shared_dir(spark))
+
+
+def fresh_dir(spark: SparkSession, name: str) -> str:
+    """A new folder of the shared one, for tables that ``discard`` deletes when they are used up."""
+    return f"{shared_dir(spark)}/{name}-{uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table or folder below the shared one; nothing that is still to run may read it."""
+    if not path.startswith(f"{shared_dir(spark)}/"):
+        raise ValueError(f"{path} is not below the shared folder")
+    _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def keep(
@@ -62,7 +78,7 @@ def keep(
     It goes to a new folder of the shared one, or replaces ``base/name``.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid4().hex}" if base is None else f"{base}/{name}"
+    path = fresh_dir(spark, name) if base is None else f"{base}/{name}"
     write_table(df, path, partition_by)
     return spark.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
 

@@ -4,7 +4,7 @@ import pytest
 from parcelflow.operators import CleanSpec, build_star, clean
 from parcelflow.plans import marts, medallion
 from parcelflow.sources import (
-    extract_links, latest_per_key, read_delimited, read_extracts, read_layer, shared_dir, stage,
+    discard, extract_links, fresh_dir, keep, latest_per_key, read_delimited, read_extracts, read_layer, shared_dir, stage,
     union_years, write_layer,
 )
 from pyspark.sql import functions as F
@@ -103,6 +103,18 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_discard_deletes_only_shared_tables(spark, tmp_path):
+    base = fresh_dir(spark, "passing")
+    kept, gone = keep(spark.range(3), "kept"), keep(spark.range(3), "gone", base=base)
+    assert gone.count() == 3
+    discard(spark, base)
+    with pytest.raises(Exception):
+        spark.read.parquet(f"{base}/gone").count()
+    assert kept.count() == 3
+    with pytest.raises(ValueError):
+        discard(spark, str(tmp_path))
+
+
 PAGE = """<html><!-- <a href="https://x/valeursfoncieres-1999.zip">no</a> -->
 <script>var a = '<a href="https://x/valeursfoncieres-1998.zip">';</script>
 <link href="https://x/valeursfoncieres-2000.zip">
