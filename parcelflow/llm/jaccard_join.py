@@ -38,7 +38,7 @@ from xxhash import xxh64_intdigest
 from parcelflow.llm.components import components, relabelled
 from parcelflow.llm.words import SPACED, byte_texts, chunks
 from parcelflow.operators.joins import BROADCAST_BYTES
-from parcelflow.sources import keep, stage
+from parcelflow.sources import discard, fresh_dir, keep, stage
 
 # Sets of a task whose copies are not signed again.
 SEEN_SETS = 200_000
@@ -132,7 +132,11 @@ def _in_band(grams: np.ndarray, band: int, differing: int) -> np.ndarray:
 def linked_documents(
     docs: DataFrame, similarity: Similarity = Similarity(), doc_id: str = "doc_id"
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row."""
+    """``doc_id, n_shingles, component_id`` for every row.
+
+    Tables on the way are deleted as soon as what is made of them has been written.
+    """
+    spark, passing = docs.sparkSession, fresh_dir(docs.sparkSession, "jaccard")
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     sets = keep(
         texts.mapInArrow(_measure_sets(similarity), "doc_id long, n_shingles long, print1 long, print2 long"),
@@ -144,16 +148,21 @@ def linked_documents(
             full.groupBy("print1", "print2").agg(F.min("doc_id").alias("label")), ["print1", "print2"]
         ).where("doc_id > label").select("doc_id", "label"),
         "copies",
+        base=passing,
     )
-    shared = _shared_signatures(texts.where("doc_id IS NOT NULL"), copies, similarity)
+    shared = _shared_signatures(texts.where("doc_id IS NOT NULL"), copies, similarity, passing)
     edges = [copies.select(F.col("doc_id").alias("one"), F.col("label").alias("other"))]
     labels, tested = copies, None
-    for choice in (_central_pairs, _leader_pairs, partial(_remaining_pairs, texts=texts)):
-        pairs = keep(_untested(choice(relabelled(shared, labels), similarity), tested), "pairs")
-        found = keep(_verified(texts, pairs, similarity), "links")
+    remaining = partial(_remaining_pairs, texts=texts, passing=passing)
+    for number, choice in enumerate((_central_pairs, _leader_pairs, remaining)):
+        base = f"{passing}/{number}"
+        pairs = keep(_untested(choice(relabelled(shared, labels), similarity), tested), "pairs", base=base)
+        found = keep(_verified(texts, pairs, similarity, base), "links", base=base)
+        discard(spark, f"{base}/texts")
         edges.append(found)
         tested = pairs if tested is None else tested.unionByName(pairs)
         labels = components(_all(edges))
+    discard(spark, passing)
     return sets.join(labels, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id")
     )
@@ -179,7 +188,9 @@ def _all(frames: list[DataFrame]) -> DataFrame:
     return result
 
 
-def _shared_signatures(texts: DataFrame, copies: DataFrame, similarity: Similarity) -> DataFrame:
+def _shared_signatures(
+    texts: DataFrame, copies: DataFrame, similarity: Similarity, passing: str
+) -> DataFrame:
     """``signature, doc_id, size, members, weight`` of those that two or more sets have.
 
     ``weight`` adds up the members of all groups of a document: the set in the
@@ -199,11 +210,14 @@ def _shared_signatures(texts: DataFrame, copies: DataFrame, similarity: Similari
         .select("signature", F.coalesce("label", "doc_id").alias("doc_id"), "size")
         .distinct()
     )
-    groups = keep(single, "signatures")
+    groups = keep(single, "signatures", base=passing)
     members = groups.groupBy("signature").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    counted = keep(groups.join(members, "signature"), "groups")
+    counted = keep(groups.join(members, "signature"), "groups", base=passing)
+    discard(texts.sparkSession, f"{passing}/signatures")
     weights = counted.groupBy("doc_id").agg(F.sum("members").alias("weight"))
-    return keep(counted.join(weights, "doc_id"), "weighed")
+    weighed = keep(counted.join(weights, "doc_id"), "weighed", base=passing)
+    discard(texts.sparkSession, f"{passing}/groups")
+    return weighed
 
 
 def _leaders(labelled: DataFrame) -> DataFrame:
@@ -244,7 +258,9 @@ def _leader_pairs(labelled: DataFrame, similarity: Similarity) -> DataFrame:
     return led.select(*_pair(F.col("doc_id"), F.col("leader.doc_id"))).distinct()
 
 
-def _remaining_pairs(labelled: DataFrame, similarity: Similarity, texts: DataFrame) -> DataFrame:
+def _remaining_pairs(
+    labelled: DataFrame, similarity: Similarity, texts: DataFrame, passing: str
+) -> DataFrame:
     """Documents of different components that share a group and enough differences to its leader.
 
     Both have been compared with the leader of the group. The difference of two
@@ -254,20 +270,32 @@ def _remaining_pairs(labelled: DataFrame, similarity: Similarity, texts: DataFra
     order. Counts of hashed n-grams decide on that order, rare ones first, so
     near copies with changes of their own and sets with the same frequent
     passage are told apart without being paired.
+
+    A cell is a hash of a leader and one difference to it; two that collide
+    only add a pair that is then found not to be linked.
     """
+    spark = texts.sparkSession
     leaders = _leaders(labelled).select("signature", F.col("leader.doc_id").alias("leader"))
     led = labelled.join(leaders, "signature")
-    members = led.where("doc_id <> leader").select("leader", "doc_id", "label", "size").distinct()
-    known = _needed_texts(texts, stage(members, "members").df.select(F.explode(F.array("leader", "doc_id"))))
+    members = stage(
+        led.where("doc_id <> leader").select("leader", "doc_id", "label", "size").distinct(),
+        "members",
+        passing,
+    ).df
+    known = _needed_texts(texts, members.select(F.explode(F.array("leader", "doc_id"))), passing)
     own = known.select(F.col("known_id").alias("doc_id"), "text")
-    central = known.select(F.col("known_id").alias("leader"), F.col("text").alias("leader_text"))
+    central = known.join(
+        members.select(F.col("leader").alias("known_id")).distinct(), "known_id", "left_semi"
+    ).select(F.col("known_id").alias("leader"), F.col("text").alias("leader_text"))
     differences = keep(
         members.join(own, "doc_id").join(central, "leader").mapInArrow(
             _differences(similarity),
             "leader long, doc_id long, label long, size int, grams array<long>",
         ),
         "differences",
+        base=passing,
     )
+    discard(spark, f"{passing}/texts")
     bucket = F.call_function("shiftrightunsigned", "gram", F.lit(46)).cast("int").alias("bucket")
     counted = differences.select(F.explode("grams").alias("gram")).groupBy(bucket).count()
     counts = np.zeros(BUCKETS, np.int64)
@@ -277,14 +305,18 @@ def _remaining_pairs(labelled: DataFrame, similarity: Similarity, texts: DataFra
         differences.mapInArrow(
             _in_order(similarity, counts),
             "leader long, gram long, doc_id long, label long, size int, differing int, place int",
-        ),
+        ).select(F.xxhash64("leader", "gram").alias("cell"), "doc_id", "label", "size", "differing", "place"),
         "places",
+        base=passing,
     )
-    group = ["leader", "gram"]
-    met = placed.groupBy(*group).agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    rows = placed.join(met.where("low < high").select(*group), group, "left_semi")
+    discard(spark, f"{passing}/differences")
+    labels = placed.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    met = stage(labels.where("low < high").select("cell"), "met", passing)
+    side = F.broadcast(met.df) if met.bytes <= BROADCAST_BYTES else met.df
+    rows = keep(placed.join(side, "cell", "left_semi"), "met-places", base=passing)
+    discard(spark, f"{passing}/places")
     partners = rows.select(
-        *group, *[F.col(c).alias(f"other_{c}") for c in ("doc_id", "label", "size", "differing", "place")]
+        "cell", *[F.col(c).alias(f"other_{c}") for c in ("doc_id", "label", "size", "differing", "place")]
     )
     most = F.floor(
         (F.col("size") + F.col("other_size")) * (100 - similarity.percent) / (100 + similarity.percent)
@@ -293,7 +325,7 @@ def _remaining_pairs(labelled: DataFrame, similarity: Similarity, texts: DataFra
         F.lit(1), F.ceil((F.col("differing") + F.col("other_differing") - most) / 2)
     )
     return (
-        rows.join(partners, group)
+        rows.join(partners, "cell")
         .where(
             (F.col("doc_id") < F.col("other_doc_id"))
             & (F.col("label") != F.col("other_label"))
@@ -310,17 +342,17 @@ def _untested(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
     return pairs if tested is None else pairs.join(tested, ["one", "other"], "left_anti")
 
 
-def _needed_texts(texts: DataFrame, ids: DataFrame) -> DataFrame:
+def _needed_texts(texts: DataFrame, ids: DataFrame, base: str) -> DataFrame:
     """``known_id, text`` of the documents whose ids are in the one column of ``ids``."""
-    needed = stage(ids.toDF("needed").distinct(), "needed")
+    needed = stage(ids.toDF("needed").distinct(), "needed", base)
     side = F.broadcast(needed.df) if needed.bytes <= BROADCAST_BYTES else needed.df
     rows = texts.join(side, F.col("doc_id") == F.col("needed"), "left_semi")
-    return keep(rows.select(F.col("doc_id").alias("known_id"), "text"), "texts")
+    return keep(rows.select(F.col("doc_id").alias("known_id"), "text"), "texts", base=base)
 
 
-def _verified(texts: DataFrame, pairs: DataFrame, similarity: Similarity) -> DataFrame:
+def _verified(texts: DataFrame, pairs: DataFrame, similarity: Similarity, base: str) -> DataFrame:
     """The pairs that are linked, by comparing their sets."""
-    known = _needed_texts(texts, pairs.select(F.explode(F.array("one", "other"))))
+    known = _needed_texts(texts, pairs.select(F.explode(F.array("one", "other"))), base)
     one = known.select(F.col("known_id").alias("one"), F.col("text").alias("one_text"))
     other = known.select(F.col("known_id").alias("other"), F.col("text").alias("other_text"))
     compared = pairs.join(other, "other").join(one, "one")
