@@ -32,6 +32,8 @@ except ModuleNotFoundError as missing:
 YEARS = (1998, 2001)
 LAST_YEARS = (2000, 2001)
 YEAR = 2000
+# So few rows make a key hot that the salted joins have hot keys on small tables too.
+FEW_ROWS = 500
 ID = "identifiant_de_document"
 ALL_IDS = ("id_temps", "id_local", "id_commune", "id_mutation")
 SHAPE = (
@@ -255,10 +257,10 @@ _OPERATORS: dict[str, Callable[[Layers], DataFrame]] = {
     "dedup_rows": lambda l: op.dedup_rows(_named(l)),
     "clean_full": lambda l: op.clean(l.raw, SPEC),
     "join_left_multikey": _keyed,
-    "join_left_multikey_salted": lambda l: _keyed(l, broadcast_bytes=0),
+    "join_left_multikey_salted": lambda l: _keyed(l, broadcast_bytes=0, hot_rows=FEW_ROWS),
     "join_left_nullsafe": lambda l: _keyed(l, null_safe=True),
     "join_inner_star": lambda l: _inner_shape(l.star),
-    "join_inner_star_salted": lambda l: _inner_shape(replace(l.star, broadcast_bytes=0)),
+    "join_inner_star_salted": lambda l: _inner_shape(replace(l.star, broadcast_bytes=0, hot_rows=FEW_ROWS)),
     "join_left_star": lambda l: _left_shape(l.star),
     "join_mixed_star": lambda l: _mixed_shape(l.star),
     "join_full_outer": lambda l: marts.full_outer_rows(l.star).select(*SHAPE),

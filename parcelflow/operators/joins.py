@@ -8,12 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.sources.staging import keep, measure
+from parcelflow.sources.staging import Staged, measure, stage
 
 # A dimension is broadcast only if its measured size stays below this.
 BROADCAST_BYTES = 64 << 20
-# A key is hot above this share of the rows, so there are at most 1/share of them.
-HOT_SHARE = 1 / 2000
+# A key with more rows than this is hot, and each of its salts gets about as many.
+HOT_ROWS = 1_000_000
 
 
 def dimension_join(
@@ -26,6 +26,8 @@ def dimension_join(
     broadcast_bytes: int = BROADCAST_BYTES,
     counted: DataFrame | None = None,
     grouped: bool = False,
+    hot: Staged | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Inner or left join of ``facts`` with ``dim`` on columns of the same name.
 
@@ -35,8 +37,9 @@ def dimension_join(
     of every hot key are spread over salts, with that key's dimension row
     repeated once per salt.
 
-    Hot keys are counted in ``counted``, a cheaper frame with the keys of
-    ``facts``; which keys are taken as hot never changes the result. With
+    Keys with more than ``hot_rows`` rows are hot. They are given as ``hot``, or
+    counted in ``counted``, a cheaper frame with at least the rows of ``facts``
+    per key; which keys are taken as hot never changes the result. With
     ``grouped``, facts have been aggregated per key, so none is hot.
     """
     if how not in ("inner", "left"):
@@ -48,12 +51,13 @@ def dimension_join(
         facts = facts.dropna(subset=list(keys))
     if grouped:
         return _lookup(facts, dim, keys, how, null_safe)
-    hot = F.broadcast(hot_keys(facts if counted is None else counted, keys))
+    known = hot or hot_keys(facts if counted is None else counted, keys, hot_rows)
+    hot_table = F.broadcast(known.df) if known.bytes <= BROADCAST_BYTES else known.df
     spread_over = F.coalesce("__salts", F.lit(1))
-    salted = _lookup(facts, hot, keys, "left", null_safe=True).withColumn(
+    salted = _lookup(facts, hot_table, keys, "left", null_safe=True).withColumn(
         "__salt", F.pmod(row_hash(facts), spread_over)
     )
-    repeated = _lookup(dim, hot, keys, "left", null_safe=True).withColumn(
+    repeated = _lookup(dim, hot_table, keys, "left", null_safe=True).withColumn(
         "__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), spread_over - 1))
     )
     joined = _lookup(
@@ -70,17 +74,14 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.spark_partition_id())
 
 
-def hot_keys(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys above the hot share and the number of salts for each.
+def hot_keys(facts: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Staged:
+    """Keys with more rows than one task should get, and the number of salts for each.
 
-    Written, so that both sides of a join see the same salts, and bounded: the
-    shares of the keys add up to one, so at most ``1 / HOT_SHARE`` keys remain.
+    Written, so that both sides of a join see the same salts.
     """
     counts = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    all_rows = counts.agg(F.sum("__n")).scalar()
-    share = F.col("__n") / (all_rows * F.lit(HOT_SHARE))
-    hot = counts.where(share > 1).select(*keys, F.ceil(share).alias("__salts"))
-    return keep(hot, "hot-keys")
+    hot = counts.where(F.col("__n") > hot_rows)
+    return stage(hot.select(*keys, F.ceil(F.col("__n") / hot_rows).alias("__salts")), "hot-keys")
 
 
 def _lookup(

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from parcelflow.operators.joins import BROADCAST_BYTES, dimension_join
+from parcelflow.operators.joins import BROADCAST_BYTES, HOT_ROWS, dimension_join, hot_keys
 from parcelflow.operators.ordered import surrogate_key
 from parcelflow.sources.layers import read_layer
 from parcelflow.sources.staging import Staged, keep, measure, stage
@@ -65,6 +65,8 @@ class Star:
     tables: Mapping[str, DataFrame]
     dim_bytes: Mapping[str, int]
     broadcast_bytes: int = BROADCAST_BYTES
+    hot_rows: int = HOT_ROWS
+    _hot: dict[tuple[str, int], Staged] = field(default_factory=dict, compare=False, repr=False)
 
     @property
     def facts(self) -> DataFrame:
@@ -97,10 +99,27 @@ class Star:
             how,
             dim_bytes=self.dim_bytes[name],
             broadcast_bytes=self.broadcast_bytes,
-            counted=self.facts,
             grouped=grouped,
+            hot=None if grouped else self._hot_ids(name),
         )
 
+    def _hot_ids(self, name: str) -> Staged | None:
+        """Hot ids of a dimension that is not broadcast.
+
+        All such dimensions are counted at the first call, side by side, over all
+        facts: an id that is hot among some of them is hot among all.
+        """
+        large = [s for s in DIMENSIONS if self.dim_bytes[s.name] > self.broadcast_bytes]
+        missing = [s for s in large if (s.name, self.hot_rows) not in self._hot]
+        if missing:
+
+            def count(spec: DimensionSpec) -> Staged:
+                return hot_keys(self.facts, [spec.id_column], self.hot_rows)
+
+            for spec, hot in zip(missing, _side_by_side(self.facts, count, missing)):
+                self._hot[spec.name, self.hot_rows] = hot
+        return self._hot.get((name, self.hot_rows))
+
 
 def build_dimension(clean: DataFrame, spec: DimensionSpec, base: str | None = None) -> Staged:
     """Distinct key tuples, numbered in the order of all key columns, NULLs first.
@@ -119,9 +138,16 @@ def build_dimensions(clean: DataFrame, base: str | None = None) -> dict[str, Sta
     def build(spec: DimensionSpec) -> Staged:
         return build_dimension(clean, spec, base)
 
+    built = _side_by_side(clean, build, DIMENSIONS)
+    return {spec.name: dim for spec, dim in zip(DIMENSIONS, built)}
+
+
+def _side_by_side(
+    df: DataFrame, job: Callable[[DimensionSpec], Staged], specs: Iterable[DimensionSpec]
+) -> list[Staged]:
+    """Results of a job per dimension, all started at once."""
     with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
-        run = inheritable_thread_target(clean.sparkSession)(build)
-        return {spec.name: dim for spec, dim in zip(DIMENSIONS, pool.map(run, DIMENSIONS))}
+        return list(pool.map(inheritable_thread_target(df.sparkSession)(job), specs))
 
 
 def attach_keys(
@@ -129,16 +155,30 @@ def attach_keys(
     dimensions: Mapping[str, Staged],
     null_safe: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add the id of every dimension to the clean rows.
 
     By default a key tuple with a NULL matches nothing and its id is NULL.
     """
+
+    def count(spec: DimensionSpec) -> Staged:
+        return hot_keys(clean, spec.columns, hot_rows)
+
+    large = [spec for spec in DIMENSIONS if dimensions[spec.name].bytes > broadcast_bytes]
+    hot = {spec.name: keys for spec, keys in zip(large, _side_by_side(clean, count, large))}
     keyed = clean
     for spec in DIMENSIONS:
         dim = dimensions[spec.name]
         keyed = dimension_join(
-            keyed, dim.df, spec.columns, "left", null_safe, dim.bytes, broadcast_bytes, clean
+            keyed,
+            dim.df,
+            spec.columns,
+            "left",
+            null_safe,
+            dim.bytes,
+            broadcast_bytes,
+            hot=hot.get(spec.name),
         )
     return keyed
 

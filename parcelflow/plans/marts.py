@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from parcelflow.functions import date_from_parts, exact_sum, mean_of_partials, safe_ratio
 from parcelflow.operators.joins import row_hash
 from parcelflow.operators.ordered import exact_median, rank_over_all, top_k, with_total
-from parcelflow.operators.star import Star
+from parcelflow.operators.star import DIMENSIONS, FACTS, Star
 
 VALUE = "valeur_fonciere"
 _MEASURES = (VALUE, "surface_reelle_bati", "nombre_pieces_principales")
@@ -35,7 +35,8 @@ def flat_extract(star: Star, first: int = 2021, last: int = 2024) -> DataFrame:
     """Q0: sales of some years with every dimension, and their number on each row."""
     sales = star_rows(star, star.facts_of_years(first, last), years=(first, last))
     shown = (*_MEASURES, "commune", "code_departement", "nature_mutation", "annee", "type_local")
-    return _with_date(sales, "date_transaction_f", shown, total="total_lignes")
+    counted = _in_every_dimension(star, (first, last))
+    return _with_date(sales, "date_transaction_f", shown, "total_lignes", counted)
 
 
 def mean_price_per_year_and_type(star: Star) -> DataFrame:
@@ -178,11 +179,14 @@ def commune_attractiveness(star: Star) -> DataFrame:
 
 def top_sales_per_year(star: Star, k: int = 5) -> DataFrame:
     """Q12a: the sales of highest value of every year."""
-    sales = _dated_and_typed(star)
-    sales = star.lookup(sales, "dim_commune", ["commune"])
+    # An id that is not NULL has its dimension row, so names wait until few rows are left.
+    facts = star.facts.dropna(subset=["id_temps", "id_local", "id_commune"])
+    sales = star.lookup(facts, "dim_temps", ["annee"])
     ties = [c for c in _TIE_BREAKS if c != VALUE]
     first = top_k(sales, ["annee"], VALUE, ties, k, pieces=["id_temps"])
-    return first.select("annee", "commune", "type_local", VALUE).orderBy(
+    typed = star.lookup(first, "dim_local", ["type_local"], grouped=True)
+    named = star.lookup(typed, "dim_commune", ["commune"], grouped=True)
+    return named.select("annee", "commune", "type_local", VALUE).orderBy(
         F.desc("annee"), F.desc(VALUE)
     )
 
@@ -208,7 +212,8 @@ def flat_extract_v2(star: Star, first: int = 2021, last: int = 2024) -> DataFram
     """Q13: as Q0, with its columns in another order."""
     sales = star_rows(star, star.facts_of_years(first, last), years=(first, last))
     shown = (*_MEASURES, "commune", "code_departement", "nature_mutation", "type_local", "annee")
-    return _with_date(sales, "date_transaction", shown, total="nombre_de_lignes")
+    counted = _in_every_dimension(star, (first, last))
+    return _with_date(sales, "date_transaction", shown, "nombre_de_lignes", counted)
 
 
 def extract_keeping_untyped(star: Star, first: int = 2023, last: int = 2024) -> DataFrame:
@@ -248,7 +253,8 @@ def extract_from_time(star: Star) -> DataFrame:
     """Q19: sales of all years, asked from the time dimension."""
     sales = star_rows(star, star.facts)
     shown = (VALUE, "code_departement", "nature_mutation", "type_local")
-    return _with_date(sales, "date_transaction", shown, total="nombre_de_lignes")
+    counted = _in_every_dimension(star)
+    return _with_date(sales, "date_transaction", shown, "nombre_de_lignes", counted)
 
 
 def count_on_every_fact(star: Star) -> DataFrame:
@@ -301,11 +307,26 @@ def _partial_means(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
     return facts.groupBy(*keys).agg(F.sum(VALUE).alias("somme"), F.count(VALUE).alias("nombre"))
 
 
+def _in_every_dimension(star: Star, years: tuple[int, int] | None = None) -> DataFrame | None:
+    """As many rows as the inner star has: an id that is not NULL has its dimension row.
+
+    None if years are asked of facts that do not hold theirs.
+    """
+    if years is not None and "annee" not in star.tables[FACTS].columns:
+        return None
+    facts = star.facts if years is None else star.facts_of_years(*years)
+    return facts.dropna(subset=[spec.id_column for spec in DIMENSIONS])
+
+
 def _with_date(
-    rows: DataFrame, date: str, shown: Sequence[str], total: str | None = None
+    rows: DataFrame,
+    date: str,
+    shown: Sequence[str],
+    total: str | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     extract = rows.select(*shown, date_from_parts("annee", "mois", "jour").alias(date))
-    return extract if total is None else with_total(extract, total, counted=rows)
+    return extract if total is None else with_total(extract, total, counted)
 
 
 def _left_extract(star: Star, shown: Sequence[str], total: str, by_year: bool) -> DataFrame:

@@ -130,30 +130,28 @@ def test_join_of_grouped_rows(spark, skewed):
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("null_safe", [False, True])
-def test_salted_join(spark, skewed, how, null_safe, monkeypatch):
+def test_salted_join(spark, skewed, how, null_safe):
     dim = spark.createDataFrame([(None, "none")] + [(k, f"name {k}") for k in range(1, 30)], "g int, name string")
     same = skewed.g.eqNullSafe(dim.g) if null_safe else skewed.g == dim.g
     plain = skewed.join(dim, same, how).drop(dim.g)
     small = dimension_join(skewed, dim, ["g"], how, null_safe)
-    monkeypatch.setattr(joins, "HOT_SHARE", 1 / 20)
-    large = dimension_join(skewed, dim, ["g"], how, null_safe, broadcast_bytes=0)
+    large = dimension_join(skewed, dim, ["g"], how, null_safe, broadcast_bytes=0, hot_rows=150)
     assert bag(small) == bag(plain)
     assert bag(large) == bag(plain)
 
 
-def test_hot_keys_are_spread(spark, skewed, monkeypatch):
-    monkeypatch.setattr(joins, "HOT_SHARE", 1 / 20)
-    hot = {r.g: r["__salts"] for r in joins.hot_keys(skewed, ["g"]).collect()}
+def test_hot_keys_are_spread(skewed):
+    hot = {r.g: r["__salts"] for r in joins.hot_keys(skewed, ["g"], 150).df.collect()}
     assert hot[1] == 7 and len(hot) <= 20
 
 
-def test_copies_of_a_hot_row_are_spread(spark, monkeypatch):
+def test_copies_of_a_hot_row_are_spread(spark):
     """Copies in different tasks get different salts."""
     copies = spark.range(0, 8000, 1, 8).select(F.lit(1).alias("g"), F.lit("same").alias("v"))
     numbers = copies.withColumn("h", joins.row_hash(copies)).select("h").distinct()
     assert numbers.count() == 8
     dim = spark.createDataFrame([(1, "one")], "g int, name string")
-    joined = dimension_join(copies, dim, ["g"], "inner", broadcast_bytes=0)
+    joined = dimension_join(copies, dim, ["g"], "inner", broadcast_bytes=0, hot_rows=1000)
     assert joined.where("name = 'one'").count() == 8000
 
 

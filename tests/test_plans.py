@@ -79,6 +79,17 @@ def test_communes_are_looked_up_after_aggregation(layers):
 def test_top_k_limits_before_the_shuffle(layers):
     plan = plan_of(marts.top_sales_per_year(layers.star))
     assert plan.count("WindowGroupLimit") == 2
+    below = plan[plan.index("WindowGroupLimit"):]
+    assert "Join [id_commune" in plan and "Join [id_commune" not in below
+    assert "Join [id_local" in plan and "Join [id_local" not in below
+
+
+def test_totals_are_counted_without_joins(layers):
+    """Beyond the four lookups of the rows themselves no join is planned, and counts agree."""
+    for df in (marts.flat_extract(layers.star, 1998, 2001), marts.extract_from_time(layers.star)):
+        assert plan_of(df).count("BroadcastHashJoin") == 4
+        total = next(c for c in df.columns if c in ("total_lignes", "nombre_de_lignes"))
+        assert df.first()[total] == df.count()
 
 
 @pytest.mark.parametrize("name", ["q06_price_m2_rank", "q11_attractiveness"])
