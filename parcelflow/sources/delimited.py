@@ -5,9 +5,11 @@ from __future__ import annotations
 import logging
 from collections import defaultdict
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,9 @@ from pyspark.sql import types as T
 
 logger = logging.getLogger(__name__)
 
+# Headers read at the same time.
+HEADER_JOBS = 16
+
 
 def read_delimited(
     spark: SparkSession,
@@ -52,6 +57,7 @@ def read_extracts(
     skip_unreadable: bool = False,
     source_column: str | None = None,
     source_pattern: str = r"(\d{4})[^/]*$",
+    left_out: list[str] | None = None,
 ) -> DataFrame:
     """All extracts below a folder, united by column name.
 
@@ -59,7 +65,8 @@ def read_extracts(
     read per file, or with ``header_per="directory"`` once for every directory,
     for layouts that split each extract into many parts; the scan still checks
     the header of every part. Empty files hold nothing. Files without a readable
-    header fail the call, or are logged and left out with ``skip_unreadable``.
+    header fail the call, or are logged and left out with ``skip_unreadable``;
+    their paths are then added to ``left_out``, if that is given.
     """
     if header_per not in ("file", "directory"):
         raise ValueError("header_per is 'file' or 'directory'")
@@ -75,15 +82,23 @@ def read_extracts(
     units = [row["unit"] for row in files.select(unit.alias("unit")).distinct().sort("unit").collect()]
     by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
     header = spark.read.option("sep", sep).option("header", True).option("pathGlobFilter", glob)
-    for path in units:
+
+    def columns_of(path: str) -> list[str] | None:
         try:
-            columns = header.csv(path).columns
+            return header.csv(path).columns
         except (PySparkException, Py4JJavaError):
             if not skip_unreadable:
                 raise
+            return None
+
+    with ThreadPoolExecutor(HEADER_JOBS) as pool:
+        headers = list(pool.map(inheritable_thread_target(spark)(columns_of), units))
+    for path, columns in zip(units, headers):
+        if columns is None:
             logger.warning("no readable header in %s, left out", path)
-            continue
-        if columns:
+            if left_out is not None:
+                left_out.append(path)
+        elif columns:
             by_header[tuple(columns)].append(path)
     if not by_header:
         raise FileNotFoundError(f"no extract matching {glob} under {folder}")

@@ -58,8 +58,20 @@ def test_empty_and_unreadable_extracts(spark, tmp_path):
     (tmp_path / "broken.txt.gz").write_bytes(b"\x1f\x8b\x08\x00no gzip")
     with pytest.raises(Exception):
         read_extracts(spark, str(tmp_path), glob="*.txt*")
-    left = read_extracts(spark, str(tmp_path), glob="*.txt*", skip_unreadable=True)
+    left_out = []
+    left = read_extracts(spark, str(tmp_path), glob="*.txt*", skip_unreadable=True, left_out=left_out)
     assert left.collect() == [("1", "2")]
+    assert [path.rsplit("/", 1)[1] for path in left_out] == ["broken.txt.gz"]
+
+
+def test_many_small_extracts(spark, tmp_path):
+    for n in range(300):
+        header = "a|b" if n % 2 else "b|a"
+        (tmp_path / f"part-{n}.txt").write_text(f"{header}\n{n}|x\n")
+    rows = read_extracts(spark, str(tmp_path)).select("a", "b")
+    even, odd = ("x", "{}"), ("{}", "x")
+    expected = [tuple(v.format(n) for v in (odd if n % 2 else even)) for n in range(300)]
+    assert sorted(map(tuple, rows.collect())) == sorted(expected)
 
 
 def test_no_extract(spark, tmp_path):
