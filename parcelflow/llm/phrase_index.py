@@ -32,6 +32,8 @@ from parcelflow.sources import keep, stage
 
 # Bytes of item text in one batch.
 ITEM_BYTES = 4 << 20
+# Anchors that one number of 64 bits can tell apart; more would not change what is found in full.
+MOST_ANCHORS = 64
 _DOC = ("doc_id", "content")
 
 
@@ -69,7 +71,7 @@ def phrase_matches(
 ) -> DataFrame:
     """``doc_id, content, item_id, start, end``: spans of words covered by windows of an item."""
     parts = [
-        _verified(docs, windows, _agreeing(_shifted(docs, windows, anchors)))
+        _verified(docs, windows, _agreeing(_shifted(docs, windows, min(anchors, MOST_ANCHORS))))
         for windows in _batches(items, length)
     ]
     return _union(docs, parts, "doc_id {}, content long, item_id string, start int, end int")
@@ -188,10 +190,13 @@ def _shifted(docs: DataFrame, windows: Windows, anchors: int) -> DataFrame:
 
 
 def _agreeing(shifted: DataFrame) -> DataFrame:
+    """Starts that all anchors point to, each anchor counted once however often the row is repeated."""
     return (
         shifted.groupBy(*_DOC, "window", "start")
-        .agg(F.count(F.lit(1)).alias("n"), F.first("n_anchors").alias("n_anchors"))
-        .where("n = n_anchors")
+        .agg(
+            F.bit_or(F.expr("shiftleft(1L, anchor)")).alias("seen"), F.first("n_anchors").alias("n_anchors")
+        )
+        .where("bit_count(seen) = n_anchors")
         .groupBy(*_DOC)
         .agg(F.collect_list(F.struct("window", "start")).alias("candidates"))
     )

@@ -381,6 +381,17 @@ def test_passages_on_odd_rows_and_short_items(make_docs, spark):
     assert phrase_index.contamination(make_docs([]), items).count() == 0
 
 
+@pytest.mark.parametrize("anchors", [1, 2, 3])
+def test_repeated_rows_have_equal_passages(make_docs, spark, anchors):
+    items = spark.createDataFrame([(7, " ".join(f"q{i}" for i in range(12)))], "item_id long, text string")
+    whole, half = " ".join(f"q{i}" for i in range(1, 12)), "q0 q1 q2 q3"
+    rows = [(1, whole), (1, whole), (1, half), (None, whole), (None, whole), (2, half), (2, half), (3, whole)]
+    found = phrase_index.phrase_matches(make_docs(rows), items, 10, anchors)
+    assert sorted(rows_of(found, "doc_id", "start", "end"), key=str) == [(1, 0, 11), (3, 0, 11), (None, 0, 11)]
+    got = Counter(rows_of(phrase_index.contamination(make_docs(rows), items, 10), "doc_id", "n_hit", "n_items"))
+    assert got == {(1, 11, 1): 2, (1, 0, 0): 1, (None, 11, 1): 2, (2, 0, 0): 2, (3, 11, 1): 1}
+
+
 # Classifiers.
 
 

@@ -39,3 +39,12 @@ def test_stages_keep_the_columns_and_their_decisions(spark, sf_dir, make_docs):
     assert counts[0] >= counts[1] >= counts[2] >= counts[3] and counts[5] == counts[4]
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, make_docs([]), sf_dir).count() == 0
+
+
+def test_benchmark_stage_rejects_repeated_rows(spark, sf_dir, make_docs):
+    passage = next(
+        r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect() if len(r.text.split()) > 12
+    )
+    docs = make_docs([(1, passage), (1, passage), (None, passage), (None, passage), (2, "clean"), (2, "clean")])
+    kept = corpus_pipeline.without_benchmark(spark, docs, sf_dir)
+    assert [(r.doc_id, r.text) for r in kept.collect()] == [(2, "clean")] * 2
