@@ -22,17 +22,35 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 # The formats. Each stands alone, without letters or digits beside it.
 EMAIL = r"[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"
-PHONE = r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}(?![0-9])"
-CARD = r"[0-9]{13,19}+(?![A-Za-z0-9])"
+# Ten digits, in groups or whole after +1; a country code and digits in groups; a zero and digits in groups.
+TEN = r"(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])(?![.-][0-9])"
+AMERICAN = r"\+1[ .-]?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-]?)[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
+_GAP = r"(?:[ ./-]| ?\(|\)[ ./-]?)?"
+ABROAD = rf"(?:\+(?!1)|00(?=[1-9][0-9]{{0,2}}[ ./-]))[1-9](?:{_GAP}[0-9]){{7,14}}(?![0-9])"
+TRUNK = r"(?:\(0[0-9]{2,4}\) ?|0[0-9]{2,4}[ /-])[0-9]{3,4}[ -]?[0-9]{3,5}(?![0-9A-Za-z])(?![ .-][0-9])"
+PAIRS = r"0[0-9](?:[ .-][0-9]{2}){4}(?![0-9A-Za-z])(?![ .-][0-9])"
+NATIONAL = rf"(?:1[ .-])?{TEN}|{PAIRS}|{TRUNK}"
+PHONE = rf"{AMERICAN}|{ABROAD}|{NATIONAL}"
+# Calling codes of one and two digits; all others have three.
+COUNTRY = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+CARD = r"(?:{}|{}|[0-9]{{13,19}}+)(?![A-Za-z0-9])".format(
+    *(
+        rf"[0-9]{{4}}{gap}(?:[0-9]{{6}}{gap}[0-9]{{4,5}}|[0-9]{{4}}{gap}[0-9]{{4}}{gap}[0-9]{{4}}(?:{gap}[0-9]{{3}}(?![0-9]))?)"
+        for gap in " -"
+    )
+)
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
 ADDRESS = r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z])(?!\.[0-9])"
-DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9A-Za-z-])"
+DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}(?:(?=[Tt][0-9]{2})|(?![0-9A-Za-z-]))"
 DAY_FIRST = r"[0-9]{2}[./][0-9]{2}[./][0-9]{4}(?![0-9A-Za-z])"
 PRIVATE = (
-    rf"(?<![A-Za-z0-9._%+-])(?:{EMAIL}|{DATE}|{DAY_FIRST}|{SSN}|{ADDRESS}|{CARD})|(?<![A-Za-z0-9+]){PHONE}"
+    rf"(?<![A-Za-z0-9._%+-])(?:{EMAIL}|{DATE}|{DAY_FIRST}|{SSN}|{ADDRESS}|{CARD}|{NATIONAL})"
+    rf"|(?<![A-Za-z0-9+])(?:{AMERICAN}|{ABROAD})"
 )
 # 1900-01-01 and the days up to 2099-12-31, which are 319 times 229.
 FIRST_DAY, DAY_PARTS = "1900-01-01", (319, 229)
+# Further turns until a day is above 12; two of five days are not, so this many in a row do not occur.
+MOST_TURNS = 64
 
 
 def permute(high: Column, low: Column, highs: Column, lows: Column, key: str, kind: str) -> Column:
@@ -81,7 +99,31 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(F.transform(places, counted), F.lit(0), lambda total, n: total + n)
 
 
+def _digits_of(value: Column) -> Column:
+    return F.regexp_replace(value, "[^0-9]", "")
+
+
+def _respelled(value: Column, digits: Column) -> Column:
+    """``value`` with its digits replaced one by one; null where ``digits`` is."""
+
+    def put(place: Column) -> Column:
+        character = F.substring(value, place, F.lit(1))
+        number = F.length(_digits_of(F.substring(value, F.lit(1), place)))
+        return F.when(character.rlike("[0-9]"), F.substring(digits, number, F.lit(1))).otherwise(character)
+
+    places = F.sequence(F.lit(1), F.length(value))
+    return F.when(digits.isNotNull(), F.array_join(F.transform(places, put), ""))
+
+
 def _card(value: Column, key: str) -> Column:
+    """A card number in any grouping; three digits behind one of 16 may be no part of it."""
+    digits = _digits_of(value)
+    short = F.concat(_card_digits(F.substring(digits, 1, 16), key), F.substring(digits, 17, 3))
+    grouped = F.when(value.rlike("[ -]") & (F.length(digits) == 19), short)
+    return _respelled(value, F.coalesce(_card_digits(digits, key), grouped))
+
+
+def _card_digits(value: Column, key: str) -> Column:
     """The first digit stays, the last is the check digit, and what is between is permuted."""
     middle = F.length(value) - 2
     left = (middle / 2).cast("int")
@@ -95,13 +137,20 @@ def _card(value: Column, key: str) -> Column:
 
 
 def _phone(value: Column, key: str) -> Column:
-    low = F.concat(F.substring(value, 10, 3), F.substring(value, 14, 4))
-    new = permute(_digits(value, 5, 3), low, F.lit(1000), F.lit(10**7), key, "phone")
-    rest = _padded(new["low"], 7)
-    return F.concat(
-        F.lit("+1 ("), _padded(new["high"], 3), F.lit(") "),
-        F.substring(rest, 1, 3), F.lit("-"), F.substring(rest, 4, 4),
-    )
+    """Punctuation, country code and leading zero stay; a number has one pseudonym in all its groupings."""
+    digits = _digits_of(value)
+    kept = (
+        F.when(value.startswith("+"), F.length(F.regexp_extract(digits, COUNTRY, 0)))
+        .when(value.rlike(f"^(?:1[ .-])?{TEN}$"), F.length(digits) - 10)
+        .when(value.rlike(f"^(?:{ABROAD})$"), 2 + F.length(F.regexp_extract(F.substring(digits, 3, 15), COUNTRY, 0)))
+        .otherwise(F.lit(1))
+    )
+    rest = F.length(digits) - kept - 3
+    high = F.substring(digits, kept + 1, F.lit(3)).cast("long")
+    low = F.substring(digits, kept + 4, rest).cast("long")
+    new = permute(high, low, F.lit(1000), F.pow(F.lit(10), rest).cast("long"), key, "phone")
+    whole = F.concat(F.substring(digits, F.lit(1), kept), _padded(new["high"], 3), _padded(new["low"], rest))
+    return _respelled(value, whole)
 
 
 def _ssn(value: Column, key: str) -> Column:
@@ -140,13 +189,27 @@ def _date(value: Column, key: str) -> Column:
 
 
 def _day_first(value: Column, key: str) -> Column:
-    """Both separators stay; the same day has the same pseudonym in every format."""
-    plain = F.concat_ws("-", F.substring(value, 7, 4), F.substring(value, 4, 2), F.substring(value, 1, 2))
-    moved = _day(F.try_to_date(plain, "yyyy-MM-dd"), key)
-    return F.concat(
-        F.date_format(moved, "dd"), F.substring(value, 3, 1),
-        F.date_format(moved, "MM"), F.substring(value, 6, 1), F.date_format(moved, "yyyy"),
-    )
+    """Both separators stay; the same day has the same pseudonym in every format that is not month-first.
+
+    What is no date with the day first is taken with the month first. Its day is
+    above 12 and so is that of its pseudonym, which can only be read in one way.
+    """
+    one, two, year = F.substring(value, 1, 2), F.substring(value, 4, 2), F.substring(value, 7, 4)
+    moved = _day(F.try_to_date(F.concat_ws("-", year, two, one), "yyyy-MM-dd"), key)
+    start = _day(F.try_to_date(F.concat_ws("-", year, one, two), "yyyy-MM-dd"), key)
+    turned = F.reduce(
+        F.sequence(F.lit(1), F.lit(MOST_TURNS)),
+        start,
+        lambda day, _: F.when(F.dayofmonth(day) <= 12, _day(day, key)).otherwise(day),
+    )
+
+    def spelled(day: Column, first: str, second: str) -> Column:
+        return F.concat(
+            F.date_format(day, first), F.substring(value, 3, 1),
+            F.date_format(day, second), F.substring(value, 6, 1), F.date_format(day, "yyyy"),
+        )
+
+    return F.when(moved.isNotNull(), spelled(moved, "dd", "MM")).otherwise(spelled(turned, "MM", "dd"))
 
 
 def _email(value: Column, key: str) -> Column:

@@ -283,6 +283,32 @@ def test_pseudonyms_keep_formats_and_link_equal_values(make_docs):
     assert pseudonyms.pseudonymise(make_docs([]), "k").count() == 0
 
 
+def test_pseudonyms_take_other_spellings(make_docs):
+    phones = ["(386) 555-3733", "386-555-3733", "+1 386 555 3733", "+13865553733", "386.555.3733", "1-386-555-3733"]
+    cards = ["4111 1111 1111 1111", "4111-1111-1111-1111", "4111111111111111", "3782 822463 10005"]
+    others = ["+49 30 12345678", "+44 (20) 7946-0958", "0049 30 1234567", "020 7946 0958", "01 23 45 67 89"]
+    stay = ["4111 1111 1111 1112", "13/13/1980", "1980-02-30T10:00", "0012345678", "12-34-56", "v1.2.3", "1 000 000"]
+    values = [*phones, *cards, *others, "12/25/1980", "12-25"]
+    texts = [*values, *stay, "1980-02-29T10:00", "1980-02-29", "4111 1111 1111 1111 123", "4111 1111 1111 1111 12/27"]
+    docs = make_docs([(i, f"see {t}, ok") for i, t in enumerate(texts)])
+    found = {r.doc_id: r for r in pseudonyms.pseudonymise(docs, "k").collect()}
+    got = {t: found[i].text[4:-4] for i, t in enumerate(texts)}
+    for value in [*values[:-1], "1980-02-29T10:00"]:
+        assert got[value] != value and found[texts.index(value)].n_private == 1, value
+        assert re.sub(r"\d", "0", got[value]) == re.sub(r"\d", "0", value)
+    assert all(got[t] == t and found[texts.index(t)].n_private == 0 for t in stay)
+    digits = {p: re.sub(r"\D", "", got[p])[-10:] for p in phones}
+    assert len(set(digits.values())) == 1 and all(got[p].startswith("+1") for p in phones if p[0] == "+")
+    assert got["+49 30 12345678"].startswith("+49 ") and got["0049 30 1234567"].startswith("0049 ")
+    assert got["+44 (20) 7946-0958"].startswith("+44 (") and got["020 7946 0958"].startswith("0")
+    plain = {c: re.sub(r"\D", "", got[c]) for c in cards}
+    assert all(map(plain_luhn, plain.values())) and len({plain[c] for c in cards[:3]}) == 1
+    assert got[texts[-2]] == f"{got[cards[0]]} 123" and got[texts[-1]] == f"{got[cards[0]]} 12/27"
+    assert got["1980-02-29T10:00"] == got["1980-02-29"] + "T10:00"
+    month, day, _ = map(int, got["12/25/1980"].split("/"))
+    assert month <= 12 < day
+
+
 # Shards.
 
 
