@@ -150,7 +150,12 @@ def linked_documents(
         "copies",
         base=passing,
     )
-    shared = _shared_signatures(texts.where("doc_id IS NOT NULL"), copies, similarity, passing)
+    # The signatures of an id with several texts stay its own: only one of its texts is the copy.
+    several = full.groupBy("doc_id").agg(
+        (F.min("print1") < F.max("print1")).alias("first"), (F.min("print2") < F.max("print2")).alias("second")
+    ).where("first OR second")
+    whole = copies.join(several, "doc_id", "left_anti")
+    shared = _shared_signatures(texts.where("doc_id IS NOT NULL"), whole, similarity, passing)
     edges = [copies.select(F.col("doc_id").alias("one"), F.col("label").alias("other"))]
     labels, tested = copies, None
     remaining = partial(_remaining_pairs, texts=texts, passing=passing)

@@ -162,6 +162,13 @@ def test_jaccard_join_on_odd_rows(make_docs):
     assert jaccard_join.linked_documents(make_docs([])).count() == 0
 
 
+def test_an_id_with_two_texts_has_the_links_of_both(make_docs):
+    one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    docs = make_docs([(1, one), (5, one), (5, two), (9, two + " more"), (7, "else")])
+    got = set(rows_of(jaccard_join.linked_documents(docs), "doc_id", "component_id"))
+    assert got == {(1, 1), (5, 1), (9, 1), (7, 7)}
+
+
 def test_first_of_each_keeps_one_and_all_columns(make_docs):
     text = " ".join(f"w{i}" for i in range(60))
     docs = make_docs([(9, text), (3, text + " more"), (7, "else"), (None, text)])
