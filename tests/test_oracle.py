@@ -1,5 +1,7 @@
 """Every registered query against its SQL in DuckDB, all rows and columns."""
 
+from threading import Timer
+
 import __spark_entry__ as registry
 import oracle
 import pytest
@@ -20,5 +22,17 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
     assert differences(ours, theirs) == ([], [])
 
 
+@pytest.mark.parametrize("name", OWN)
+def test_sql_ends_when_only_some_rows_are_taken(duck, name):
+    """A statement that is streamed and cut off must end as well."""
+    timer = Timer(60, duck.interrupt)
+    timer.start()
+    try:
+        rows = duck.sql(f"SELECT * FROM ({oracle.STATEMENTS[name]}) LIMIT 5").fetchall()
+    finally:
+        timer.cancel()
+    assert len(rows) <= 5
+
+
 def test_entry(spark):
     assert registry.entry(spark).count() > 0
