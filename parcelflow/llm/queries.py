@@ -17,7 +17,10 @@ from parcelflow.llm import (
     multi_index,
     phrase_index,
     pseudonyms,
+    quality,
+    repair,
     shards,
+    spelling,
 )
 
 # A cluster passes a secret of its own to the operator.
@@ -99,6 +102,30 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Variants among the words that all documents hold three times or more."""
+    return spelling.variants(spelling.counted_words(_table(spark, sf_dir, "documents")))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learned from three quarters of the labels."""
+    docs, labels = (_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    held_out = _remainder(4) == 2
+    classifier = quality.learn(docs, labels.where(~held_out))
+    return quality.score(docs, classifier).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repairs of all conversations after damage."""
+    turns = _table(spark, sf_dir, "conversations")
+    return repair.repair(repair.damaged(turns), every=turns)
+
+
 def _remainder(parts: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % parts
 
@@ -114,6 +141,9 @@ QUERIES: dict[str, Query] = {
     "op8_phrase_index": op8_phrase_index,
     "op9_toxicity": op9_toxicity,
     "op10_language": op10_language,
+    "op11_spelling": op11_spelling,
+    "op12_quality": op12_quality,
+    "op13_repair": op13_repair,
 }
 
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"

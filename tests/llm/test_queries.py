@@ -26,7 +26,7 @@ def test_query_equals_sql(spark, corpus, sf_dir, name):
 
 def test_every_operator_is_registered():
     numbers = {int(n[2:].split("_")[0]) for n in registry.queries() if n.startswith("op")}
-    assert numbers == set(range(1, 11)) and "pipeline" in registry.queries()
+    assert numbers == set(range(1, 14)) and "pipeline" in registry.queries()
 
 
 def test_stages_keep_the_columns_and_their_decisions(spark, sf_dir, make_docs):
