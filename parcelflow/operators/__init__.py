@@ -23,6 +23,13 @@ from parcelflow.operators.ordered import (
     top_k,
     with_total,
 )
+from parcelflow.operators.sketches import (
+    merge_sketches,
+    rank_error,
+    rank_errors,
+    sketch_values,
+    with_quantiles,
+)
 from parcelflow.operators.star import (
     DIMENSIONS,
     DimensionSpec,
@@ -32,6 +39,7 @@ from parcelflow.operators.star import (
     build_dimensions,
     build_star,
     load_star,
+    sketches_per_day,
     star_integrity,
 )
 
@@ -55,13 +63,19 @@ __all__ = [
     "fill_sentinels",
     "impute_mean",
     "load_star",
+    "merge_sketches",
     "normalise_names",
+    "rank_error",
+    "rank_errors",
     "rank_over_all",
     "rebate_price",
     "running_total",
+    "sketch_values",
+    "sketches_per_day",
     "star_integrity",
     "surrogate_key",
     "top_k",
     "type_columns",
+    "with_quantiles",
     "with_total",
 ]

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.functions import lenient_date, lenient_double, lenient_int
+from parcelflow.operators.joins import dimension_join
 from parcelflow.operators.ordered import carry_last
 
 # Columns left out, sentinels, departments with a rebate and its factor.
@@ -66,7 +67,7 @@ class CleanSpec:
     )
     # Decimals the means are rounded to before they are filled in; None keeps them whole.
     mean_decimals: int | None = None
-    rebate_departments: Sequence[int] = REBATE_DEPARTMENTS
+    rebate_departments: Sequence[int] | DataFrame = REBATE_DEPARTMENTS
     rebate_factor: float = REBATE_FACTOR
 
 
@@ -132,13 +133,24 @@ def date_parts(df: DataFrame, date_column: str = "date_mutation") -> DataFrame:
 
 def rebate_price(
     df: DataFrame,
-    departments: Sequence[int] = REBATE_DEPARTMENTS,
+    departments: Sequence[int] | DataFrame = REBATE_DEPARTMENTS,
     factor: float = REBATE_FACTOR,
 ) -> DataFrame:
-    """Add the price to pay: the value, reduced in the listed departments."""
+    """Add the price to pay: the value, reduced in the listed departments.
+
+    A list too long for an expression is a table, whose first column holds the
+    departments; it is joined, and broadcast only if it is small enough.
+    """
     value = F.col("valeur_fonciere")
-    reduced = F.col("code_departement").isin(*departments)
-    return df.withColumn("prix_a_payer", F.when(reduced, value * F.lit(factor)).otherwise(value))
+    if isinstance(departments, DataFrame):
+        codes = F.col(f"`{departments.columns[0]}`").alias("code_departement")
+        listed = departments.select(codes, F.lit(True).alias("__listed")).dropna().distinct()
+        priced = dimension_join(df, listed, ["code_departement"])
+        reduced = F.col("__listed")
+    else:
+        priced, reduced = df, F.col("code_departement").isin(*departments)
+    price = F.when(reduced, value * F.lit(factor)).otherwise(value)
+    return priced.withColumn("prix_a_payer", price).drop("__listed")
 
 
 def dedup_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
@@ -13,7 +14,8 @@ from pyspark.sql.types import StructType
 
 from parcelflow.operators.joins import BROADCAST_BYTES, HOT_ROWS, dimension_join, hot_keys
 from parcelflow.operators.ordered import surrogate_key
-from parcelflow.sources.layers import read_layer
+from parcelflow.operators.sketches import ACCURACY, sketch_values
+from parcelflow.sources.layers import layer_tables, read_layer
 from parcelflow.sources.staging import Staged, keep, measure, stage
 
 
@@ -52,6 +54,7 @@ FACT_COLUMNS = (
     "prix_a_payer",
 )
 FACTS = "facts"
+SKETCHES = "prix_par_jour"
 
 
 @dataclass(frozen=True)
@@ -68,6 +71,12 @@ class Star:
     hot_rows: int = HOT_ROWS
     _hot: dict[tuple[str, int], Staged] = field(default_factory=dict, compare=False, repr=False)
 
+    @property
+    def sketches(self) -> DataFrame:
+        """Sketches of the values of each day, stored ones if there are some."""
+        stored = self.tables.get(SKETCHES)
+        return sketches_per_day(self.facts) if stored is None else stored
+
     @property
     def facts(self) -> DataFrame:
         return self.tables[FACTS].drop("annee")
@@ -146,8 +155,12 @@ def _side_by_side(
     df: DataFrame, job: Callable[[DimensionSpec], Staged], specs: Iterable[DimensionSpec]
 ) -> list[Staged]:
     """Results of a job per dimension, all started at once."""
+    specs = list(specs)
+    # Each thread runs in a copy of the context, so that it keeps tables in the same scope.
+    contexts = [copy_context() for _ in specs]
+    run = inheritable_thread_target(df.sparkSession)(lambda context, spec: context.run(job, spec))
     with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
-        return list(pool.map(inheritable_thread_target(df.sparkSession)(job), specs))
+        return list(pool.map(run, contexts, specs))
 
 
 def attach_keys(
@@ -212,7 +225,9 @@ def load_star(
     Without ``schemas`` of its tables, the type of the year is fixed and all
     other types are those the files hold.
     """
-    tables = read_layer(spark, base, [*(spec.name for spec in DIMENSIONS), FACTS], schemas)
+    names = [*(spec.name for spec in DIMENSIONS), FACTS]
+    names += [SKETCHES] if SKETCHES in layer_tables(spark, base) else []
+    tables = read_layer(spark, base, names, schemas)
     tables[FACTS] = tables[FACTS].withColumn("annee", F.col("annee").cast("int"))
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
@@ -220,6 +235,11 @@ def load_star(
     return Star(tables, sizes, broadcast_bytes)
 
 
+def sketches_per_day(facts: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
+    """``id_temps, n, sketch`` of the values of each day, to be merged into those of longer times."""
+    return sketch_values(facts, ["id_temps"], "valeur_fonciere", accuracy)
+
+
 def star_integrity(facts: DataFrame) -> DataFrame:
     """Facts with and without an id, per dimension."""
     counts = [F.count(F.lit(1)).alias("__facts")]

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from parcelflow.functions import date_from_parts, exact_sum, mean_of_partials, safe_ratio
 from parcelflow.operators.joins import row_hash
 from parcelflow.operators.ordered import exact_median, rank_over_all, top_k, with_total
+from parcelflow.operators.sketches import merge_sketches, rank_errors, with_quantiles
 from parcelflow.operators.star import DIMENSIONS, FACTS, Star
 
 VALUE = "valeur_fonciere"
@@ -74,6 +75,23 @@ def median_price_per_month(star: Star) -> DataFrame:
     return medians.orderBy(F.desc("annee"), F.desc("mois"))
 
 
+def sketched_median(star: Star, by: Sequence[str] = ("annee", "mois")) -> DataFrame:
+    """Q4 by merging the sketches of days: ``by``, ``n`` and the median within their rank error.
+
+    Facts are not read if the star has stored sketches.
+    """
+    dated = star.lookup(star.sketches, "dim_temps", list(by), grouped=True)
+    medians = with_quantiles(merge_sketches(dated, by), {"valeur_fonciere_mediane": 0.5})
+    return medians.select(*by, "n", "valeur_fonciere_mediane").orderBy(*[F.desc(c) for c in by])
+
+
+def sketched_median_error(star: Star, by: Sequence[str] = ("annee", "mois")) -> DataFrame:
+    """How far the rank of each sketched median is from the middle, counted on the facts."""
+    dated = star.lookup(star.facts.select("id_temps", VALUE), "dim_temps", list(by))
+    medians = sketched_median(star, by)
+    return rank_errors(dated, medians, by, VALUE, "valeur_fonciere_mediane", 0.5)
+
+
 def sales_per_year(star: Star) -> DataFrame:
     """Q5: number of sales by year."""
     dated = star.lookup(star.facts, "dim_temps", ["annee"])

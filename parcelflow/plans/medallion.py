@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from parcelflow.operators.cleaning import CleanSpec, clean
-from parcelflow.operators.star import Star, build_star, load_star
+from parcelflow.operators.star import SKETCHES, Star, build_star, load_star, sketches_per_day
 from parcelflow.sources.delimited import read_extracts
-from parcelflow.sources.layers import read_layer, write_layer
+from parcelflow.sources.layers import new_version, read_layer, write_layer, write_table
+from parcelflow.sources.staging import scope
 
 BRONZE_TABLE = "extraits"
 SILVER_TABLE = "all_real_estate"
@@ -26,7 +27,8 @@ def run(
     """Write the three layers below ``out`` and return the star read from gold.
 
     Each layer is read back from Parquet by the next one. The text is parsed
-    once, and the means need only their four columns of bronze.
+    once, and the means need only their four columns of bronze. A layer is
+    replaced in one step when all of its tables are written.
     """
     raw = read_extracts(
         spark,
@@ -46,5 +48,7 @@ def run(
     clean_rows = read_layer(spark, silver, [SILVER_TABLE], known)[SILVER_TABLE]
 
     gold = f"{out}/gold"
-    built = build_star(clean_rows, null_safe, gold)
+    with scope(spark, "gold"), new_version(spark, gold) as folder:
+        built = build_star(clean_rows, null_safe, folder)
+        write_table(sketches_per_day(built.facts), f"{folder}/{SKETCHES}")
     return load_star(spark, gold, schemas={name: df.schema for name, df in built.tables.items()})

@@ -1,7 +1,12 @@
 """Reading extracts and links, writing and reading Parquet layers."""
 
-from parcelflow.sources.delimited import read_delimited, read_extracts, union_years
-from parcelflow.sources.layers import read_layer, write_layer, write_table
+from parcelflow.sources.delimited import (
+    read_checked_extracts,
+    read_delimited,
+    read_extracts,
+    union_years,
+)
+from parcelflow.sources.layers import new_version, read_layer, write_layer, write_table
 from parcelflow.sources.links import extract_links, latest_per_key
 from parcelflow.sources.staging import (
     Staged,
@@ -10,8 +15,10 @@ from parcelflow.sources.staging import (
     keep,
     measure,
     release,
+    scope,
     shared_dir,
     stage,
+    within_scope,
 )
 
 __all__ = [
@@ -22,13 +29,17 @@ __all__ = [
     "keep",
     "latest_per_key",
     "measure",
+    "new_version",
+    "read_checked_extracts",
     "read_delimited",
     "read_extracts",
     "read_layer",
     "release",
+    "scope",
     "shared_dir",
     "stage",
     "union_years",
+    "within_scope",
     "write_layer",
     "write_table",
 ]

@@ -1,12 +1,30 @@
-"""Parquet layers: a folder with one directory per named table."""
+"""Parquet layers: a folder with named tables, rewritten in one step.
+
+A write goes to a new folder beside the tables that readers use. A small manifest
+names the folder of each table and is replaced by one rename when all tables of the
+write are there, so a reader sees all of them or none, and a job that fails changes
+nothing. The tables before the last write stay, for readers that are still at work
+on them; those before that are deleted. Two writers at the same time are not
+serialised: the manifest of the later one holds.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+import json
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from threading import Lock
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+MANIFEST = "current.json"
+# Spark's setting to delete the shuffle files of a query when the query ends.
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_writes: dict[str, tuple[int, str]] = {}
+_lock = Lock()
+
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Overwrite a Parquet table.
@@ -16,7 +34,56 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     share of the rows is split over several tasks.
     """
     sized = df.hint("rebalance", *partition_by) if partition_by else df
-    sized.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    with _shuffles_freed(df.sparkSession):
+        sized.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+
+
+@contextmanager
+def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """What the write shuffles is deleted at its end, not when the driver next collects garbage.
+
+    Writes can run side by side; the setting is put back after the last of them.
+    """
+    session = spark._jsparkSession.sessionUUID()
+    with _lock:
+        running, before = _writes.get(session) or (0, spark.conf.get(_FREE_SHUFFLES, "false"))
+        spark.conf.set(_FREE_SHUFFLES, "true")
+        _writes[session] = running + 1, before
+    try:
+        yield
+    finally:
+        with _lock:
+            running, before = _writes.pop(session)
+            if running > 1:
+                _writes[session] = running - 1, before
+            else:
+                spark.conf.set(_FREE_SHUFFLES, before)
+
+
+@contextmanager
+def new_version(spark: SparkSession, base: str) -> Iterator[str]:
+    """A folder for new tables of a layer, which readers see when the block ends without an error.
+
+    Tables of the layer that the block does not write stay as they are.
+    """
+    folder = f"version-{uuid4().hex}"
+    path = f"{base}/{folder}"
+    try:
+        yield path
+        before = _manifest(spark, base)
+        written = {name: f"{folder}/{name}" for name in _children(spark, path)}
+        _replace_file(
+            spark,
+            f"{base}/{MANIFEST}",
+            json.dumps({"tables": {**before["tables"], **written}, "before": before["tables"]}),
+        )
+    except BaseException:
+        delete(spark, path)
+        raise
+    used = {table.split("/")[0] for table in [*before["tables"].values(), folder]}
+    for child in _children(spark, base):
+        if child.startswith("version-") and child not in used:
+            delete(spark, f"{base}/{child}")
 
 
 def write_layer(
@@ -24,9 +91,12 @@ def write_layer(
     base: str,
     partition_by: Mapping[str, Sequence[str]] | None = None,
 ) -> None:
-    """Overwrite ``base/<name>`` for every table."""
-    for name, df in tables.items():
-        write_table(df, f"{base}/{name}", (partition_by or {}).get(name, ()))
+    """Write tables of a layer, all of them visible at once."""
+    if not tables:
+        return
+    with new_version(next(iter(tables.values())).sparkSession, base) as folder:
+        for name, df in tables.items():
+            write_table(df, f"{folder}/{name}", (partition_by or {}).get(name, ()))
 
 
 def read_layer(
@@ -35,14 +105,61 @@ def read_layer(
     names: Iterable[str],
     schemas: Mapping[str, StructType] | None = None,
 ) -> dict[str, DataFrame]:
-    """Tables of a layer by name.
+    """Tables of a layer by name, all of one state of the layer.
 
     A table whose schema is given is read with it; types of partition columns
-    are otherwise guessed from the names of folders.
+    are otherwise guessed from the names of folders. A layer without a manifest
+    is a folder with one directory per table.
     """
-    tables = {}
+    known, tables = _manifest(spark, base)["tables"], {}
     for name in names:
         schema = (schemas or {}).get(name)
         reader = spark.read if schema is None else spark.read.schema(schema)
-        tables[name] = reader.parquet(f"{base}/{name}")
+        tables[name] = reader.parquet(f"{base}/{known.get(name, name)}")
     return tables
+
+
+def layer_tables(spark: SparkSession, base: str) -> list[str]:
+    """Names of the tables of a layer."""
+    known = _manifest(spark, base)["tables"]
+    return sorted(known or _children(spark, base))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _manifest(spark: SparkSession, base: str) -> dict[str, dict[str, str]]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{MANIFEST}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return {"tables": {}}
+    stream = files.open(path)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _children(spark: SparkSession, base: str) -> list[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    return [child.getPath().getName() for child in files.listStatus(path) if child.isDirectory()]
+
+
+def _replace_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a file under another name and rename it over the one that is there."""
+    fs, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    target, passing = fs.Path(path), fs.Path(f"{path}-{uuid4().hex}")
+    stream = passing.getFileSystem(conf).create(passing)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    overwrite = spark.sparkContext._gateway.new_array(fs.Options.Rename, 1)
+    overwrite[0] = fs.Options.Rename.OVERWRITE
+    fs.FileContext.getFileContext(target.toUri(), conf).rename(passing, target, overwrite)

@@ -7,7 +7,9 @@ later steps can check what they would broadcast or send to one task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 from functools import cached_property
 from uuid import uuid4
@@ -16,7 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow.functions import row_bytes
-from parcelflow.sources.layers import write_table
+from parcelflow.sources.layers import delete, write_table
+
+_scope: ContextVar[str | None] = ContextVar("scope", default=None)
 
 
 @dataclass(frozen=True)
@@ -50,24 +54,47 @@ def release(spark: SparkSession) -> None:
     Frames returned by operators are lazy and read these tables, so this is for
     the end of a session, when all results are written.
     """
-    _delete(spark, shared_dir(spark))
+    delete(spark, shared_dir(spark))
+
+
+@contextmanager
+def scope(spark: SparkSession, name: str = "scope") -> Iterator[None]:
+    """Delete what is kept within the block without a ``base`` when it ends, also by an error.
+
+    Frames made within it read those tables, so their results are written before its end. Scopes
+    can be nested. A thread started within the block is in the scope if it runs in a copy of the
+    context.
+    """
+    path = fresh_dir(spark, name)
+    token = _scope.set(path)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        delete(spark, path)
+
+
+def within_scope(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """What ``build`` returns, written to the surrounding scope; all else that it kept is deleted."""
+    base = fresh_dir(spark, name)
+    try:
+        with scope(spark, name):
+            return keep(build(), "result", base=base)
+    except BaseException:
+        delete(spark, base)
+        raise
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A new folder of the shared one, for tables that ``discard`` deletes when they are used up."""
-    return f"{shared_dir(spark)}/{name}-{uuid4().hex}"
+    """A new folder of the scope or the shared one; ``discard`` deletes it when it is used up."""
+    return f"{_scope.get() or shared_dir(spark)}/{name}-{uuid4().hex}"
 
 
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a table or folder below the shared one; nothing that is still to run may read it."""
     if not path.startswith(f"{shared_dir(spark)}/"):
         raise ValueError(f"{path} is not below the shared folder")
-    _delete(spark, path)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    delete(spark, path)
 
 
 def keep(
@@ -75,7 +102,7 @@ def keep(
 ) -> DataFrame:
     """Write ``df`` and return the table read back.
 
-    It goes to a new folder of the shared one, or replaces ``base/name``.
+    It goes to a new folder of the innermost scope or the shared one, or replaces ``base/name``.
     """
     spark = df.sparkSession
     path = fresh_dir(spark, name) if base is None else f"{base}/{name}"

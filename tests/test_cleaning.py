@@ -6,7 +6,7 @@ import pytest
 from parcelflow.functions import lenient_int
 from parcelflow.operators import (
     CleanSpec, build_dimension, build_star, carry_forward, clean, impute_mean,
-    normalise_names, star_integrity, DIMENSIONS,
+    normalise_names, rebate_price, star_integrity, DIMENSIONS,
 )
 from parcelflow.plans import marts
 from parcelflow.sources import read_delimited
@@ -136,3 +136,11 @@ def test_carry_forward(spark):
     assert sorted((r.g, r.n, r.v or "") for r in got.collect()) == [
         ("a", 1, ""), ("a", 2, "x"), ("a", 3, "x"), ("b", 1, ""), ("b", 2, "y"), ("b", 4, "y"),
     ]
+
+
+def test_rebate_by_a_table_equals_the_list(spark):
+    df = spark.createDataFrame([(75, 100.0), (13, 100.0), (None, 50.0), (77, None)], "code_departement int, valeur_fonciere double")
+    listed = spark.createDataFrame([(75,), (77,), (75,), (None,)], "code int")
+    by_table, by_list = rebate_price(df, listed), rebate_price(df, (75, 77))
+    assert by_table.columns == by_list.columns
+    assert sorted(map(str, by_table.collect())) == sorted(map(str, by_list.collect()))

@@ -1,12 +1,16 @@
 """Text extracts, layers, links and the batch run."""
 
+import gzip
+from pathlib import Path
+
 import pytest
 from parcelflow.operators import CleanSpec, build_star, clean
 from parcelflow.plans import marts, medallion
 from parcelflow.sources import (
-    discard, extract_links, fresh_dir, keep, latest_per_key, read_delimited, read_extracts, read_layer, shared_dir, stage,
-    union_years, write_layer,
+    discard, extract_links, fresh_dir, keep, latest_per_key, new_version, read_checked_extracts, read_delimited,
+    read_extracts, read_layer, scope, shared_dir, stage, union_years, within_scope, write_layer,
 )
+from parcelflow.sources.layers import layer_tables
 from pyspark.sql import functions as F
 from test_cleaning import LINES
 
@@ -74,6 +78,53 @@ def test_many_small_extracts(spark, tmp_path):
     assert sorted(map(tuple, rows.collect())) == sorted(expected)
 
 
+def test_headers_of_many_files_take_few_jobs(spark, tmp_path):
+    for n in range(1000):
+        (tmp_path / f"part-{n}.txt").write_text("a|b\n" if n % 2 else f"b|a\n{n}|x\n")
+    (tmp_path / "blank first.txt").write_text("\n \na|b\n5|z\n")
+    spark.sparkContext.setJobGroup("headers", "headers")
+    rows = read_extracts(spark, str(tmp_path))
+    # Two listings in parallel jobs, the first lines, and one file for each of the two headers.
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("headers"))
+    spark.sparkContext.setJobGroup("other", "other")
+    assert jobs <= 12
+    assert rows.count() == 501 and rows.where("a = '5' AND b = 'z'").count() == 1
+
+
+def test_rejected_lines_and_files(spark, tmp_path):
+    (tmp_path / "2019.txt").write_text("a|b|c\n1|2|3\n4|5\n6|7|8|9\n|\"x|y\"|z\n")
+    (tmp_path / "2020.txt").write_text("c|a\n1|2\ncut of")
+    whole = gzip.compress(("a|b|c\n" + "".join(f"{n}|{n}|{n * n}\n" for n in range(20000))).encode())
+    (tmp_path / "2021.txt.gz").write_bytes(whole)
+    (tmp_path / "2022.txt.gz").write_bytes(whole[: len(whole) // 2])
+    (tmp_path / "2023.txt.bz2").write_bytes(b"no such file")
+    (tmp_path / "2024.txt").write_text("")
+    rows, rejected = read_checked_extracts(spark, str(tmp_path), glob="*.txt*", source_column="year")
+    assert {r.year: r["count"] for r in rows.groupBy("year").count().collect()} == {"2019": 2, "2020": 1, "2021": 20000}
+    assert rows.where("year = '2019' AND b = 'x|y'").count() == 1
+    found = {(r.path.rsplit("/", 1)[1], r.record, r.reason) for r in rejected.collect()}
+    assert found == {
+        ("2019.txt", "4|5", "fields"), ("2019.txt", "6|7|8|9", "fields"), ("2020.txt", "cut of", "fields"),
+        ("2022.txt.gz", None, "broken"), ("2023.txt.bz2", None, "broken"),
+    }
+    assert rows.select("a").where("a > 19998").count() == 1 and rejected.select("reason").count() == 5
+    left_out = []
+    assert read_extracts(spark, str(tmp_path), glob="*.txt*", skip_unreadable=True, left_out=left_out).count() == 20006
+    assert [path.rsplit("/", 1)[1] for path in left_out] == ["2022.txt.gz", "2023.txt.bz2"]
+    with pytest.raises(Exception):
+        read_extracts(spark, str(tmp_path), glob="*.txt*").count()
+
+
+def test_broken_file_of_a_directory(spark, tmp_path):
+    for year in (2019, 2020):
+        (tmp_path / f"y{year}").mkdir()
+        for part in (1, 2):
+            (tmp_path / f"y{year}" / f"{part}.txt.gz").write_bytes(gzip.compress(b"a|b\n1|x\n"))
+    (tmp_path / "y2020" / "1.txt.gz").write_bytes(gzip.compress(b"a|b\n1|x\n")[:-12])
+    rows = read_extracts(spark, str(tmp_path), glob="*.gz", header_per="directory", skip_unreadable=True)
+    assert rows.count() == 3
+
+
 def test_no_extract(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         read_extracts(spark, str(tmp_path))
@@ -98,6 +149,77 @@ def test_layer_round_trip(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(annee" in plan_of(back["t"].where("annee = 2"))
 
 
+def test_layer_is_replaced_in_one_step(spark, tmp_path):
+    base = str(tmp_path / "layer")
+    old = {"t": spark.range(3), "u": spark.range(5)}
+    write_layer(old, base)
+    reader = read_layer(spark, base, ["t", "u"])
+    with pytest.raises(RuntimeError):
+        with new_version(spark, base) as folder:
+            spark.range(99).write.parquet(f"{folder}/t")
+            raise RuntimeError("the job ends here")
+    failing = {"t": spark.range(7), "u": spark.range(7).select(F.raise_error(F.lit("no")).alias("id"))}
+    with pytest.raises(Exception, match="no"):
+        write_layer(failing, base)
+    assert [df.count() for df in read_layer(spark, base, ["t", "u"]).values()] == [3, 5]
+    write_layer({"t": spark.range(10)}, base)
+    assert [df.count() for df in read_layer(spark, base, ["t", "u"]).values()] == [10, 5]
+    # A reader that began before the write goes on.
+    assert [df.count() for df in reader.values()] == [3, 5]
+    write_layer(old, base)
+    write_layer(old, base)
+    assert layer_tables(spark, base) == ["t", "u"]
+    assert len([p for p in (tmp_path / "layer").iterdir() if p.is_dir()]) == 2
+
+
+def test_layer_without_manifest_is_read(spark, tmp_path):
+    spark.range(4).write.parquet(f"{tmp_path}/t")
+    assert layer_tables(spark, str(tmp_path)) == ["t"]
+    assert read_layer(spark, str(tmp_path), ["t"])["t"].count() == 4
+
+
+def test_scope_deletes_what_was_kept_in_it(spark):
+    paths = []
+
+    def build(fail=False):
+        frame = keep(spark.range(3), "passing")
+        paths.append(frame.inputFiles()[0].rsplit("/", 1)[0])
+        inner = within_scope(spark, "inner", lambda: keep(frame.union(frame), "twice"))
+        paths.append(inner.inputFiles()[0].rsplit("/", 1)[0])
+        return inner.where("1 / 0 = 1") if fail else inner
+
+    result = within_scope(spark, "outer", build)
+    assert result.count() == 6
+    with pytest.raises(Exception):
+        within_scope(spark, "failing", lambda: build(fail=True))
+    for path in paths:
+        with pytest.raises(Exception):
+            spark.read.parquet(path).count()
+    left = Path(shared_dir(spark).removeprefix("file:"))
+    assert not [p for p in left.iterdir() if p.name.startswith(("failing", "outer-")) and p.name not in result.inputFiles()[0]]
+
+
+def test_threads_keep_their_tables_in_the_scope(spark):
+    before = set(Path(shared_dir(spark)).iterdir())
+    clean_rows = spark.createDataFrame(SALES, "annee int, mois int, jour int, code_commune int, commune string, "
+        "code_postal int, code_departement int, nature_mutation string, nombre_de_lots int, type_local string, "
+        "code_type_local string, surface_reelle_bati double, nombre_pieces_principales int, "
+        "identifiant_de_document string, valeur_fonciere double, surface_terrain double, prix_a_payer double")
+    with scope(spark):
+        assert build_star(clean_rows).facts.count() == 2
+    assert set(Path(shared_dir(spark)).iterdir()) == before
+
+
+SALES = [(2020, 1, n, n, "c", 1, 75, "Vente", 1, "Maison", "1", 50.0, 3, str(n), 1e5 * n, 10.0, 1e5) for n in (1, 2)]
+
+
+def test_writes_leave_no_shuffle_setting(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    keep(spark.range(100).repartition(5, "id"), "shuffled")
+    assert spark.conf.get(name) == before
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
