@@ -11,14 +11,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.sources import keep
+from parcelflow.sources import keep, within_scope
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``doc_id, label``: each node above the least of its component, and that least one.
 
-    ``edges`` has the columns ``one`` and ``other``; an edge to itself counts for nothing.
+    ``edges`` has the columns ``one`` and ``other``; an edge to itself counts for nothing. The
+    tables of the rounds are deleted, the result alone stays.
     """
+    return within_scope(edges.sparkSession, "components", lambda: _stars(edges))
+
+
+def _stars(edges: DataFrame) -> DataFrame:
     high, low = F.greatest("one", "other"), F.least("one", "other")
     stars = keep(edges.where("one <> other").select(high.alias("node"), low.alias("label")).distinct(), "edges")
     state = _state(stars)

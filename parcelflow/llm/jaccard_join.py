@@ -14,12 +14,15 @@ with more empty parts has those signatures too.
 Sets that share a signature are candidates. They are not compared all with all:
 each is first compared with the most central set of the groups it is in, then only
 sets that are not yet connected and differ from it in like ways. Every link between sets of
-different components has then been looked for, so the components are exact.
+different components has then been looked for, so the components are exact. Before the
+texts of a pair meet, the counts of their elements by ranges of hashes do: sets differ in
+at least as many elements as these counts do, which tells most unrelated sets apart.
 
 Defined results: null texts and texts without words have empty sets and no
 links. A text shorter than an n-gram is one n-gram. A row without an id has no
-component. Rows of one id are one document that has every link any of its texts
-has. Empty tables give no rows; columns other than the id and the text are ignored.
+component. Ids are whole numbers; others fail. Rows of one id are one document that has
+every link any of its texts has. Empty tables give no rows; columns other than the id
+and the text are ignored.
 """
 
 from __future__ import annotations
@@ -36,14 +39,17 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from parcelflow.llm.components import components, relabelled
-from parcelflow.llm.words import SPACED, byte_texts, chunks
+from parcelflow.llm.words import SPACED, byte_texts, chunks, free_name
 from parcelflow.operators.joins import BROADCAST_BYTES
-from parcelflow.sources import discard, fresh_dir, keep, stage
+from parcelflow.sources import Staged, discard, fresh_dir, keep, stage, within_scope
 
 # Sets of a task whose copies are not signed again.
 SEEN_SETS = 200_000
 # Counts of hashed n-grams that decide which are rare.
-BUCKETS = 1 << 18
+BUCKET_BITS = 18
+BUCKETS = 1 << BUCKET_BITS
+# Ranges of hashes whose elements are counted for each set, as a power of two.
+LEAST_TALLY_BITS = 7
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -71,10 +77,13 @@ class Similarity:
             firsts.append(self.largest_partner(firsts[-1]) + 1)
         return (*firsts, self.largest_partner(firsts[-1]) + 1)
 
+    def most_difference(self, one: int, other: int) -> int:
+        """Most elements in which linked sets of these sizes differ."""
+        return (one + other) * (100 - self.percent) // (100 + self.percent)
+
     def differing(self, last_size: int) -> int:
         """Most elements in which linked sets differ when the smaller has at most ``last_size``."""
-        both = last_size + self.largest_partner(last_size)
-        return both * (100 - self.percent) // (100 + self.percent)
+        return self.most_difference(last_size, self.largest_partner(last_size))
 
 
 def ngrams(text: bytes, words: int) -> np.ndarray:
@@ -134,56 +143,91 @@ def linked_documents(
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row.
 
-    Tables on the way are deleted as soon as what is made of them has been written.
+    What is written on the way is deleted, each table as soon as it is used up.
     """
-    spark, passing = docs.sparkSession, fresh_dir(docs.sparkSession, "jaccard")
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
+    )
+    return within_scope(docs.sparkSession, "linked", lambda: _linked(texts, similarity))
+
+
+def _linked(texts: DataFrame, similarity: Similarity) -> DataFrame:
+    spark, passing = texts.sparkSession, fresh_dir(texts.sparkSession, "jaccard")
     sets = keep(
-        texts.mapInArrow(_measure_sets(similarity), "doc_id long, n_shingles long, print1 long, print2 long"),
+        texts.mapInArrow(
+            _measure_sets(similarity),
+            "doc_id long, n_shingles long, print1 long, print2 long, tallies binary",
+        ),
         "sets",
     )
     full = sets.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    first = full.groupBy("print1", "print2").agg(F.min("doc_id").alias("label"))
     copies = keep(
-        full.join(
-            full.groupBy("print1", "print2").agg(F.min("doc_id").alias("label")), ["print1", "print2"]
-        ).where("doc_id > label").select("doc_id", "label"),
+        full.select("doc_id", "print1", "print2")
+        .join(first, ["print1", "print2"])
+        .where("doc_id > label")
+        .select("doc_id", "label"),
         "copies",
-        base=passing,
     )
-    # The signatures of an id with several texts stay its own: only one of its texts is the copy.
+    # An id with several texts is signed whole: only one of its texts is the copy.
     several = full.groupBy("doc_id").agg(
         (F.min("print1") < F.max("print1")).alias("first"), (F.min("print2") < F.max("print2")).alias("second")
     ).where("first OR second")
-    whole = copies.join(several, "doc_id", "left_anti")
-    shared = _shared_signatures(texts.where("doc_id IS NOT NULL"), whole, similarity, passing)
+    gone = stage(copies.join(several, "doc_id", "left_anti").select("doc_id").distinct(), "signed-elsewhere")
+    to_sign = texts.where("doc_id IS NOT NULL").join(_small(gone), "doc_id", "left_anti")
+    shared = _shared_signatures(to_sign, similarity, passing)
     edges = [copies.select(F.col("doc_id").alias("one"), F.col("label").alias("other"))]
     labels, tested = copies, None
     remaining = partial(_remaining_pairs, texts=texts, passing=passing)
     for number, choice in enumerate((_central_pairs, _leader_pairs, remaining)):
         base = f"{passing}/{number}"
         pairs = keep(_untested(choice(relabelled(shared, labels), similarity), tested), "pairs", base=base)
-        found = keep(_verified(texts, pairs, similarity, base), "links", base=base)
+        near = keep(_near_pairs(full, pairs, similarity), "near", base=base)
+        found = keep(_verified(texts, near, similarity, base), "links", base=base)
         discard(spark, f"{base}/texts")
         edges.append(found)
         tested = pairs if tested is None else tested.unionByName(pairs)
         labels = components(_all(edges))
-    discard(spark, passing)
     return sets.join(labels, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id")
     )
 
 
 def first_of_each(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
-    """The documents whose id is the smallest of their component, with all their columns.
+    """One document of each component, with all its columns: that with the smallest id.
 
-    Rows without an id or without words stay. Of rows that repeat id and text, all stay.
+    Ids are of any type that has an order; rows without one come after all others. Of rows that
+    repeat id and text, the first in the order of their JSON stays. Documents without words stay.
     """
-    linked = linked_documents(docs, similarity)
-    others = stage(
-        linked.where("component_id < doc_id").select(F.col("doc_id").alias("__gone")).distinct(), "others"
+    row, gone, again = (free_name(docs, name) for name in ("__row", "__gone", "__again"))
+    keyed = docs.withColumn(row, F.xxhash64("doc_id", "text"))
+    linked = keep(linked_documents(keyed.select(row, "text"), similarity, row).distinct(), "linked")
+    owners = keyed.select(F.col(row).alias("owner"), "doc_id")
+    rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "owner")
+    worded = linked.where("n_shingles > 0").select(F.col("doc_id").alias("key"), "component_id")
+    best = (
+        worded.join(owners, F.col("key") == F.col("owner"))
+        .groupBy("component_id")
+        .agg(F.min(rank).alias("best"))
     )
-    side = F.broadcast(others.df) if others.bytes <= BROADCAST_BYTES else others.df
-    return docs.join(side, F.col("doc_id") == F.col("__gone"), "left_anti")
+    not_first = worded.join(best, "component_id").where(F.col("key") != F.col("best.owner"))
+    others = stage(not_first.select(F.col("key").alias(gone)), "others")
+    left = keyed.join(_small(others), F.col(row) == F.col(gone), "left_anti")
+    # Rows that repeat id and text are one document as well.
+    counts = keyed.groupBy(F.col(row).alias(again)).count().where("count > 1").select(again)
+    repeated = stage(counts.join(worded, F.col(again) == F.col("key"), "left_semi"), "repeated")
+    if not repeated.rows:
+        return left.drop(row)
+    several = left.join(_small(repeated), F.col(row) == F.col(again), "left_semi").drop(row)
+    columns = F.struct(*[f"`{c}`" for c in docs.columns])
+    single = several.groupBy("doc_id", "text").agg(F.min_by(columns, F.to_json(columns)).alias("row"))
+    once = left.join(_small(repeated), F.col(row) == F.col(again), "left_anti").drop(row)
+    return once.unionByName(single.select("row.*"))
+
+
+def _small(table: Staged) -> DataFrame:
+    """The table, broadcast if it is small enough."""
+    return F.broadcast(table.df) if table.bytes <= BROADCAST_BYTES else table.df
 
 
 def _all(frames: list[DataFrame]) -> DataFrame:
@@ -193,13 +237,12 @@ def _all(frames: list[DataFrame]) -> DataFrame:
     return result
 
 
-def _shared_signatures(
-    texts: DataFrame, copies: DataFrame, similarity: Similarity, passing: str
-) -> DataFrame:
-    """``signature, doc_id, size, members, weight`` of those that two or more sets have.
+def _shared_signatures(texts: DataFrame, similarity: Similarity, passing: str) -> DataFrame:
+    """``signature, doc_id, size, members, weight`` of those that two or more documents have.
 
     ``weight`` adds up the members of all groups of a document: the set in the
-    middle of many near copies has the largest.
+    middle of many near copies has the largest. Signatures are shuffled once; all that is asked of
+    their groups is asked where they have come together.
     """
     signed = texts.mapInArrow(_sign(similarity), "signature long, doc_id long, size int")
     group = Window.partitionBy("signature")
@@ -207,18 +250,10 @@ def _shared_signatures(
         signed.withColumns({"least": F.min("doc_id").over(group), "most": F.max("doc_id").over(group)})
         .where("least < most")
         .select("signature", "doc_id", "size")
-    )
-    # Copies of a set stand for it in different tasks; one of them is enough.
-    renamed = copies.select(F.col("doc_id").alias("copy"), "label")
-    single = (
-        met.join(renamed, F.col("doc_id") == F.col("copy"), "left")
-        .select("signature", F.coalesce("label", "doc_id").alias("doc_id"), "size")
+        # Rows that repeat an id and a text may have been signed in several tasks.
         .distinct()
     )
-    groups = keep(single, "signatures", base=passing)
-    members = groups.groupBy("signature").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    counted = keep(groups.join(members, "signature"), "groups", base=passing)
-    discard(texts.sparkSession, f"{passing}/signatures")
+    counted = keep(met.withColumn("members", F.count(F.lit(1)).over(group)), "groups", base=passing)
     weights = counted.groupBy("doc_id").agg(F.sum("members").alias("weight"))
     weighed = keep(counted.join(weights, "doc_id"), "weighed", base=passing)
     discard(texts.sparkSession, f"{passing}/groups")
@@ -281,44 +316,40 @@ def _remaining_pairs(
     """
     spark = texts.sparkSession
     leaders = _leaders(labelled).select("signature", F.col("leader.doc_id").alias("leader"))
-    led = labelled.join(leaders, "signature")
-    members = stage(
-        led.where("doc_id <> leader").select("leader", "doc_id", "label", "size").distinct(),
-        "members",
-        passing,
-    ).df
-    known = _needed_texts(texts, members.select(F.explode(F.array("leader", "doc_id"))), passing)
-    own = known.select(F.col("known_id").alias("doc_id"), "text")
-    central = known.join(
-        members.select(F.col("leader").alias("known_id")).distinct(), "known_id", "left_semi"
-    ).select(F.col("known_id").alias("leader"), F.col("text").alias("leader_text"))
-    differences = keep(
-        members.join(own, "doc_id").join(central, "leader").mapInArrow(
-            _differences(similarity),
-            "leader long, doc_id long, label long, size int, grams array<long>",
-        ),
-        "differences",
-        base=passing,
+    group = Window.partitionBy("signature")
+    # All pairs with the leader are done: a group is open if its other members are not in one component.
+    others = (
+        labelled.join(leaders, "signature")
+        .where("doc_id <> leader")
+        .withColumns({"low": F.min("label").over(group), "high": F.max("label").over(group)})
+        .where("low < high")
     )
+    members = keep(others.select("leader", "doc_id", "label", "size").distinct(), "members", base=passing)
+    known = _needed_texts(texts, members.select(F.explode(F.array("leader", "doc_id"))), passing)
+    reduced = keep(known.mapInArrow(_reduce(similarity), "known_id long, values binary"), "reduced", base=passing)
     discard(spark, f"{passing}/texts")
-    bucket = F.call_function("shiftrightunsigned", "gram", F.lit(46)).cast("int").alias("bucket")
-    counted = differences.select(F.explode("grams").alias("gram")).groupBy(bucket).count()
+    own = reduced.select(F.col("known_id").alias("doc_id"), "values")
+    central = reduced.join(
+        members.select(F.col("leader").alias("known_id")).distinct(), "known_id", "left_semi"
+    ).select(F.col("known_id").alias("leader"), F.col("values").alias("leader_values"))
+    # Read twice, which takes less than to write all differences.
+    met_leader = members.join(own, "doc_id").join(central, "leader")
     counts = np.zeros(BUCKETS, np.int64)
-    for row in counted.collect():  # at most BUCKETS rows
-        counts[row.bucket] = row["count"]
+    tallied = met_leader.mapInArrow(_count_differences, "bucket int, n long").groupBy("bucket")
+    for row in keep(tallied.agg(F.sum("n").alias("n")), "tallied", base=passing).collect():  # at most BUCKETS rows
+        counts[row.bucket] = row.n
     placed = keep(
-        differences.mapInArrow(
+        met_leader.mapInArrow(
             _in_order(similarity, counts),
-            "leader long, gram long, doc_id long, label long, size int, differing int, place int",
-        ).select(F.xxhash64("leader", "gram").alias("cell"), "doc_id", "label", "size", "differing", "place"),
+            "leader long, value long, doc_id long, label long, size int, differing int, place int",
+        ).select(F.xxhash64("leader", "value").alias("cell"), "doc_id", "label", "size", "differing", "place"),
         "places",
         base=passing,
     )
-    discard(spark, f"{passing}/differences")
+    discard(spark, f"{passing}/reduced")
     labels = placed.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     met = stage(labels.where("low < high").select("cell"), "met", passing)
-    side = F.broadcast(met.df) if met.bytes <= BROADCAST_BYTES else met.df
-    rows = keep(placed.join(side, "cell", "left_semi"), "met-places", base=passing)
+    rows = keep(placed.join(_small(met), "cell", "left_semi"), "met-places", base=passing)
     discard(spark, f"{passing}/places")
     partners = rows.select(
         "cell", *[F.col(c).alias(f"other_{c}") for c in ("doc_id", "label", "size", "differing", "place")]
@@ -350,11 +381,21 @@ def _untested(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
 def _needed_texts(texts: DataFrame, ids: DataFrame, base: str) -> DataFrame:
     """``known_id, text`` of the documents whose ids are in the one column of ``ids``."""
     needed = stage(ids.toDF("needed").distinct(), "needed", base)
-    side = F.broadcast(needed.df) if needed.bytes <= BROADCAST_BYTES else needed.df
-    rows = texts.join(side, F.col("doc_id") == F.col("needed"), "left_semi")
+    rows = texts.join(_small(needed), F.col("doc_id") == F.col("needed"), "left_semi")
     return keep(rows.select(F.col("doc_id").alias("known_id"), "text"), "texts", base=base)
 
 
+def _near_pairs(sets: DataFrame, pairs: DataFrame, similarity: Similarity) -> DataFrame:
+    """The pairs whose tallies do not show that they differ in too many elements."""
+    one, other = (
+        sets.select(*[F.col(c).alias(f"{side}{c}") for c in ("doc_id", "n_shingles", "tallies")])
+        for side in ("one_", "other_")
+    )
+    known = pairs.join(one, F.col("one") == F.col("one_doc_id")).join(other, F.col("other") == F.col("other_doc_id"))
+    asked = known.select("one", "other", "one_n_shingles", "other_n_shingles", "one_tallies", "other_tallies")
+    return asked.mapInArrow(_close(similarity), "one long, other long").distinct()
+
+
 def _verified(texts: DataFrame, pairs: DataFrame, similarity: Similarity, base: str) -> DataFrame:
     """The pairs that are linked, by comparing their sets."""
     known = _needed_texts(texts, pairs.select(F.explode(F.array("one", "other"))), base)
@@ -367,11 +408,12 @@ def _verified(texts: DataFrame, pairs: DataFrame, similarity: Similarity, base:
 def _measure_sets(similarity: Similarity):
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, prints = [], []
+            sizes, prints, tallies = [], [], []
             for text in byte_texts(batch.column("text")):
                 grams = ngrams(text, similarity.words)
                 sizes.append(len(grams))
                 prints.append(_fingerprint(grams))
+                tallies.append(_tallies(grams).tobytes())
             columns = np.array(prints, np.uint64).reshape(-1, 2).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -379,8 +421,9 @@ def _measure_sets(similarity: Similarity):
                     pa.array(sizes, pa.int64()),
                     pa.array(columns[:, 0]),
                     pa.array(columns[:, 1]),
+                    pa.array(tallies, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "print1", "print2"],
+                names=["doc_id", "n_shingles", "print1", "print2", "tallies"],
             )
 
     return measure
@@ -423,37 +466,85 @@ def _sign(similarity: Similarity):
     return sign
 
 
-def _differences(similarity: Similarity):
-    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_text, last = None, np.empty(0, np.uint64)
+def _tallies(grams: np.ndarray) -> np.ndarray:
+    """Number of elements in each of equal ranges of hashes, 255 at most; larger sets have more ranges."""
+    bits = max(LEAST_TALLY_BITS, (len(grams) // 4).bit_length())
+    counts = np.bincount((grams >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8)
+
+
+def least_difference(one: np.ndarray, other: np.ndarray) -> int:
+    """Elements in which sets with these tallies differ at the least."""
+    small, large = sorted((one.astype(np.int64), other.astype(np.int64)), key=len)
+    if len(small) < len(large):
+        # A full count may stand for more, so a range that holds one says nothing.
+        parts = large.reshape(len(small), -1)
+        sums, full = parts.sum(axis=1), (parts == 255).any(axis=1) | (small == 255)
+        return int(np.abs(sums - small)[~full].sum())
+    return int(np.abs(large - small).sum())
+
+
+def _close(similarity: Similarity):
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            grams = []
-            for text, central in zip(
-                byte_texts(batch.column("text")), byte_texts(batch.column("leader_text")), strict=True
-            ):
-                if central != last_text:
-                    last_text, last = central, ngrams(central, similarity.words)
-                grams.append(np.setxor1d(ngrams(text, similarity.words), last, assume_unique=True).view(np.int64))
-            names = ["leader", "doc_id", "label", "size"]
+            sizes = [batch.column(c).to_pylist() for c in ("one_n_shingles", "other_n_shingles")]
+            tallies = [batch.column(c).to_pylist() for c in ("one_tallies", "other_tallies")]
+            kept = [
+                least_difference(np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8))
+                <= similarity.most_difference(m, n)
+                for m, n, a, b in zip(*sizes, *tallies, strict=True)
+            ]
+            yield batch.select(["one", "other"]).filter(pa.array(kept, pa.bool_()))
+
+    return close
+
+
+def _reduce(similarity: Similarity):
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (piece for whole in batches for piece in chunks([whole], "text")):
+            values = [
+                np.unique((ngrams(text, similarity.words) >> np.uint64(32)).astype(np.uint32)).tobytes()
+                for text in byte_texts(batch.column("text"))
+            ]
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(n) for n in names], pa.array(grams, pa.list_(pa.int64()))], names=[*names, "grams"]
+                [batch.column("known_id"), pa.array(values, pa.binary())], names=["known_id", "values"]
             )
 
-    return differ
+    return reduce
+
+
+def _differences(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """What each reduced set and its leader's do not have in common."""
+    columns = (batch.column(c).to_pylist() for c in ("values", "leader_values"))
+    for own, leader in zip(*columns, strict=True):
+        yield np.setxor1d(np.frombuffer(own, np.uint32), np.frombuffer(leader, np.uint32), assume_unique=True)
+
+
+def _count_differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many differences of a task fall in each bucket."""
+    counts = np.zeros(BUCKETS, np.int64)
+    for batch in batches:
+        for own in _differences(batch):
+            np.add.at(counts, _bucket(own), 1)
+    seen = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(seen.astype(np.int32)), pa.array(counts[seen])], names=["bucket", "n"]
+    )
+
+
+def _bucket(values: np.ndarray) -> np.ndarray:
+    return (values >> np.uint32(32 - BUCKET_BITS)).astype(np.int64)
 
 
 def _in_order(similarity: Similarity, counts: np.ndarray):
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The differences that can be early enough for a partner, rare ones first."""
-        for batch in batches:
+        """The differences to the leader that can be early enough for a partner, rare ones first."""
+        # Each row becomes many, so few are taken at once.
+        for batch in (whole.slice(start, 500) for whole in batches for start in range(0, whole.num_rows, 500)):
             chosen, places, taken, totals = [], [], [], []
-            for grams, size in zip(
-                batch.column("grams").to_pylist(), batch.column("size").to_pylist(), strict=True
-            ):
-                own = np.array(grams, np.int64)
-                seen = counts[(own.view(np.uint64) >> np.uint64(46)).astype(np.int64)]
-                first = np.lexsort((own, seen))[: similarity.differing(size) + 1]
-                chosen.append(own[first])
+            for own, size in zip(_differences(batch), batch.column("size").to_pylist(), strict=True):
+                first = np.lexsort((own, counts[_bucket(own)]))[: similarity.differing(size) + 1]
+                chosen.append(own[first].astype(np.int64))
                 places.append(np.arange(1, len(first) + 1, dtype=np.int32))
                 taken.append(len(first))
                 totals.append(len(own))
@@ -466,7 +557,7 @@ def _in_order(similarity: Similarity, counts: np.ndarray):
                     pa.array(np.array(totals, np.int32)).take(rows),
                     pa.array(np.concatenate([*places, np.empty(0, np.int32)])),
                 ],
-                names=["leader", "gram", "doc_id", "label", "size", "differing", "place"],
+                names=["leader", "value", "doc_id", "label", "size", "differing", "place"],
             )
 
     return order

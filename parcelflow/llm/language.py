@@ -26,6 +26,10 @@ from parcelflow.llm.words import byte_texts, chunks
 
 UNKNOWN = "und"
 WINDOW = 64
+# Known runs that every text is given, so that a few unknown ones of a short text do not decide.
+BENEFIT, MARGIN = 20, 0.05
+# ASCII letters in lower case and all bytes of longer characters; anything else is zero.
+_LETTERS = bytes(b if b >= 0x80 or 97 <= b <= 122 else 0 for b in range(256))
 # Windows that go through the network side by side.
 SIDE_BY_SIDE = 2048
 
@@ -59,11 +63,8 @@ def learn(
     steps: int = 500,
 ) -> Network | None:
     """Train on windows of at most ``docs_per_language`` documents of each known language."""
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), F.xxhash64("text")))
     sample = (
-        docs.where("lang IS NOT NULL AND length(text) > 0")
-        .select("doc_id", "lang", "text", place.alias("place"))
-        .where(F.col("place") <= docs_per_language)
+        _sample(docs, docs_per_language)
         .select("lang", "text")
         .mapInArrow(_cut(windows_per_doc), "lang string, window binary")
         .orderBy("lang", "window")
@@ -72,6 +73,109 @@ def learn(
     return train(sample, hidden, steps) if len(sample) else None
 
 
+def _sample(docs: DataFrame, docs_per_language: int) -> DataFrame:
+    """``lang, text, place`` of at most so many documents of a language, the first by a hash.
+
+    A bound on the hash, from the number of different documents of the language, leaves about twice
+    as many before anything is shuffled, so that does not grow with the table, nor with a language.
+    """
+    order = F.xxhash64("doc_id", "text").alias("order")
+    known = docs.where("lang IS NOT NULL AND length(text) > 0").select("lang", "text", order)
+    counts = known.groupBy("lang").agg(F.approx_count_distinct("order").alias("n"))
+    share = F.least(F.lit(2.0 * docs_per_language) / F.col("n"), F.lit(1.0))
+    upto = F.lit(-(2.0**63)) + share * F.lit(2.0**64)
+    # One row per language.
+    bounds = F.broadcast(counts.select(F.col("lang").alias("bound_lang"), upto.alias("upto")))
+    near = known.join(bounds, F.col("lang") == F.col("bound_lang")).where(F.col("order") <= F.col("upto"))
+    # Rows that repeat id and text are one document.
+    single = near.groupBy("lang", "order").agg(F.min("text").alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
+    return single.select("lang", "text", place.alias("place")).where(F.col("place") <= docs_per_language)
+
+
+@dataclass(frozen=True)
+class Familiar:
+    """Three-byte runs of letters of the sample, one bit for each, and the least share of them a text needs."""
+
+    bits: np.ndarray
+    least: float
+
+    def shares(self, texts: list[str]) -> np.ndarray:
+        """Share of the runs of each text that are known, with ``BENEFIT`` known ones added."""
+        known = np.unpackbits(self.bits)
+        return np.array([_share(known, _runs(text)) for text in texts])
+
+
+def learn_familiar(docs: DataFrame, docs_per_language: int = 400) -> Familiar | None:
+    """What texts of the known languages consist of, and how far a new text of them can depart.
+
+    Every second document of the sample is held against the runs of the others: the bound lies
+    below the shares of all but a few of a thousand, and further by ``MARGIN``.
+    """
+    sample = _sample(docs, docs_per_language)
+    runs = sample.mapInArrow(_distinct_runs, "half int, run int").distinct().toPandas()  # at most 2^25
+    if not len(runs):
+        return None
+    halves = []
+    for half in (0, 1):
+        bits = np.zeros(1 << 24, np.uint8)
+        bits[runs["run"].to_numpy()[runs["half"].to_numpy() == half]] = 1
+        halves.append(bits)
+    first = Familiar(np.packbits(halves[0]), 0.0)
+    held = sample.where("place % 2 = 1").select("text").mapInArrow(_held_shares(first), "share double").toPandas()
+    least = float(np.quantile(held["share"], 0.002)) - MARGIN if len(held) else 0.0
+    return Familiar(np.packbits(halves[0] | halves[1]), least)
+
+
+def unfamiliar(docs: DataFrame, familiar: Familiar | None) -> DataFrame:
+    """``doc_id`` of the rows whose text is not like those of any known language."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    if familiar is None:
+        return texts.where(F.lit(False)).select("doc_id")
+
+    def strange(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shares = familiar.shares(batch.column("text").to_pylist())
+            yield batch.select(["doc_id"]).filter(pa.array(shares < familiar.least))
+
+    return texts.mapInArrow(strange, f"doc_id {kind}")
+
+
+def _runs(text: str) -> np.ndarray:
+    """Numbers of all runs of three bytes within words, in lower case."""
+    data = np.frombuffer(text.lower().encode().translate(_LETTERS), np.uint8).astype(np.int32)
+    if len(data) < 3:
+        return np.empty(0, np.int32)
+    inside = (data[:-2] > 0) & (data[1:-1] > 0) & (data[2:] > 0)
+    return ((data[:-2] << 16) | (data[1:-1] << 8) | data[2:])[inside]
+
+
+def _share(known: np.ndarray, runs: np.ndarray) -> float:
+    return (int(known[runs].sum()) + BENEFIT) / (len(runs) + BENEFIT)
+
+
+def _distinct_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        places = batch.column("place").to_numpy()
+        texts = batch.column("text").to_pylist()
+        for half in (0, 1):
+            own = [_runs(text) for text, place in zip(texts, places) if place % 2 == half]
+            runs = np.unique(np.concatenate([*own, np.empty(0, np.int32)])).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(runs), half, np.int32)), pa.array(runs)], names=["half", "run"]
+            )
+
+
+def _held_shares(familiar: Familiar):
+    def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shares = familiar.shares(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(shares, pa.float64())], names=["share"])
+
+    return share
+
+
 def _cut(count: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Windows at even distances over the whole text."""

@@ -3,12 +3,16 @@
 Vectors are cut into two halves and each half is quantised on its own, so a
 pair of centroids names a cell. A query walks the cells in the order of the
 summed inner products of its halves with the centroids, best pair first, until
-the cells hold a share of all entries, and every entry there is reranked.
+the cells hold a share of all entries, and every entry there is reranked. The
+share is found on the sample that the centroids are fitted on: there the nearest
+are known, and so is how far a walk must go to meet a stated part of them.
 
 Defined results: vectors that are null, zero, of another length than most, or
 that hold null or non-finite components take no part, and neither do rows with
 a null id. A repeated row counts once. Equal vectors are one entry of the index
 with their smallest ids, which loses nothing: no more can be among the nearest.
+An id that asks with several vectors has the nearest of all of them. An id that is
+there with several vectors counts once, by the best of them.
 Empty tables give no rows, and columns other than the two named are ignored.
 """
 
@@ -23,10 +27,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelflow.operators.ordered import surrogate_key
 from parcelflow.sources import keep
 
 # Rows of one side that meet in one group; larger cells are cut into blocks of about this size.
 BLOCK_ROWS = 4096
+# Centroids of a half at most, and vectors of the sample that ask to find the share.
+MOST_CENTROIDS, ASKING = 256, 300
 _RESULT = "query_id long, rank int, vec_id long, score double"
 
 
@@ -48,19 +55,19 @@ def nearest(
     vec_id: str = "vec_id",
     vector: str = "embedding",
     k: int = 20,
-    centroids: int = 64,
-    share: float = 0.5,
+    centroids: int | None = None,
+    share: float | None = None,
     sample_rows: int = 20_000,
+    recall: float = 0.95,
 ) -> DataFrame:
     """The ``k`` entries found for each query, nearest first, ties to the smaller id.
 
     Both frames have the columns ``vec_id`` and ``vector``; a query never finds
     its own id. The codebook is fitted on at most ``sample_rows`` vectors,
     every vector is indexed, and each query scans the cells that hold at least
-    ``share`` of the distinct vectors.
+    ``share`` of the distinct vectors; by default as many as ``recall`` takes on the
+    sample. The number of centroids grows with the table, up to ``MOST_CENTROIDS``.
     """
-    if not 1 <= centroids <= 64:
-        raise ValueError("a set of second centroids is kept in the 64 bits of a number")
     spark = entries.sparkSession
     classes = keep(_classes(_usable(entries, vec_id, vector), k + 1), "vectors")
     asked = keep(_usable(queries, vec_id, vector).distinct(), "queries")
@@ -69,20 +76,27 @@ def nearest(
         return spark.createDataFrame([], _RESULT)
     lengths = sample["vec"].map(len)
     dims = int(lengths.mode().iloc[0])
-    codebook = fit(np.stack(sample["vec"][lengths == dims].to_list()), centroids)
     classes, asked = (df.where(F.size("vec") == dims) for df in (classes, asked))
+    if centroids is None:
+        # About a dozen entries a cell.
+        centroids = int(np.clip(round((classes.count() / 12) ** 0.5), 8, MOST_CENTROIDS))
+    vectors = np.stack(sample["vec"][lengths == dims].to_list())
+    codebook = fit(vectors, centroids)
+    if share is None:
+        share = needed_share(codebook, vectors, k, recall)
 
     index = keep(classes.mapInPandas(_cells(codebook), f"{_columns(classes)}, c1 int, c2 int"), "index")
-    # At most 64 x 64 rows.
+    # At most the square of ``MOST_CENTROIDS`` rows.
     sizes = {(r.c1, r.c2): r["count"] for r in index.groupBy("c1", "c2").count().collect()}
     enough = max(k + 1, share * sum(sizes.values()))
 
-    distinct = asked.groupBy("vec").agg(F.min("id").alias("probe"))
+    # Each vector that asks has a number, whichever ids it belongs to.
+    distinct = surrogate_key(asked.select("vec").distinct(), "probe", ["vec"])
     # Few bytes, but much work a row: a stated number of tasks is not merged by their bytes.
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     probes = keep(
         distinct.select("probe", "vec").repartition(tasks, "probe").mapInPandas(
-            _walk(codebook, sizes, enough), "probe long, vec array<double>, c1 int, cells long"
+            _walk(codebook, sizes, enough), "probe long, vec array<double>, c1 int, cells array<int>"
         ),
         "probes",
     )
@@ -101,14 +115,18 @@ def nearest(
         .cogroup(right.groupBy(*group))
         .applyInPandas(_score(k), "probe long, score double, ids array<long>")
     )
-    best = Window.partitionBy("probe").orderBy(F.desc("score"), F.col("ids")[0])
-    found = found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k + 1)
+    # An id that several vectors have counts once, by the best of them.
+    scored = found.select("probe", "score", F.explode("ids").alias("vec_id"))
+    once = scored.groupBy("probe", "vec_id").agg(F.max("score").alias("score"))
+    best = Window.partitionBy("probe").orderBy(F.desc("score"), "vec_id")
+    first = once.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k + 1)
     members = asked.join(distinct, "vec").select(F.col("id").alias("query_id"), "probe")
     nearest_first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
-        members.join(found, "probe")
-        .select("query_id", "score", F.explode("ids").alias("vec_id"))
+        members.join(first, "probe")
         .where(F.col("vec_id") != F.col("query_id"))
+        .groupBy("query_id", "vec_id")
+        .agg(F.max("score").alias("score"))
         .withColumn("rank", F.row_number().over(nearest_first))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
@@ -121,6 +139,29 @@ def fit(vectors: np.ndarray, centroids: int, rounds: int = 12) -> Codebook:
     return Codebook(*(_lloyd(part, centroids, rounds) for part in (vectors[:, :half], vectors[:, half:])))
 
 
+def needed_share(codebook: Codebook, sample: np.ndarray, k: int, recall: float) -> float:
+    """Share of the entries that walks through the sample scan to meet ``recall`` of all nearest.
+
+    Some vectors of the sample ask the others; how far a walk goes to the cell of one of their
+    nearest is the part of the sample in cells that are no further down.
+    """
+    if len(sample) < 2:
+        return 1.0
+    asking = sample[:: max(1, len(sample) // ASKING)]
+    own1 = _assign(sample[:, : codebook.half], codebook.first)
+    own2 = _assign(sample[:, codebook.half :], codebook.second)
+    near1 = asking[:, : codebook.half] @ codebook.first.T
+    near2 = asking[:, codebook.half :] @ codebook.second.T
+    shares = []
+    for row, query in enumerate(asking):
+        exact = sample @ query
+        # The vector itself is among its own nearest, or not; both are asked for.
+        nearest_ones = np.argpartition(-exact, min(k, len(sample) - 1))[: k + 1]
+        cells = near1[row][own1] + near2[row][own2]
+        shares.append((cells[None, :] >= cells[nearest_ones][:, None]).mean(axis=1))
+    return float(np.quantile(np.concatenate(shares), recall))
+
+
 def _lloyd(points: np.ndarray, centroids: int, rounds: int) -> np.ndarray:
     starts = np.unique(points, axis=0)
     rng = np.random.default_rng(7)
@@ -206,8 +247,8 @@ def _walk(codebook: Codebook, sizes: dict[tuple[int, int], int], enough: float):
 
 def cells_in_order(
     codebook: Codebook, sizes: dict[tuple[int, int], int], enough: float, query: np.ndarray
-) -> dict[int, int]:
-    """Bits of the second centroids visited with each first one, best sums first.
+) -> dict[int, list[int]]:
+    """The second centroids visited with each first one, best sums first.
 
     The heap holds, for each first centroid reached, its next pair: a pair is
     pushed when the one before it in its row or the head of the row before is
@@ -217,19 +258,19 @@ def cells_in_order(
     near2 = query[codebook.half :] @ codebook.second.T
     rows, columns = np.argsort(-near1, kind="stable"), np.argsort(-near2, kind="stable")
     heap = [(-(near1[rows[0]] + near2[columns[0]]), 0, 0)]
-    visited: dict[int, int] = {}
+    visited: dict[int, list[int]] = {}
     reached = 0
     while heap and reached < enough:
         _, i, j = heapq.heappop(heap)
         c1, c2 = int(rows[i]), int(columns[j])
         if held := sizes.get((c1, c2)):
             reached += held
-            visited[c1] = visited.get(c1, 0) | 1 << c2
+            visited.setdefault(c1, []).append(c2)
         if j + 1 < len(columns):
             heapq.heappush(heap, (-(near1[rows[i]] + near2[columns[j + 1]]), i, j + 1))
         if j == 0 and i + 1 < len(rows):
             heapq.heappush(heap, (-(near1[rows[i + 1]] + near2[columns[0]]), i + 1, 0))
-    return {c1: cells - (1 << 64) if cells >> 63 else cells for c1, cells in visited.items()}
+    return visited
 
 
 def _score(k: int):
@@ -245,13 +286,13 @@ def _score(k: int):
             for start in range(0, len(probes), 256):
                 part = probes.iloc[start : start + 256]
                 asked = np.stack(part["vec"].to_list())
-                cells = part["cells"].to_numpy().astype(np.int64).view(np.uint64)
+                visited = [set(cells) for cells in part["cells"]]
                 scores = np.full((len(part), len(points)), -np.inf)
                 for c, low, high in bounds:
-                    open_to = np.flatnonzero(cells >> np.uint64(c) & np.uint64(1))
+                    open_to = np.flatnonzero([int(c) in cells for cells in visited])
                     scores[open_to, low:high] = asked[open_to] @ points[low:high].T
                 for probe, query, row in zip(part["probe"], asked, scores, strict=True):
-                    for place, value in _best(row, query, points, first_id, k + 1):
+                    for place, value in _best(row, query, points, first_id, ids, k + 1):
                         out.append((probe, value, ids[place]))
         return pd.DataFrame(out, columns=["probe", "score", "ids"])
 
@@ -259,17 +300,22 @@ def _score(k: int):
 
 
 def _best(
-    row: np.ndarray, query: np.ndarray, points: np.ndarray, first_id: np.ndarray, k: int
+    row: np.ndarray, query: np.ndarray, points: np.ndarray, first_id: np.ndarray, ids: list[np.ndarray], k: int
 ) -> list[tuple[int, float]]:
-    """First ``k`` places by score and smallest id.
+    """First places by score and smallest id, until they have ``k`` ids among them.
 
     Products of a block may differ in their last bit from those of another
     block, so all that could be among the first are summed again one by one.
     """
-    seen = np.flatnonzero(row > -np.inf)
-    if len(seen) > k:
-        floor = -np.partition(-row[seen], k - 1)[k - 1]
-        seen = seen[row[seen] >= floor - 1e-9 * (1 + abs(floor))]
-    exact = (points[seen] * query).sum(axis=1)
-    order = np.lexsort((first_id[seen], -exact))[:k]
-    return [(int(seen[i]), float(exact[i])) for i in order]
+    scanned, most = np.flatnonzero(row > -np.inf), k
+    while True:
+        seen = scanned
+        if len(seen) > most:
+            floor = -np.partition(-row[seen], most - 1)[most - 1]
+            seen = seen[row[seen] >= floor - 1e-9 * (1 + abs(floor))]
+        exact = (points[seen] * query).sum(axis=1)
+        order = np.lexsort((first_id[seen], -exact))[:most]
+        chosen = [(int(seen[i]), float(exact[i])) for i in order]
+        if len(scanned) <= most or len({i for place, _ in chosen for i in ids[place]}) >= k:
+            return chosen
+        most *= 4

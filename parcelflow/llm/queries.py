@@ -127,7 +127,8 @@ def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _remainder(parts: int) -> Column:
-    return F.crc32(F.col("doc_id").cast("string")) % parts
+    """Remainder of the id's crc32; a row without an id has that of an empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % parts
 
 
 QUERIES: dict[str, Query] = {

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -23,6 +23,14 @@ ALNUM = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 CHUNK_BYTES = 4 << 20
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or one like it that no column of ``df`` has."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def lowered(text: Column) -> Column:
     """The text with A-Z in lower case and nothing else changed."""
     return F.translate(text, UPPER, LOWER)

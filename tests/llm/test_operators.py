@@ -56,6 +56,25 @@ def test_nearest_is_exact_when_all_cells_are_scanned(spark):
         assert got[query] == order[:15]
 
 
+def test_an_id_with_two_query_vectors_has_the_nearest_of_both(spark):
+    table = vectors(spark, [(1, [1.0, 0.1]), (2, [0.1, 1.0]), (3, [0.5, 0.5]), (4, [-1.0, -1.0])])
+    asking = vectors(spark, [(0, [1.0, 0.0]), (0, [0.0, 1.0])])
+    found = multi_index.nearest(table.union(asking), asking, k=4, centroids=2, share=1.0)
+    got = sorted(rows_of(found, "query_id", "rank", "vec_id"))
+    assert got == [(0, 1, 1), (0, 2, 2), (0, 3, 3), (0, 4, 4)]
+
+
+def test_share_is_small_where_vectors_are_clustered():
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 16)) * 5
+    clustered = (centres[rng.integers(0, 40, 4000)] + rng.normal(size=(4000, 16)) * 0.1).astype(float)
+    scattered = rng.normal(size=(4000, 16))
+    shares = [
+        multi_index.needed_share(multi_index.fit(v, 16), v, 20, 0.95) for v in (clustered, scattered)
+    ]
+    assert shares[0] < 0.15 < shares[1] <= 1.0
+
+
 def test_nearest_leaves_out_unusable_vectors_and_reports_few(spark):
     nan, inf = float("nan"), float("inf")
     table = vectors(
@@ -169,12 +188,34 @@ def test_an_id_with_two_texts_has_the_links_of_both(make_docs):
     assert got == {(1, 1), (5, 1), (9, 1), (7, 7)}
 
 
-def test_first_of_each_keeps_one_and_all_columns(make_docs):
+def test_first_of_each_keeps_one_and_all_columns(spark, make_docs):
     text = " ".join(f"w{i}" for i in range(60))
-    docs = make_docs([(9, text), (3, text + " more"), (7, "else"), (None, text)])
+    rows = [(9, text), (3, text + " more"), (7, "else"), (None, text), (8, ""), (8, ""), (None, None)]
+    docs = make_docs([*rows, (3, text + " more"), (7, "else")]).withColumns({"__row": F.lit(1), "__gone": F.lit(2)})
     kept = jaccard_join.first_of_each(docs)
     assert kept.columns == docs.columns
-    assert {r.doc_id for r in kept.collect()} == {3, 7, None}
+    assert Counter(rows_of(kept, "doc_id", "text")) == Counter(
+        [(3, text + " more"), (7, "else"), (8, ""), (8, ""), (None, None)]
+    )
+    without_ids = jaccard_join.first_of_each(make_docs([(None, text), (None, text), (None, text + " more")]))
+    assert without_ids.count() == 1
+    named = spark.createDataFrame([("b", text), ("a", text), ("c", "d")], "doc_id string, text string")
+    assert {r.doc_id for r in jaccard_join.first_of_each(named).collect()} == {"a", "c"}
+
+
+def test_tallies_bound_the_difference_from_below():
+    rng = np.random.default_rng(6)
+    for size in (1, 30, 500, 3000):
+        one = np.unique(rng.integers(0, 1 << 64, size, np.uint64, endpoint=False))
+        other = np.union1d(one[: size - size // 5], rng.integers(0, 1 << 64, size // 3, np.uint64))
+        differ = len(np.setxor1d(one, other))
+        tallies = [jaccard_join._tallies(s) for s in (one, other)]
+        assert jaccard_join.least_difference(*tallies) <= differ
+        assert jaccard_join.least_difference(tallies[0], tallies[0]) == 0
+    crowded = np.arange(600, dtype=np.uint64)  # more than 255 in one range
+    assert jaccard_join.least_difference(*[jaccard_join._tallies(s) for s in (crowded, crowded[:500])]) <= 100
+    unrelated = [jaccard_join._tallies(rng.integers(0, 1 << 64, n, np.uint64)) for n in (500, 520)]
+    assert jaccard_join.least_difference(*unrelated) > jaccard_join.Similarity().most_difference(500, 520)
 
 
 def test_components_of_a_path_and_an_empty_graph(spark):
@@ -337,12 +378,40 @@ def test_shards_are_near_equal_and_keep_groups(make_docs):
 
 
 def test_pack_gives_the_largest_to_the_least_loaded():
-    assert shards.pack([5, 9, 1, 4, 5], 2) == [1, 0, 0, 0, 1] or shards.pack([5, 9, 1, 4, 5], 2)[1] == 0
-    loads = Counter()
-    sizes = [random.Random(i).randrange(1, 100) for i in range(500)]
-    for size, shard in zip(sizes, shards.pack(sizes, 7), strict=True):
+    assert shards.pack([5, 9, 1, 4, 5], 2) == [1, 0, 1, 0, 1]
+    assert shards.pack([3, 3, 3], 2) == [0, 1, 0]
+
+
+def loads_of(places, shard_count):
+    return [sum(size * given[s] for size, given in places.items()) for s in range(shard_count)]
+
+
+@pytest.mark.parametrize("one_by_one", [0, 3, 64])
+def test_schedule_of_sizes_equals_the_heap_over_all_groups(monkeypatch, one_by_one):
+    monkeypatch.setattr(shards, "ONE_BY_ONE", one_by_one)
+    for seed in range(40):
+        rng = random.Random(seed)
+        shard_count = rng.choice([1, 2, 7, 16])
+        sizes = [rng.choice([1, 2, 3, 5, 8, 40, 41, 1000]) for _ in range(rng.randrange(400))]
+        loads = [0] * shard_count
+        for size, shard in zip(sizes, shards.pack(sizes, shard_count), strict=True):
+            loads[shard] += size
+        places = shards.schedule(list(Counter(sizes).items()), shard_count)
+        assert loads_of(places, shard_count) == loads
+        assert {size: sum(given) for size, given in places.items()} == Counter(sizes)
+
+
+def test_shards_of_rows_have_the_loads_of_the_heap(make_docs):
+    rng = random.Random(9)
+    rows = [(i, "y" * rng.randrange(1, 60)) for i in range(900)] + [(i, "hot" * 5) for i in range(1000, 1400)]
+    got = shards.assign_shards(make_docs(rows), 5).collect()
+    groups, loads = Counter(), Counter()
+    for _, text in rows:
+        groups[text] += len(text) + 1
+    sizes = list(groups.values())
+    for size, shard in zip(sizes, shards.pack(sizes, 5), strict=True):
         loads[shard] += size
-    assert max(loads.values()) - min(loads.values()) <= 2
+    assert loads == Counter({s: sum(r["size"] for r in got if r.shard == s) for s in {r.shard for r in got}})
 
 
 # Mixing.

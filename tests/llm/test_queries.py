@@ -1,5 +1,8 @@
 """Queries of this package against their SQL, and the pipeline's stages."""
 
+import random
+from pathlib import Path
+
 import __spark_entry__ as registry
 import corpus_pipeline
 import duckdb
@@ -7,6 +10,7 @@ import pytest
 from compare import differences
 
 from parcelflow.llm import queries
+from parcelflow.sources import shared_dir
 
 TABLES = ("documents", "benchmark")
 
@@ -41,6 +45,32 @@ def test_stages_keep_the_columns_and_their_decisions(spark, sf_dir, make_docs):
         assert stage(spark, make_docs([]), sf_dir).count() == 0
 
 
+def test_language_stage_rejects_what_is_like_no_learned_language(spark, make_docs):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = random.Random(8)
+    strange = [
+        "Быстрая коричневая лиса прыгает через ленивую собаку и бежит дальше в лес. " * 3,
+        "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。" * 3,
+        " ".join("".join(rng.choices("bcdfghjklmnpqrstvwxz", k=7)) for _ in range(60)),
+        "def compute(xs):\n    for x in xs:\n        if x % 2:\n            yield lambda y: y ** x\nimport numpy\n" * 5,
+        "12345 67890 !!",
+    ]
+    rows = make_docs([(10**6 + i, text) for i, text in enumerate(strange)])
+    both = docs.unionByName(rows.select(*docs.columns[:4]), allowMissingColumns=True)
+    kept = corpus_pipeline.known_language(spark, both, "")
+    assert kept.columns == docs.columns
+    ids = {r.doc_id for r in kept.select("doc_id").collect()}
+    assert not ids & set(range(10**6, 10**6 + len(strange)))
+    assert len(ids) >= 0.99 * docs.count()
+
+
+def test_pipeline_leaves_one_table(spark, sf_dir):
+    before = set(Path(shared_dir(spark)).iterdir())
+    result = corpus_pipeline.run(spark, sf_dir)
+    assert len(set(Path(shared_dir(spark)).iterdir()) - before) == 1
+    assert result.count() > 0
+
+
 def test_benchmark_stage_rejects_repeated_rows(spark, sf_dir, make_docs):
     passage = next(
         r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect() if len(r.text.split()) > 12
