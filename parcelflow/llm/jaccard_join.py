@@ -45,7 +45,9 @@ from parcelflow.sources import Staged, discard, fresh_dir, keep, stage, within_s
 
 # Sets of a task whose copies are not signed again.
 SEEN_SETS = 200_000
-# Counts of hashed n-grams that decide which are rare.
+# Bits of a signature: two that are equal by chance only bring a candidate more, and fewer bits are shuffled.
+SIGNATURE_BITS = 48
+# Counts by the upper bits of elements decide which are frequent.
 BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
 # Ranges of hashes whose elements are counted for each set, as a power of two.
@@ -135,7 +137,7 @@ def _in_band(grams: np.ndarray, band: int, differing: int) -> np.ndarray:
             empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), numbers)
             numbers, sums = np.append(numbers, empty), np.append(sums, np.zeros(len(empty), np.uint64))
         place = _mixed(numbers * _ODD + np.uint64(band))
-        return _mixed(_mixed(sums + place) * _ODD + place)
+        return _mixed(_mixed(sums + place) * _ODD + place) >> np.uint64(64 - SIGNATURE_BITS)
 
 
 def linked_documents(
@@ -307,9 +309,10 @@ def _remaining_pairs(
     sets is what only one of their differences to the leader holds, so linked
     sets of other components have at least ``need`` differences in common, and
     one of these is early enough in both when differences are put in any one
-    order. Counts of hashed n-grams decide on that order, rare ones first, so
-    near copies with changes of their own and sets with the same frequent
-    passage are told apart without being paired.
+    order. Elements that the leader does not have come first: those of unrelated
+    sets that share a passage with it are their own, whereas what they lack of the
+    leader is the same for all. Of the former, and of the latter, those come first that
+    few open documents have, so that other frequent passages come late as well.
 
     A cell is a hash of a leader and one difference to it; two that collide
     only add a pair that is then found not to be linked.
@@ -327,17 +330,16 @@ def _remaining_pairs(
     members = keep(others.select("leader", "doc_id", "label", "size").distinct(), "members", base=passing)
     known = _needed_texts(texts, members.select(F.explode(F.array("leader", "doc_id"))), passing)
     reduced = keep(known.mapInArrow(_reduce(similarity), "known_id long, values binary"), "reduced", base=passing)
+    counts = np.zeros(BUCKETS, np.int64)
+    tallied = reduced.mapInArrow(_count_values, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    for row in keep(tallied, "tallied", base=passing).collect():  # at most BUCKETS rows
+        counts[row.bucket] = row.n
     discard(spark, f"{passing}/texts")
     own = reduced.select(F.col("known_id").alias("doc_id"), "values")
     central = reduced.join(
         members.select(F.col("leader").alias("known_id")).distinct(), "known_id", "left_semi"
     ).select(F.col("known_id").alias("leader"), F.col("values").alias("leader_values"))
-    # Read twice, which takes less than to write all differences.
     met_leader = members.join(own, "doc_id").join(central, "leader")
-    counts = np.zeros(BUCKETS, np.int64)
-    tallied = met_leader.mapInArrow(_count_differences, "bucket int, n long").groupBy("bucket")
-    for row in keep(tallied.agg(F.sum("n").alias("n")), "tallied", base=passing).collect():  # at most BUCKETS rows
-        counts[row.bucket] = row.n
     placed = keep(
         met_leader.mapInArrow(
             _in_order(similarity, counts),
@@ -513,41 +515,39 @@ def _reduce(similarity: Similarity):
     return reduce
 
 
-def _differences(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-    """What each reduced set and its leader's do not have in common."""
-    columns = (batch.column(c).to_pylist() for c in ("values", "leader_values"))
-    for own, leader in zip(*columns, strict=True):
-        yield np.setxor1d(np.frombuffer(own, np.uint32), np.frombuffer(leader, np.uint32), assume_unique=True)
+def _bucket(values: np.ndarray) -> np.ndarray:
+    return (values >> np.uint32(32 - BUCKET_BITS)).astype(np.int64)
 
 
-def _count_differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many differences of a task fall in each bucket."""
+def _count_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many sets of a task have elements of each bucket."""
     counts = np.zeros(BUCKETS, np.int64)
     for batch in batches:
-        for own in _differences(batch):
-            np.add.at(counts, _bucket(own), 1)
+        for values in batch.column("values").to_pylist():
+            np.add.at(counts, _bucket(np.frombuffer(values, np.uint32)), 1)
     seen = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays(
         [pa.array(seen.astype(np.int32)), pa.array(counts[seen])], names=["bucket", "n"]
     )
 
 
-def _bucket(values: np.ndarray) -> np.ndarray:
-    return (values >> np.uint32(32 - BUCKET_BITS)).astype(np.int64)
-
-
 def _in_order(similarity: Similarity, counts: np.ndarray):
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The differences to the leader that can be early enough for a partner, rare ones first."""
+        """The differences to the leader that can be early enough for a partner, own and rare elements first."""
         # Each row becomes many, so few are taken at once.
         for batch in (whole.slice(start, 500) for whole in batches for start in range(0, whole.num_rows, 500)):
             chosen, places, taken, totals = [], [], [], []
-            for own, size in zip(_differences(batch), batch.column("size").to_pylist(), strict=True):
-                first = np.lexsort((own, counts[_bucket(own)]))[: similarity.differing(size) + 1]
-                chosen.append(own[first].astype(np.int64))
+            sets = (batch.column(c).to_pylist() for c in ("size", "values", "leader_values"))
+            for size, *values in zip(*sets, strict=True):
+                own, leader = (np.frombuffer(v, np.uint32) for v in values)
+                extra, lacked = (np.setdiff1d(a, b, assume_unique=True) for a, b in ((own, leader), (leader, own)))
+                first = np.concatenate(
+                    [part[np.lexsort((part, counts[_bucket(part)]))] for part in (extra, lacked)]
+                )[: similarity.differing(size) + 1]
+                chosen.append(first.astype(np.int64))
                 places.append(np.arange(1, len(first) + 1, dtype=np.int32))
                 taken.append(len(first))
-                totals.append(len(own))
+                totals.append(len(extra) + len(lacked))
             rows = pa.array(np.repeat(np.arange(len(taken)), taken))
             yield pa.RecordBatch.from_arrays(
                 [
