@@ -26,6 +26,7 @@ from parcelflow.llm import (
 )
 from tests_llm_rows import ODD_ROWS
 
+A_TO_Z = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 VECTORS = "vec_id long, embedding array<float>, rank int, score string"
 
 
@@ -277,6 +278,77 @@ def test_licences_of_whole_texts(make_docs):
     assert (2, "apache-2.0", 30000, 30007) in spans
 
 
+def plain_base(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(A_TO_Z))
+    places = [
+        (start, label)
+        for phrase, label in licenses.PHRASES.items()
+        for start in range(len(words))
+        if words[start : start + len(phrase.split())] == phrase.split()
+    ]
+    starts = [start for start, _ in places]
+    labels = ",".join(sorted({label for _, label in places}))
+    return len(words), len(places), min(starts, default=None), max(starts, default=None), labels
+
+
+def test_base_columns_equal_plain_ones(spark, make_docs):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    odd = [
+        (-1, "all rights reserved all rights reserved"), (-2, "cc, BY general public license"), (-3, None),
+        (-4, "all rights-reserved \u212a cc by"), (-5, ""), (-6, "x cc by"), (-6, "x cc by"),
+    ]
+    both = docs.unionByName(make_docs(odd).select("doc_id", "text"))
+    names = ("n_words", "n_base", "first_word", "last_word", "base_labels")
+    want = sorted(((r.doc_id, *plain_base(r.text)) for r in both.collect()), key=str)
+    assert sorted(rows_of(licenses.scan(both), "doc_id", *names), key=str) == want
+
+
+def test_each_licence_of_the_catalogue_gets_its_own_label():
+    scanner, known = licenses.Scanner(), licenses.catalogue()
+    assert len(known) >= 30
+    for label, texts in known.items():
+        for text in texts:
+            # In capitals, behind and before other words, some of which licences have.
+            words = scanner.numbered(f"See the {text.upper()}\n of zebras".encode())
+            assert {span.label for span in scanner.spans(words)} == {label}, (label, text)
+        both = scanner.spans(scanner.numbered(f"{texts[0]} zebra {texts[-1]}".encode()))
+        assert [s.label for s in both] == [label] * 2 and both[0].end < both[1].start
+
+
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        ("MIT License", {"mit"}),
+        ("The BSD 3-Clause License", {"bsd-3-clause"}),
+        ("SPDX-License-Identifier: BSD-3-Clause", {"bsd-3-clause"}),
+        ("under the GNU Lesser General Public License, version 2.1", {"lgpl-2.1"}),
+        ("// SPDX-License-Identifier: MIT-0", {"mit-0"}),
+        ("Creative Commons Attribution-ShareAlike 4.0 International License", {"cc-by-sa-4.0"}),
+        ("Licensed under CC BY-NC 4.0.", {"cc-by-nc-4.0"}),
+        ("Licensed under CC BY 4.0 and the ISC License", {"cc-by-4.0", "isc"}),
+        ("released under the old oak, licensed under the stars", set()),
+        ("the software and the license of the author", set()),
+        ("", set()),
+    ],
+)
+def test_names_tags_and_clean_texts(text, labels):
+    scanner = licenses.Scanner()
+    assert {s.label for s in scanner.spans(scanner.numbered(text.encode()))} == labels
+
+
+def test_changed_licences_and_long_texts():
+    scanner, rng = licenses.Scanner(), random.Random(9)
+    for label, texts in licenses.catalogue().items():
+        words = texts[0].split()
+        if len(words) > 60:
+            changed = [w if rng.random() > 0.04 else "zebra" for w in words]
+            found = scanner.spans(scanner.numbered(" ".join(changed).encode()))
+            assert label in {s.label for s in found}, label
+    long = "permission is hereby granted mit license of the software " * 20000
+    assert {s.label for s in scanner.spans(scanner.numbered(long.encode()))} == {"mit"}
+    assert licenses.Scanner({"own": ("one two three",)}).spans(np.array([], np.int32)) == []
+
+
 # Pseudonyms.
 
 
