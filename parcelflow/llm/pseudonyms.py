@@ -2,7 +2,7 @@
 
 Numbers and dates that pass their validation are permuted with a key within
 their own format: card numbers stay valid card numbers, phone numbers phone
-numbers, dates dates. The permutation is a Feistel network over two parts of
+numbers, account numbers account numbers, dates dates. The permutation is a Feistel network over two parts of
 the value with moduli of their own, so it can be undone with the key, no two
 values share a pseudonym, and equal values stay equal in all documents. The
 local part of a mail address is replaced by letters made from the whole address
@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelflow.llm.words import free_name
+
 ROUNDS = 8
 # The formats. Each stands alone, without letters or digits beside it.
 EMAIL = r"[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"
@@ -39,12 +41,33 @@ CARD = r"(?:{}|{}|[0-9]{{13,19}}+)(?![A-Za-z0-9])".format(
         for gap in " -"
     )
 )
-SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
+SSN = r"(?:[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])|(?<![0-9][ -])[0-9]{3} [0-9]{2} [0-9]{4}(?![0-9A-Za-z-])(?! [0-9]))"
 ADDRESS = r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z])(?!\.[0-9])"
 DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}(?:(?=[Tt][0-9]{2})|(?![0-9A-Za-z-]))"
-DAY_FIRST = r"[0-9]{2}[./][0-9]{2}[./][0-9]{4}(?![0-9A-Za-z])"
+DAY_FIRST = r"[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4}(?![0-9A-Za-z])"
+# Lengths of international account numbers by country.
+ACCOUNT_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _account_pattern() -> str:
+    """Account numbers whole or in groups of four."""
+    kinds = []
+    for length, countries in ACCOUNT_LENGTHS.items():
+        groups, rest = divmod(length - 4, 4)
+        tail = f" [A-Z0-9]{{{rest}}}" if rest else ""
+        body = f"[A-Z0-9]{{{length - 4}}}|(?: [A-Z0-9]{{4}}){{{groups}}}{tail}"
+        kinds.append(f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:{body})")
+    return rf"(?=[A-Z]{{2}}[0-9]{{2}}[A-Z0-9 ])(?:{'|'.join(kinds)})(?![A-Za-z0-9])"
+
+
+ACCOUNT = _account_pattern()
 PRIVATE = (
-    rf"(?<![A-Za-z0-9._%+-])(?:{EMAIL}|{DATE}|{DAY_FIRST}|{SSN}|{ADDRESS}|{CARD}|{NATIONAL})"
+    rf"(?<![A-Za-z0-9._%+-])(?:{EMAIL}|{ACCOUNT}|{DATE}|{DAY_FIRST}|{SSN}|{ADDRESS}|{CARD}|{NATIONAL})"
     rf"|(?<![A-Za-z0-9+])(?:{AMERICAN}|{ABROAD})"
 )
 # 1900-01-01 and the days up to 2099-12-31, which are 319 times 229.
@@ -153,18 +176,43 @@ def _phone(value: Column, key: str) -> Column:
     return _respelled(value, whole)
 
 
+def _account(value: Column, key: str) -> Column:
+    """Country and letters stay, all digits behind the check digits are permuted and these made anew."""
+    body = F.replace(F.substring(value, F.lit(5), F.length(value)), F.lit(" "), F.lit(""))
+    country, digits = F.substring(value, 1, 2), _digits_of(body)
+    left = (F.length(digits) / 2).cast("int")
+    right = F.length(digits) - left
+    highs, lows = (F.pow(F.lit(10), n).cast("long") for n in (left, right))
+    high, low = F.substring(digits, F.lit(1), left).cast("long"), F.substring(digits, left + 1, right).cast("long")
+    new = permute(high, low, highs, lows, key, "account")
+    permuted = F.concat(_padded(new["high"], left), _padded(new["low"], right))
+    check = 98 - account_remainder(F.concat(_respelled(body, permuted), country, F.lit("00")))
+    valid = account_remainder(F.concat(body, country, F.substring(value, 3, 2))) == 1
+    spelled = F.concat(country, _respelled(F.substring(value, F.lit(3), F.length(value)), F.concat(_padded(check, 2), permuted)))
+    return F.when(valid & (left > 0), spelled)
+
+
+def account_remainder(characters: Column) -> Column:
+    """Remainder by 97 of digits and letters, where A counts 10 and Z 35."""
+    codes = F.transform(F.split(characters, ""), F.ascii)
+
+    def appended(total: Column, code: Column) -> Column:
+        return F.when(code >= 65, total * 100 + code - 55).otherwise(total * 10 + code - 48) % 97
+
+    return F.aggregate(F.filter(codes, lambda c: c > 0), F.lit(0), appended)
+
+
 def _ssn(value: Column, key: str) -> Column:
-    """Areas 001 to 899 without 666, groups and serials without zero."""
+    """Areas 001 to 899 without 666, groups and serials without zero; the separator stays."""
     area, group, serial = _digits(value, 1, 3), _digits(value, 5, 2), _digits(value, 8, 4)
     place = F.when(area > 666, area - 2).otherwise(area - 1)
     new = permute(place * 99 + group - 1, serial - 1, F.lit(898 * 99), F.lit(9999), key, "ssn")
     turned = (new["high"] / 99).cast("long")
     new_area = F.when(turned >= 665, turned + 2).otherwise(turned + 1)
     valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
-    return F.when(
-        valid,
-        F.concat_ws("-", _padded(new_area, 3), _padded(new["high"] % 99 + 1, 2), _padded(new["low"] + 1, 4)),
-    )
+    parts = (_padded(new_area, 3), _padded(new["high"] % 99 + 1, 2), _padded(new["low"] + 1, 4))
+    gap = F.substring(value, 4, 1)
+    return F.when(valid, F.concat(parts[0], gap, parts[1], gap, parts[2]))
 
 
 def _address(value: Column, key: str) -> Column:
@@ -189,12 +237,15 @@ def _date(value: Column, key: str) -> Column:
 
 
 def _day_first(value: Column, key: str) -> Column:
-    """Both separators stay; the same day has the same pseudonym in every format that is not month-first.
+    """Both separators stay, and so does the way without leading zeros; the same day has the same pseudonym in every format that is not month-first.
 
     What is no date with the day first is taken with the month first. Its day is
     above 12 and so is that of its pseudonym, which can only be read in one way.
     """
-    one, two, year = F.substring(value, 1, 2), F.substring(value, 4, 2), F.substring(value, 7, 4)
+    parts = F.split(value, "[./]")
+    one, two, year = F.lpad(parts[0], 2, "0"), F.lpad(parts[1], 2, "0"), parts[2]
+    gaps = F.regexp_replace(value, "[0-9]", "")
+    short = (F.length(parts[0]) == 1) | (F.length(parts[1]) == 1)
     moved = _day(F.try_to_date(F.concat_ws("-", year, two, one), "yyyy-MM-dd"), key)
     start = _day(F.try_to_date(F.concat_ws("-", year, one, two), "yyyy-MM-dd"), key)
     turned = F.reduce(
@@ -204,12 +255,14 @@ def _day_first(value: Column, key: str) -> Column:
     )
 
     def spelled(day: Column, first: str, second: str) -> Column:
+        def number(form: str) -> Column:
+            return F.when(short, F.date_format(day, form)).otherwise(F.date_format(day, form * 2))
+
         return F.concat(
-            F.date_format(day, first), F.substring(value, 3, 1),
-            F.date_format(day, second), F.substring(value, 6, 1), F.date_format(day, "yyyy"),
-        )
+            number(first), F.substring(gaps, 1, 1), number(second), F.substring(gaps, 2, 1), F.date_format(day, "yyyy")
+        )
 
-    return F.when(moved.isNotNull(), spelled(moved, "dd", "MM")).otherwise(spelled(turned, "MM", "dd"))
+    return F.when(moved.isNotNull(), spelled(moved, "d", "M")).otherwise(spelled(turned, "M", "d"))
 
 
 def _email(value: Column, key: str) -> Column:
@@ -221,7 +274,7 @@ def _email(value: Column, key: str) -> Column:
 def pseudonym(value: Column, key: str) -> Column:
     """The pseudonym of a find, or null when it is not valid."""
     kinds = [
-        (EMAIL, _email), (PHONE, _phone), (CARD, _card), (SSN, _ssn),
+        (EMAIL, _email), (ACCOUNT, _account), (PHONE, _phone), (CARD, _card), (SSN, _ssn),
         (ADDRESS, _address), (DATE, _date), (DAY_FIRST, _day_first),
     ]
     result = F.lit(None).cast("string")
@@ -237,26 +290,13 @@ def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     replaced = F.transform(
         finds, lambda found: F.struct(found.alias("found"), pseudonym(found, key).alias("new"))
     )
-    return (
-        docs.withColumn("__finds", F.when(F.col("text").rlike(PRIVATE), replaced))
-        .withColumns(
-            {
-                "n_private": F.coalesce(
-                    F.size(F.filter("__finds", lambda f: f["new"].isNotNull())), F.lit(0)
-                ).cast("long"),
-                "text": F.when(F.col("__finds").isNull(), F.col("text")).otherwise(
-                    F.array_join(
-                        F.zip_with(
-                            between,
-                            "__finds",
-                            lambda piece, f: F.concat(
-                                F.coalesce(piece, F.lit("")), F.coalesce(f["new"], f["found"], F.lit(""))
-                            ),
-                        ),
-                        "",
-                    )
-                ),
-            }
-        )
-        .drop("__finds")
+    name = free_name(docs, "__finds")
+    pieces = F.zip_with(
+        between,
+        name,
+        lambda piece, f: F.concat(F.coalesce(piece, F.lit("")), F.coalesce(f["new"], f["found"], F.lit(""))),
     )
+    n_private = F.coalesce(F.size(F.filter(name, lambda f: f["new"].isNotNull())), F.lit(0)).cast("long")
+    text = F.when(F.col(name).isNull(), F.col("text")).otherwise(F.array_join(pieces, ""))
+    found = docs.withColumn(name, F.when(F.col("text").rlike(PRIVATE), replaced))
+    return found.withColumns({"n_private": n_private, "text": text}).drop(name)
