@@ -1,7 +1,7 @@
 """Benchmark passages in documents, by a positional inverted index.
 
 The index stores, for terms of the test items, the places at which each
-document has them, sorted by term. Of every window of consecutive item words
+document has them, in segments sorted by term. Of every window of consecutive item words
 the rarest terms over all documents are looked up, their lists are shifted by
 the terms' offsets in the window and intersected, and where they agree the
 whole phrase is compared. Lists that agree only within a slop are proximity
@@ -177,7 +177,8 @@ def _shifted(docs: DataFrame, windows: Windows, anchors: int) -> DataFrame:
             ]
     postings = texts.mapInArrow(_post(wanted), f"term string, {_doc_schema(docs)}, places array<int>")
     order = ("term", *_DOC)
-    index = keep(postings.repartitionByRange(*order).sortWithinPartitions(*order), "postings")
+    # Each task writes a segment of its own, sorted by term; the texts are read once and nothing is shuffled.
+    index = keep(postings.sortWithinPartitions(*order), "postings")
     lookups = spark.createDataFrame(
         rows, "window int, anchor int, n_anchors int, term string, offset int"
     )
