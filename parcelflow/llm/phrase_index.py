@@ -4,8 +4,9 @@ The index stores, for terms of the test items, the places at which each
 document has them, in segments sorted by term. Of every window of consecutive item words
 the rarest terms over all documents are looked up, their lists are shifted by
 the terms' offsets in the window and intersected, and where they agree the
-whole phrase is compared. Lists that agree only within a slop are proximity
-matches.
+whole phrase is compared. Lists that agree only within a slop are candidates of
+proximity matches: a window's words in their order, with at most as many other words
+between them as the slop. As none of its terms is shifted by more than that, no such match is lost.
 
 Items are taken in batches of a bounded size, so a batch's windows fit on the
 driver and in a broadcast however large the benchmark is.
@@ -21,7 +22,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -70,11 +70,19 @@ def phrase_matches(
     docs: DataFrame, items: DataFrame, length: int = 10, anchors: int = 2
 ) -> DataFrame:
     """``doc_id, content, item_id, start, end``: spans of words covered by windows of an item."""
+    return matches(docs, items, length, anchors).where("exact").drop("exact")
+
+
+def matches(
+    docs: DataFrame, items: DataFrame, length: int = 10, anchors: int = 2, slop: int = 0
+) -> DataFrame:
+    """Spans as of ``phrase_matches`` where ``exact``, and others that hold a window with up to ``slop`` more words."""
     parts = [
-        _verified(docs, windows, _agreeing(_shifted(docs, windows, min(anchors, MOST_ANCHORS))))
+        _verified(docs, windows, _agreeing(_shifted(docs, windows, min(anchors, MOST_ANCHORS)), slop), slop)
         for windows in _batches(items, length)
     ]
-    return _union(docs, parts, "doc_id {}, content long, item_id string, start int, end int")
+    schema = "doc_id {}, content long, item_id string, start int, end int, exact boolean"
+    return _union(docs, parts, schema)
 
 
 def proximity_matches(
@@ -102,18 +110,22 @@ def proximity_matches(
     return _union(docs, parts, "doc_id {}, content long, item_id string, start int")
 
 
-def contamination(docs: DataFrame, items: DataFrame, length: int = 10) -> DataFrame:
-    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` for every row."""
-    matches = phrase_matches(docs, items, length)
-    places = F.flatten(F.collect_list(F.sequence(F.col("start"), F.col("end") - 1)))
+def contamination(docs: DataFrame, items: DataFrame, length: int = 10, slop: int = 0) -> DataFrame:
+    """``doc_id, n_words, n_hit, n_items, n_near, items_sha256, contaminated`` for every row.
+
+    ``n_near`` counts the items with exact or proximity matches; only exact ones contaminate.
+    """
+    places = F.flatten(F.collect_list(F.when(F.col("exact"), F.sequence(F.col("start"), F.col("end") - 1))))
     found = stage(
-        matches.groupBy(*_DOC).agg(
+        matches(docs, items, length, slop=slop).groupBy(*_DOC).agg(
             F.size(F.array_distinct(places)).cast("long").alias("n_hit"),
-            F.sort_array(F.collect_set("item_id")).alias("item_ids"),
+            F.sort_array(F.collect_set(F.when(F.col("exact"), F.col("item_id")))).alias("item_ids"),
+            F.size(F.collect_set("item_id")).cast("long").alias("n_near"),
         ).select(
             F.col("doc_id").alias("id"),
             F.col("content").alias("hash"),
             "n_hit",
+            "n_near",
             F.size("item_ids").cast("long").alias("n_items"),
             F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         ),
@@ -129,6 +141,7 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = 10) -> DataFr
         "n_words",
         hits.alias("n_hit"),
         F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
+        F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
         (hits > 0).alias("contaminated"),
     )
@@ -190,28 +203,38 @@ def _shifted(docs: DataFrame, windows: Windows, anchors: int) -> DataFrame:
     )
 
 
-def _agreeing(shifted: DataFrame) -> DataFrame:
-    """Starts that all anchors point to, each anchor counted once however often the row is repeated."""
+def _agreeing(shifted: DataFrame, slop: int) -> DataFrame:
+    """Ranges of starts that all anchors point to, each anchor counted once however often the row is repeated.
+
+    Starts within ``slop`` of each other lie in one stretch of ``slop + 1`` starts or in two that
+    follow each other, so each start is put with its own stretch and with the one before.
+    """
+    stretch = F.col("start") if not slop else F.floor(F.col("start") / (slop + 1)).cast("int")
+    both = F.array(stretch) if not slop else F.array(stretch - 1, stretch)
     return (
-        shifted.groupBy(*_DOC, "window", "start")
+        shifted.withColumn("stretch", F.explode(both))
+        .groupBy(*_DOC, "window", "stretch")
         .agg(
-            F.bit_or(F.expr("shiftleft(1L, anchor)")).alias("seen"), F.first("n_anchors").alias("n_anchors")
+            F.bit_or(F.expr("shiftleft(1L, anchor)")).alias("seen"),
+            F.first("n_anchors").alias("n_anchors"),
+            F.min("start").alias("low"),
+            F.max("start").alias("high"),
         )
         .where("bit_count(seen) = n_anchors")
         .groupBy(*_DOC)
-        .agg(F.collect_list(F.struct("window", "start")).alias("candidates"))
+        .agg(F.collect_list(F.struct("window", "low", "high")).alias("candidates"))
     )
 
 
-def _verified(docs: DataFrame, windows: Windows, candidates: DataFrame) -> DataFrame:
+def _verified(docs: DataFrame, windows: Windows, candidates: DataFrame, slop: int) -> DataFrame:
     known = keep(candidates, "candidates").withColumnsRenamed({"doc_id": "id", "content": "hash"})
-    size = known.agg(F.sum(64 + 16 * F.size("candidates"))).first()[0] or 0
+    size = known.agg(F.sum(64 + 24 * F.size("candidates"))).first()[0] or 0
     side = F.broadcast(known) if size <= BROADCAST_BYTES else known.hint("shuffle_hash")
     texts = identified(docs).join(
         side, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("content") == F.col("hash"))
     )
-    schema = f"{_doc_schema(docs)}, item_id string, start int, end int"
-    return texts.select(*_DOC, "text", "candidates").mapInArrow(_compare(windows), schema).distinct()
+    schema = f"{_doc_schema(docs)}, item_id string, start int, end int, exact boolean"
+    return texts.select(*_DOC, "text", "candidates").mapInArrow(_compare(windows, slop), schema).distinct()
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,38 +288,65 @@ def _post(wanted: set[bytes]):
     return post
 
 
-def _compare(windows: Windows):
+def near_end(words: list[bytes], phrase: tuple[bytes, ...], start: int, slop: int) -> int | None:
+    """End of the shortest stretch from ``start`` that holds the phrase in order, if no longer than ``slop`` more."""
+    place, end = start, min(len(words), start + len(phrase) + slop)
+    for word in phrase:
+        while place < end and words[place] != word:
+            place += 1
+        if place >= end:
+            return None
+        place += 1
+    return place
+
+
+def _compare(windows: Windows, slop: int):
+    def found_in(words: list[bytes], candidates: list[dict]) -> Iterator[tuple[str, int, int, bool]]:
+        starts: dict[int, set[int]] = {}
+        for candidate in candidates:
+            first = windows.words[candidate["window"]][0]
+            least, most = max(0, candidate["low"] - slop), min(len(words) - 1, candidate["high"])
+            own = [s for s in range(least, most + 1) if words[s] == first]
+            starts.setdefault(candidate["window"], set()).update(own)
+        spans: dict[str, list[list[int]]] = {}
+        near: dict[str, tuple[int, int]] = {}
+        for start, window in sorted((s, w) for w, own in starts.items() for s in own):
+            phrase = windows.words[window]
+            end = near_end(words, phrase, start, slop)
+            if end is None:
+                continue
+            for item in windows.items[window]:
+                if end > start + len(phrase):
+                    near.setdefault(item, (start, end))
+                    continue
+                own = spans.setdefault(item, [])
+                if own and start <= own[-1][1]:
+                    own[-1][1] = max(own[-1][1], end)
+                else:
+                    own.append([start, end])
+        yield from ((item, *span, True) for item, own in spans.items() for span in own)
+        yield from ((item, *span, False) for item, span in near.items() if item not in spans)
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, owners, starts, ends = [], [], [], []
             texts, candidates = byte_texts(batch.column("text")), batch.column("candidates").to_pylist()
-            for row, (text, places) in enumerate(zip(texts, candidates, strict=True)):
-                words = ALNUM.findall(text.lower())
-                spans: dict[str, list[list[int]]] = {}
-                for place in sorted(places, key=lambda p: p["start"]):
-                    phrase, start = windows.words[place["window"]], place["start"]
-                    if tuple(words[start : start + len(phrase)]) == phrase:
-                        for item in windows.items[place["window"]]:
-                            own = spans.setdefault(item, [])
-                            if own and start <= own[-1][1]:
-                                own[-1][1] = max(own[-1][1], start + len(phrase))
-                            else:
-                                own.append([start, start + len(phrase)])
-                for item, own in spans.items():
-                    rows += [row] * len(own)
-                    owners += [item] * len(own)
-                    starts += [span[0] for span in own]
-                    ends += [span[1] for span in own]
-            taken = pa.array(rows, pa.int64())
+            rows = [
+                (row, *match)
+                for row, (text, own) in enumerate(zip(texts, candidates, strict=True))
+                for match in found_in(ALNUM.findall(text.lower()), own)
+            ]
+            row, item, start, end, exact = zip(*rows, strict=True) if rows else ((),) * 5
+            taken = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(taken),
                     batch.column("content").take(taken),
-                    pa.array(owners, pa.string()),
-                    pa.array(np.array(starts, np.int32)),
-                    pa.array(np.array(ends, np.int32)),
+                    pa.array(item, pa.string()),
+                    pa.array(start, pa.int32()),
+                    pa.array(end, pa.int32()),
+                    pa.array(exact, pa.bool_()),
                 ],
-                names=[*_DOC, "item_id", "start", "end"],
+                names=[*_DOC, "item_id", "start", "end", "exact"],
             )
 
     return compare

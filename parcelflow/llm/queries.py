@@ -74,9 +74,9 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ten-word passages of the benchmark in all documents."""
+    """Ten-word passages of the benchmark in all documents, and items found with three words more among them."""
     docs, items = (_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
-    return phrase_index.contamination(docs, items, length=10).drop("content")
+    return phrase_index.contamination(docs, items, length=10, slop=3).drop("content")
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,10 +247,25 @@ hits AS (
 owners AS (
     SELECT row, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
     FROM (SELECT DISTINCT row, CAST(item_id AS VARCHAR) AS item FROM matches) GROUP BY row
+),
+stretches AS (
+    SELECT row, length, words[start + 1] AS first,
+           array_to_string(words[start + 1 : start + length + 3], ' ') || ' ' AS stretch
+    FROM places
+),
+near AS (
+    SELECT row, count(DISTINCT item_id) AS n_near
+    FROM stretches s
+    JOIN (SELECT *, split_part(phrase, ' ', 1) AS first, split_part(phrase, ' ', -1) AS last,
+                 '^' || replace(phrase, ' ', ' (?:[^ ]+ )*') || ' ' AS pattern FROM windows) w
+      ON w.first = s.first AND w.length = s.length
+    WHERE contains(s.stretch, w.last || ' ') AND regexp_matches(s.stretch, w.pattern)
+    GROUP BY row
 )
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
-       coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+       coalesce(n_items, 0) AS n_items, coalesce(n_near, 0) AS n_near,
+       coalesce(items_sha256, sha256('')) AS items_sha256,
        n_hit IS NOT NULL AS contaminated
-FROM texts LEFT JOIN hits USING (row) LEFT JOIN owners USING (row)
+FROM texts LEFT JOIN hits USING (row) LEFT JOIN owners USING (row) LEFT JOIN near USING (row)
 """,
 }

@@ -698,3 +698,32 @@ def test_toxicity_of_held_out_documents(spark):
     clean = [got[r.doc_id].score for r in rest if r.toxic == 0]
     assert np.mean([(t > c) + 0.5 * (t == c) for t in toxic for c in clean]) > 0.7
     assert not any(s >= 0.3 for s in clean)
+
+
+def test_proximity_matches_equal_plain_ones(make_docs, spark):
+    rng = random.Random(12)
+    items = spark.createDataFrame(
+        [(i, " ".join(rng.choices("abcdef", k=rng.randrange(1, 12)))) for i in range(12)] + [(99, None)],
+        "item_id long, text string",
+    )
+    rows = [(i, " ".join(rng.choices("abcdefg", k=rng.randrange(0, 60)))) for i in range(60)]
+    rows += [(70, "a b c"), (70, "a b c"), (None, "a b c d e f a b"), (71, None)]
+    slop, length = 2, 5
+    plain = defaultdict(set)
+    for item in items.collect():
+        words = (item.text or "").split()
+        for at in range(max(1, len(words) - length + 1) if words else 0):
+            window = words[at : at + length]
+            for number, (_, text) in enumerate(rows):
+                own = (text or "").split()
+                for start in range(len(own)):
+                    rest = iter(own[start : start + len(window) + slop])
+                    if own[start] == window[0] and all(w in rest for w in window):
+                        plain[number].add(item.item_id)
+    got = phrase_index.contamination(make_docs(rows), items, length, slop=slop)
+    want = sorted(((key, len(plain[number])) for number, (key, _) in enumerate(rows)), key=str)
+    assert sorted(rows_of(got, "doc_id", "n_near"), key=str) == want
+    exact = phrase_index.contamination(make_docs(rows), items, length)
+    names = ("doc_id", "n_hit", "n_items", "items_sha256", "contaminated")
+    assert sorted(rows_of(exact, *names), key=str) == sorted(rows_of(got, *names), key=str)
+    assert exact.where("n_near <> n_items").count() == 0 and got.where("n_near > n_items").count() > 5
