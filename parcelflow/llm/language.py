@@ -13,6 +13,7 @@ the language are ignored.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,11 +24,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelflow.llm.words import byte_texts, chunks
+from parcelflow.sources import keep
 
 UNKNOWN = "und"
 WINDOW = 64
 # Known runs that every text is given, so that a few unknown ones of a short text do not decide.
 BENEFIT, MARGIN = 20, 0.05
+# Steps that shares are counted in, so that their quantile needs no sort.
+STEPS = 100_000
+# Number that stands for all documents where runs are counted, and runs that a task holds before it hands them on.
+ALL, HELD_RUNS = -1, 1 << 20
 # ASCII letters in lower case and all bytes of longer characters; anything else is zero.
 _LETTERS = bytes(b if b >= 0x80 or 97 <= b <= 122 else 0 for b in range(256))
 # Windows that go through the network side by side.
@@ -95,7 +101,7 @@ def _sample(docs: DataFrame, docs_per_language: int) -> DataFrame:
 
 @dataclass(frozen=True)
 class Familiar:
-    """Three-byte runs of letters of the sample, one bit for each, and the least share of them a text needs."""
+    """Three-byte runs of letters that are known, one bit for each, and the least share of them a text needs."""
 
     bits: np.ndarray
     least: float
@@ -106,25 +112,46 @@ class Familiar:
         return np.array([_share(known, _runs(text)) for text in texts])
 
 
-def learn_familiar(docs: DataFrame, docs_per_language: int = 400) -> Familiar | None:
+def learn_familiar(docs: DataFrame, rarest: int = 400) -> Familiar | None:
     """What texts of the known languages consist of, and how far a new text of them can depart.
 
-    Every second document of the sample is held against the runs of the others: the bound lies
-    below the shares of all but a few of a thousand, and further by ``MARGIN``.
+    All labelled rows are counted. A run is known if at least one of ``rarest`` documents of some
+    language has it. The documents of one half, by a hash, are held against the runs known from the
+    other: the bound lies below the shares of all but a few of a thousand, and further by ``MARGIN``.
     """
-    sample = _sample(docs, docs_per_language)
-    runs = sample.mapInArrow(_distinct_runs, "half int, run int").distinct().toPandas()  # at most 2^25
-    if not len(runs):
+    half = F.pmod(F.xxhash64("doc_id", "text"), F.lit(2)).cast("int").alias("half")
+    known = docs.where("lang IS NOT NULL AND length(text) > 0").select("lang", "text", half)
+    counted = known.mapInArrow(_count_runs, "lang string, half int, run int, n long")
+    counts = keep(counted.groupBy("lang", "half", "run").agg(F.sum("n").alias("n")), "runs")
+    whole = _frequent(counts.groupBy("lang", "run").agg(F.sum("n").alias("n")), rarest)
+    if whole is None:
         return None
-    halves = []
-    for half in (0, 1):
-        bits = np.zeros(1 << 24, np.uint8)
-        bits[runs["run"].to_numpy()[runs["half"].to_numpy() == half]] = 1
-        halves.append(bits)
-    first = Familiar(np.packbits(halves[0]), 0.0)
-    held = sample.where("place % 2 = 1").select("text").mapInArrow(_held_shares(first), "share double").toPandas()
-    least = float(np.quantile(held["share"], 0.002)) - MARGIN if len(held) else 0.0
-    return Familiar(np.packbits(halves[0] | halves[1]), least)
+    first = Familiar(_frequent(counts.where("half = 0"), rarest, whole), 0.0)
+    steps = known.where("half = 1").select("text").mapInArrow(_held_shares(first), "step int, n long")
+    held = steps.groupBy("step").agg(F.sum("n").alias("n")).orderBy("step").toPandas()  # at most STEPS + 1
+    least = _quantile(held["step"].to_numpy(), held["n"].to_numpy(), 0.002) / STEPS - MARGIN if len(held) else 0.0
+    return Familiar(whole, least)
+
+
+def _frequent(counts: DataFrame, rarest: int, default: np.ndarray | None = None) -> np.ndarray | None:
+    """Bits of the runs that one of ``rarest`` documents of a language has; ``default`` shapes those of no documents."""
+    totals = counts.where(F.col("run") == ALL).select(F.col("lang").alias("of"), F.col("n").alias("total"))
+    # One row per language.
+    rows = counts.where(F.col("run") != ALL).join(F.broadcast(totals), F.col("lang") == F.col("of"))
+    runs = rows.where(F.col("n") * rarest >= F.col("total")).select("run").distinct().toPandas()  # at most 2^24
+    if not len(runs):
+        return None if default is None else np.zeros_like(default)
+    bits = np.zeros(1 << 24, np.uint8)
+    bits[runs["run"].to_numpy()] = 1
+    return np.packbits(bits)
+
+
+def _quantile(values: np.ndarray, counts: np.ndarray, share: float) -> float:
+    """Quantile, between neighbours in proportion, of ascending values that occur so often each."""
+    upto = np.cumsum(counts)
+    place = share * (upto[-1] - 1)
+    low, high = (int(values[np.searchsorted(upto, at, side="right")]) for at in (int(place), int(np.ceil(place))))
+    return low + (high - low) * (place - int(place))
 
 
 def unfamiliar(docs: DataFrame, familiar: Familiar | None) -> DataFrame:
@@ -155,23 +182,49 @@ def _share(known: np.ndarray, runs: np.ndarray) -> float:
     return (int(known[runs].sum()) + BENEFIT) / (len(runs) + BENEFIT)
 
 
-def _distinct_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        places = batch.column("place").to_numpy()
-        texts = batch.column("text").to_pylist()
-        for half in (0, 1):
-            own = [_runs(text) for text, place in zip(texts, places) if place % 2 == half]
-            runs = np.unique(np.concatenate([*own, np.empty(0, np.int32)])).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(runs), half, np.int32)), pa.array(runs)], names=["half", "run"]
-            )
+def _count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents with each run by language and half, and under ``ALL`` their number."""
+    held: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]] = {}
+    for batch in (piece for whole in batches for piece in chunks([whole], "text")):
+        own = defaultdict(list)
+        columns = (batch.column(name).to_pylist() for name in ("lang", "half", "text"))
+        for lang, half, text in zip(*columns, strict=True):
+            own[lang, half] += [np.unique(_runs(text)), np.array([ALL], np.int32)]
+        for key, found in own.items():
+            runs, counts = np.unique(np.concatenate(found), return_counts=True)
+            if key in held:
+                runs, places = np.unique(np.concatenate([held[key][0], runs]), return_inverse=True)
+                counts = np.bincount(places, np.concatenate([held[key][1], counts])).astype(np.int64)
+            held[key] = runs, counts
+        if sum(len(runs) for runs, _ in held.values()) > HELD_RUNS:
+            yield _run_rows(held)
+            held.clear()
+    if held:
+        yield _run_rows(held)
+
+
+def _run_rows(held: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    sizes = [len(runs) for runs, _ in held.values()]
+    owner = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+    languages, halves = zip(*held, strict=True)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(languages, pa.string()).take(owner),
+            pa.array(halves, pa.int32()).take(owner),
+            pa.array(np.concatenate([runs for runs, _ in held.values()]).astype(np.int32)),
+            pa.array(np.concatenate([counts for _, counts in held.values()]).astype(np.int64)),
+        ],
+        names=["lang", "half", "run", "n"],
+    )
 
 
 def _held_shares(familiar: Familiar):
     def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """How many texts have each share, in steps."""
         for batch in batches:
             shares = familiar.shares(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array(shares, pa.float64())], names=["share"])
+            steps, counts = np.unique(np.floor(shares * STEPS).astype(np.int32), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(steps), pa.array(counts.astype(np.int64))], names=["step", "n"])
 
     return share
 

@@ -1,15 +1,17 @@
 """Queries of this package against their SQL, and the pipeline's stages."""
 
 import random
+from collections import Counter
 from pathlib import Path
 
 import __spark_entry__ as registry
 import corpus_pipeline
 import duckdb
+import numpy as np
 import pytest
 from compare import differences
 
-from parcelflow.llm import queries
+from parcelflow.llm import language, queries
 from parcelflow.sources import shared_dir
 
 TABLES = ("documents", "benchmark")
@@ -64,6 +66,24 @@ def test_language_stage_rejects_what_is_like_no_learned_language(spark, make_doc
     assert len(ids) >= 0.99 * docs.count()
 
 
+def test_known_runs_are_counted_over_all_documents(spark, make_docs):
+    rng = random.Random(3)
+    common = ["alpha", "bravo", "delta", "gamma", "kappa"]
+    marks = {place: "".join(rng.choices("jqxz", k=3)) for place in range(0, 990, 11)}
+    texts = []
+    for place in range(1000):
+        # Three documents in a row share a mark, and one in five hundred a rarer one.
+        mark = next((m for start, m in marks.items() if start <= place < start + 3), "")
+        texts.append(" ".join([*rng.choices(common, k=6), mark, "wvw" if place in (5, 505) else ""]))
+    rows = [(place, text, "en", "a") for place, text in enumerate(texts)]
+    got = language.learn_familiar(make_docs(rows))
+    in_documents = Counter(run for text in texts for run in set(language._runs(text).tolist()))
+    known = np.flatnonzero(np.unpackbits(got.bits)).tolist()
+    assert known == sorted(run for run, n in in_documents.items() if n * 400 >= 1000)
+    assert language._runs("wvw")[0] not in known and language._runs(marks[0])[0] in known
+    assert language.learn_familiar(make_docs([])) is None
+
+
 def test_pipeline_leaves_one_table(spark, sf_dir):
     before = set(Path(shared_dir(spark)).iterdir())
     result = corpus_pipeline.run(spark, sf_dir)
