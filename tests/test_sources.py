@@ -10,6 +10,7 @@ from parcelflow.sources import (
     discard, extract_links, fresh_dir, keep, latest_per_key, new_version, read_checked_extracts, read_delimited,
     read_extracts, read_layer, scope, shared_dir, stage, union_years, within_scope, write_layer,
 )
+from parcelflow.sources import delimited
 from parcelflow.sources.layers import layer_tables
 from pyspark.sql import functions as F
 from test_cleaning import LINES
@@ -91,6 +92,21 @@ def test_headers_of_many_files_take_few_jobs(spark, tmp_path):
     assert rows.count() == 501 and rows.where("a = '5' AND b = 'z'").count() == 1
 
 
+def test_headers_of_large_files_are_read_without_the_rest(spark, tmp_path, monkeypatch):
+    # The rest cannot be read: a compressed file that breaks off far behind its header.
+    body = "".join(f"{n}|{n * 7919 % 100003}\n" for n in range(400000))
+    whole = gzip.compress(("\n \na|b\n" + body).encode())
+    (tmp_path / "a.txt.gz").write_bytes(whole[: len(whole) * 3 // 4])
+    (tmp_path / "b.txt").write_text(" \n\n" * 20000)
+    (tmp_path / "c.txt").write_text("a|b\n1|2\n")
+    monkeypatch.setattr(delimited, "LARGE_FILE", 1 << 14)
+    groups, bad = delimited._by_header(spark, str(tmp_path), "|", "*.txt*", "file", False)
+    assert [(c, [p.rsplit("/", 1)[1] for p in paths]) for c, paths in groups.items()] == [
+        (("a", "b"), ["a.txt.gz", "c.txt"])
+    ]
+    assert bad == []
+
+
 def test_rejected_lines_and_files(spark, tmp_path):
     (tmp_path / "2019.txt").write_text("a|b|c\n1|2|3\n4|5\n6|7|8|9\n|\"x|y\"|z\n")
     (tmp_path / "2020.txt").write_text("c|a\n1|2\ncut of")
