@@ -5,8 +5,10 @@ import re
 import __spark_entry__ as registry
 import oracle
 import pytest
-from parcelflow.operators import impute_mean, surrogate_key, with_total
+from parcelflow.operators import build_star, impute_mean, surrogate_key, with_total
 from parcelflow.plans import marts, proxy
+from parcelflow.plans.medallion import SOURCE_COLUMN
+from parcelflow.sources import write_layer
 
 
 @pytest.fixture(scope="module")
@@ -98,3 +100,13 @@ def test_ranks_send_no_rows_to_one_task(spark, sf_dir, name):
     plan = plan_of(registry.queries()[name](spark, sf_dir))
     windows = [line for line in plan.splitlines() if "Window [" in line]
     assert all("__range" in line for line in windows)
+
+
+def test_rows_of_few_values_are_written_without_a_shuffle(spark, layers, tmp_path, monkeypatch):
+    hints = []
+    monkeypatch.setattr(type(layers.raw), "hint", lambda df, name, *args: hints.append(name) or df)
+    write_layer({"bronze": layers.bronze}, str(tmp_path), {"bronze": [SOURCE_COLUMN]}, rebalance=False)
+    build_star(layers.silver)
+    assert hints == []
+    build_star(layers.silver, broadcast_bytes=0)
+    assert hints == ["rebalance"]
