@@ -5,7 +5,7 @@ import re
 import __spark_entry__ as registry
 import oracle
 import pytest
-from parcelflow.operators import build_star, impute_mean, surrogate_key, with_total
+from parcelflow.operators import attach_keys, build_dimensions, build_star, impute_mean, surrogate_key, with_total
 from parcelflow.plans import marts, proxy
 from parcelflow.plans.medallion import SOURCE_COLUMN
 from parcelflow.sources import write_layer
@@ -110,3 +110,11 @@ def test_rows_of_few_values_are_written_without_a_shuffle(spark, layers, tmp_pat
     assert hints == []
     build_star(layers.silver, broadcast_bytes=0)
     assert hints == ["rebalance"]
+
+
+def test_salted_keys_shuffle_no_column_that_is_not_asked_for(layers):
+    dimensions = build_dimensions(layers.silver)
+    keyed = attach_keys(layers.silver, dimensions, broadcast_bytes=0, hot_rows=50).select("id_local")
+    plan = keyed._jdf.queryExecution().optimizedPlan().toString()
+    # One hash of all columns below the joins, not one more in each of them.
+    assert sum("xxhash64" in line and "surface_terrain" in line for line in plan.splitlines()) == 1
