@@ -5,7 +5,7 @@ import datetime
 import pytest
 from parcelflow.functions import lenient_int
 from parcelflow.operators import (
-    CleanSpec, build_dimension, build_star, carry_forward, clean, impute_mean,
+    CleanSpec, build_dimension, build_star, carry_forward, clean, dedup_rows, impute_mean,
     normalise_names, rebate_price, star_integrity, DIMENSIONS,
 )
 from parcelflow.plans import marts
@@ -144,3 +144,16 @@ def test_rebate_by_a_table_equals_the_list(spark):
     by_table, by_list = rebate_price(df, listed), rebate_price(df, (75, 77))
     assert by_table.columns == by_list.columns
     assert sorted(map(str, by_table.collect())) == sorted(map(str, by_list.collect()))
+
+
+def test_dedup_compares_rows_only_where_equal_ones_meet(spark):
+    rows = [("a", 0.0, None), ("a", -0.0, None), ("b", float("nan"), 1), ("b", float("nan"), 1), (None, None, None),
+            (None, None, None), ("", None, None), ("a", 0.0, 1)]
+    df = spark.createDataFrame(rows, "`a.b` string, v double, n int").repartition(3)
+    once = dedup_rows(df)
+    assert sorted(map(str, once.collect())) == sorted(map(str, df.dropDuplicates().collect()))
+    assert dedup_rows(df, ["n"]).count() == 2
+    plan = dedup_rows(df)._jdf.queryExecution().executedPlan().toString()
+    # No hash table of whole rows is built before the shuffle, and there is one shuffle of them.
+    assert "Aggregate" not in plan[plan.index("Exchange hashpartitioning"):]
+    assert plan.count("Exchange hashpartitioning") == 1
