@@ -157,3 +157,14 @@ def test_dedup_compares_rows_only_where_equal_ones_meet(spark):
     # No hash table of whole rows is built before the shuffle, and there is one shuffle of them.
     assert "Aggregate" not in plan[plan.index("Exchange hashpartitioning"):]
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_columns_that_clean_adds_are_not_shuffled(spark):
+    header, *lines = [line.split("|") for line in LINES.splitlines()]
+    raw = spark.createDataFrame([[v or None for v in line] for line in lines], ", ".join(f"`{c}` string" for c in header))
+    plan = clean(raw)._jdf.queryExecution().executedPlan().toString()
+    dealt = next(line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
+    assert "valeur_fonciere" in dealt and "prix_a_payer" not in dealt and "jour" not in dealt
+    assert clean(raw).columns[-4:] == ["annee", "mois", "jour", "prix_a_payer"]
+    # A raw column that is replaced keeps no rows apart.
+    assert clean(raw.withColumn("mois", F.monotonically_increasing_id().cast("string"))).count() == 3
