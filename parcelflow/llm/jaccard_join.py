@@ -315,7 +315,8 @@ def _remaining_pairs(
     few open documents have, so that other frequent passages come late as well.
 
     A cell is a hash of a leader and one difference to it; two that collide
-    only add a pair that is then found not to be linked.
+    only add a pair that is then found not to be linked. Leaders are taken in batches, so that
+    what is shuffled and written at once grows with the sets, not with the pairs of sets and leaders.
     """
     spark = texts.sparkSession
     leaders = _leaders(labelled).select("signature", F.col("leader.doc_id").alias("leader"))
@@ -335,24 +336,13 @@ def _remaining_pairs(
     for row in keep(tallied, "tallied", base=passing).collect():  # at most BUCKETS rows
         counts[row.bucket] = row.n
     discard(spark, f"{passing}/texts")
-    own = reduced.select(F.col("known_id").alias("doc_id"), "values")
-    central = reduced.join(
-        members.select(F.col("leader").alias("known_id")).distinct(), "known_id", "left_semi"
-    ).select(F.col("known_id").alias("leader"), F.col("values").alias("leader_values"))
-    met_leader = members.join(own, "doc_id").join(central, "leader")
-    placed = keep(
-        met_leader.mapInArrow(
-            _in_order(similarity, counts),
-            "leader long, value long, doc_id long, label long, size int, differing int, place int",
-        ).select(F.xxhash64("leader", "value").alias("cell"), "doc_id", "label", "size", "differing", "place"),
-        "places",
-        base=passing,
-    )
+    batches = _leader_batches(members, reduced)
+    held, central = _with_own_leaders(members, reduced, passing)
     discard(spark, f"{passing}/reduced")
-    labels = placed.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    met = stage(labels.where("low < high").select("cell"), "met", passing)
-    rows = keep(placed.join(_small(met), "cell", "left_semi"), "met-places", base=passing)
-    discard(spark, f"{passing}/places")
+    rows = _all([
+        _met_places(held, central, similarity, counts, (number, batches), passing) for number in range(batches)
+    ])
+    discard(spark, f"{passing}/held")
     partners = rows.select(
         "cell", *[F.col(c).alias(f"other_{c}") for c in ("doc_id", "label", "size", "differing", "place")]
     )
@@ -376,6 +366,65 @@ def _remaining_pairs(
     )
 
 
+def _leader_batches(members: DataFrame, reduced: DataFrame) -> int:
+    """So many batches of leaders that one takes about as many elements as there are in all sets.
+
+    A set is looked at once for each of its leaders, and sets of larger tables have more of them.
+    """
+    asked = members.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first().n
+    known = reduced.agg(F.coalesce(F.sum(F.octet_length("values")), F.lit(0)).alias("n")).first().n // 4
+    return max(1, -(-asked // max(1, known)))
+
+
+def _with_own_leaders(members: DataFrame, reduced: DataFrame, base: str) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, leaders, values`` of each member, and ``leader, leader_values``.
+
+    A set has no more leaders than signatures, so they fit in its row.
+    """
+    known = F.struct("leader", "label", "size")
+    led = members.groupBy("doc_id").agg(F.collect_list(known).alias("leaders"))
+    own = reduced.select(F.col("known_id").alias("doc_id"), "values")
+    central = reduced.join(
+        members.select(F.col("leader").alias("known_id")).distinct(), "known_id", "left_semi"
+    ).select(F.col("known_id").alias("leader"), F.col("values").alias("leader_values"))
+    return keep(led.join(own, "doc_id"), "held", base=base), keep(central, "central", base=base)
+
+
+def _met_places(
+    held: DataFrame,
+    central: DataFrame,
+    similarity: Similarity,
+    counts: np.ndarray,
+    batch: tuple[int, int],
+    base: str,
+) -> DataFrame:
+    """Differences of one batch of leaders that sets of several components have.
+
+    Cells hold one leader each, so those of different batches never meet.
+    """
+    number, batches = batch
+
+    def in_batch(leader):
+        return F.pmod(F.xxhash64(leader), F.lit(batches)) == number
+
+    mine = F.filter("leaders", lambda led: in_batch(led["leader"]))
+    members = held.select("doc_id", "values", F.explode(mine).alias("led")).select("doc_id", "values", "led.*")
+    placed = keep(
+        members.join(central.where(in_batch("leader")), "leader").mapInArrow(
+            _in_order(similarity, counts),
+            "leader long, value long, doc_id long, label long, size int, differing int, place int",
+        ).select(F.xxhash64("leader", "value").alias("cell"), "doc_id", "label", "size", "differing", "place"),
+        "places",
+        base=base,
+    )
+    labels = placed.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    met = stage(labels.where("low < high").select("cell"), f"met-{number}", base)
+    rows = keep(placed.join(_small(met), "cell", "left_semi"), f"met-places-{number}", base=base)
+    discard(held.sparkSession, f"{base}/places")
+    discard(held.sparkSession, f"{base}/met-{number}")
+    return rows
+
+
 def _untested(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
     return pairs if tested is None else pairs.join(tested, ["one", "other"], "left_anti")
 

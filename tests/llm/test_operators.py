@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from parcelflow import sources
 from parcelflow.llm import (
     components,
     factorization,
@@ -174,6 +175,33 @@ def test_linked_sets_share_a_signature():
             assert len(shared)
 
 
+def test_differences_to_leaders_are_written_in_batches(spark, make_docs, monkeypatch):
+    rng, similarity = random.Random(5), jaccard_join.Similarity()
+    base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    docs = [(i, " ".join(f"v{rng.randrange(10**6)}" for _ in range(200))) for i in range(1, 7)]
+    docs += [(i, " ".join([*base[: 10 * i], f"x{i}", *base[10 * i + 1 :]])) for i in range(11, 19)]
+    # Each of six leaders shares a signature with all of eight near copies, none of which is known to be one.
+    rows = [(s, i, 197, 9, 100 if i < 11 else 1, i) for s in range(1, 7) for i, _ in docs if i in (s, *range(11, 19))]
+    labelled = spark.createDataFrame(rows, "signature long, doc_id long, size int, members long, weight long, label long")
+    real, written = jaccard_join.keep, []
+
+    def keep(df, name, **options):
+        kept = real(df, name, **options)
+        if name == "places":
+            written.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(jaccard_join, "keep", keep)
+    texts = make_docs(docs).select("doc_id", "text")
+    with sources.scope(spark, "batches"):
+        base_dir = sources.fresh_dir(spark, "batches")
+        pairs = jaccard_join._remaining_pairs(labelled, similarity, texts, base_dir)
+        found = set(rows_of(pairs, "one", "other"))
+    assert found == {(a, b) for a in range(11, 19) for b in range(a + 1, 19)}
+    # Eight sets are looked at by six leaders each; no batch holds most of these looks.
+    assert len(written) > 1 and 2 * max(written) <= sum(written)
+
+
 def test_jaccard_join_on_odd_rows(make_docs):
     found = jaccard_join.linked_documents(make_docs(ODD_ROWS))
     got = Counter(rows_of(found, "doc_id", "n_shingles", "component_id"))
