@@ -6,7 +6,7 @@ from parcelflow.sources.delimited import (
     read_extracts,
     union_years,
 )
-from parcelflow.sources.layers import new_version, read_layer, write_layer, write_table
+from parcelflow.sources.layers import new_version, read_layer, write_layer, write_settings, write_table
 from parcelflow.sources.links import extract_links, latest_per_key
 from parcelflow.sources.staging import (
     Staged,
@@ -41,5 +41,6 @@ __all__ = [
     "union_years",
     "within_scope",
     "write_layer",
+    "write_settings",
     "write_table",
 ]

@@ -145,6 +145,31 @@ def test_hot_keys_are_spread(skewed):
     assert hot[1] == 7 and len(hot) <= 20
 
 
+def test_hot_keys_of_cheap_facts_are_the_same(spark, skewed):
+    missing = spark.range(400).select(F.lit(None).cast("int").alias("g"))
+    facts = skewed.select("g").union(missing)
+    for hot_rows in (1, 150, 10_000):
+        plain = joins.hot_keys(facts, ["g"], hot_rows).df
+        assert bag(joins.hot_keys(facts, ["g"], hot_rows, cheap=True).df) == bag(plain)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("null_safe", [False, True])
+@pytest.mark.parametrize("hot_rows", [150, 10_000])
+def test_hashed_join_sorts_nothing(spark, skewed, how, null_safe, hot_rows):
+    """Neither with hot keys nor without them; without them there are no salts."""
+    dim = spark.createDataFrame([(None, "none")] + [(k, f"name {k}") for k in range(1, 30)], "g int, name string")
+    options = {"broadcast_bytes": 0, "hot_rows": hot_rows, "counted": skewed}
+    large = dimension_join(skewed, dim, ["g"], how, null_safe, hashed_bytes=joins.HASHED_BYTES, **options)
+    plan = large._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert ("__salt" in plan) == (hot_rows == 150)
+    assert bag(large) == bag(dimension_join(skewed, dim, ["g"], how, null_safe))
+    # A dimension too large for that is merged.
+    merged = dimension_join(skewed, dim, ["g"], how, null_safe, **options)
+    assert "ShuffledHashJoin" not in merged._jdf.queryExecution().executedPlan().toString()
+
+
 def test_copies_of_a_hot_row_are_spread(spark):
     """Copies in different tasks get different salts."""
     copies = spark.range(0, 8000, 1, 8).select(F.lit(1).alias("g"), F.lit("same").alias("v"))

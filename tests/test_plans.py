@@ -55,6 +55,24 @@ def test_means_read_their_columns_only(layers):
         assert schema == "struct<surface_terrain:double>"
 
 
+def test_text_is_written_from_the_tables_alone(spark, sf_dir):
+    """One pass over the lines and no bronze for a query that reads its rows once; the same rows as with bronze."""
+    fresh = proxy.Layers(spark, sf_dir)
+    plan = plan_of(fresh.raw_once)
+    assert len(re.findall(r"FileScan parquet \[l_orderkey", plan)) == 1
+    without = registry._scan_delimited(fresh)
+    assert "bronze" not in fresh._built
+    assert fresh.bronze.count() == without.count() > fresh.table("lineitem").count()
+    assert "lineitem.parquet" not in plan_of(fresh.raw_once)
+    with_bronze = registry._scan_delimited(fresh)
+    assert without.exceptAll(with_bronze).isEmpty() and with_bronze.exceptAll(without).isEmpty()
+
+
+def test_one_extract_reads_no_file_of_another(layers):
+    plan = plan_of(layers.extract(1998))
+    assert re.search(r"PartitionFilters: \[[^\]]*annee_source", plan)
+
+
 def test_year_filter_skips_partitions(layers):
     plan = plan_of(marts.flat_extract(layers.star, 2000, 2001))
     assert "PartitionFilters: [isnotnull(annee" in plan
