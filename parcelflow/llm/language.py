@@ -14,13 +14,13 @@ the language are ignored.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelflow.llm.words import byte_texts, chunks
@@ -101,49 +101,72 @@ def _sample(docs: DataFrame, docs_per_language: int) -> DataFrame:
 
 @dataclass(frozen=True)
 class Familiar:
-    """Three-byte runs of letters that are known, one bit for each, and the least share of them a text needs."""
+    """Three-byte runs of letters that are known of any language, and the least share of them a text needs.
+
+    There is a bit for each run. ``own_runs`` and ``own_least`` have the same for each language alone.
+    """
 
     bits: np.ndarray
     least: float
+    own_runs: dict[str, np.ndarray]
+    own_least: dict[str, float]
+
+    def shares(self, texts: list[str], languages: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Shares of the runs of each text that any and that its language knows, with ``BENEFIT`` known ones added.
 
-    def shares(self, texts: list[str]) -> np.ndarray:
-        """Share of the runs of each text that are known, with ``BENEFIT`` known ones added."""
-        known = np.unpackbits(self.bits)
-        return np.array([_share(known, _runs(text)) for text in texts])
+        Of a language without known runs the second share is 1.
+        """
+        own = {lang: _bits(self.own_runs[lang]) for lang in set(languages) & set(self.own_runs)}
+        runs = [_runs(text) for text in texts]
+        return (
+            np.array([_share(self.bits, found) for found in runs]),
+            np.array([_share(own[g], found) if g in own else 1.0 for g, found in zip(languages, runs, strict=True)]),
+        )
 
 
 def learn_familiar(docs: DataFrame, rarest: int = 400) -> Familiar | None:
     """What texts of the known languages consist of, and how far a new text of them can depart.
 
-    All labelled rows are counted. A run is known if at least one of ``rarest`` documents of some
-    language has it. The documents of one half, by a hash, are held against the runs known from the
-    other: the bound lies below the shares of all but a few of a thousand, and further by ``MARGIN``.
+    All labelled rows are counted. A run is known of a language if at least one of ``rarest`` of its
+    documents has it. The documents of one half, by a hash, are held against the runs known from the
+    other, of any language and of their own: each bound lies below the shares of all but a few of a
+    thousand, and further by ``MARGIN``.
     """
     half = F.pmod(F.xxhash64("doc_id", "text"), F.lit(2)).cast("int").alias("half")
     known = docs.where("lang IS NOT NULL AND length(text) > 0").select("lang", "text", half)
     counted = known.mapInArrow(_count_runs, "lang string, half int, run int, n long")
     counts = keep(counted.groupBy("lang", "half", "run").agg(F.sum("n").alias("n")), "runs")
     whole = _frequent(counts.groupBy("lang", "run").agg(F.sum("n").alias("n")), rarest)
-    if whole is None:
+    if not whole:
         return None
-    first = Familiar(_frequent(counts.where("half = 0"), rarest, whole), 0.0)
-    steps = known.where("half = 1").select("text").mapInArrow(_held_shares(first), "step int, n long")
-    held = steps.groupBy("step").agg(F.sum("n").alias("n")).orderBy("step").toPandas()  # at most STEPS + 1
-    least = _quantile(held["step"].to_numpy(), held["n"].to_numpy(), 0.002) / STEPS - MARGIN if len(held) else 0.0
-    return Familiar(whole, least)
+    first = _frequent(counts.where("half = 0"), rarest)
+    halved = Familiar(_bits(*first.values()), 0.0, first, {})
+    steps = known.where("half = 1").select("lang", "text").mapInArrow(_held_shares(halved), "lang string, step int, n long")
+    held = steps.groupBy("lang", "step").agg(F.sum("n").alias("n")).toPandas()  # at most STEPS + 1 of a language
+    least = {lang: _least(held[held["lang"] == lang]) for lang in whole}
+    return Familiar(_bits(*whole.values()), _least(held[held["lang"].isna()]), whole, least)
 
 
-def _frequent(counts: DataFrame, rarest: int, default: np.ndarray | None = None) -> np.ndarray | None:
-    """Bits of the runs that one of ``rarest`` documents of a language has; ``default`` shapes those of no documents."""
+def _frequent(counts: DataFrame, rarest: int) -> dict[str, np.ndarray]:
+    """Runs that one of ``rarest`` documents of a language has, of each language that has any."""
     totals = counts.where(F.col("run") == ALL).select(F.col("lang").alias("of"), F.col("n").alias("total"))
     # One row per language.
     rows = counts.where(F.col("run") != ALL).join(F.broadcast(totals), F.col("lang") == F.col("of"))
-    runs = rows.where(F.col("n") * rarest >= F.col("total")).select("run").distinct().toPandas()  # at most 2^24
-    if not len(runs):
-        return None if default is None else np.zeros_like(default)
-    bits = np.zeros(1 << 24, np.uint8)
-    bits[runs["run"].to_numpy()] = 1
-    return np.packbits(bits)
+    runs = rows.where(F.col("n") * rarest >= F.col("total")).select("lang", "run").toPandas()  # at most 2^24 of a language
+    return {lang: own["run"].to_numpy() for lang, own in runs.groupby("lang")}
+
+
+def _bits(*runs: np.ndarray) -> np.ndarray:
+    bits = np.zeros(1 << 21, np.uint8)
+    for some in runs:
+        np.bitwise_or.at(bits, some >> 3, (0x80 >> (some & 7)).astype(np.uint8))
+    return bits
+
+
+def _least(held: pd.DataFrame) -> float:
+    """Bound below shares that were counted in steps."""
+    held = held.sort_values("step")
+    return _quantile(held["step"].to_numpy(), held["n"].to_numpy(), 0.002) / STEPS - MARGIN if len(held) else 0.0
 
 
 def _quantile(values: np.ndarray, counts: np.ndarray, share: float) -> float:
@@ -154,19 +177,19 @@ def _quantile(values: np.ndarray, counts: np.ndarray, share: float) -> float:
     return low + (high - low) * (place - int(place))
 
 
-def unfamiliar(docs: DataFrame, familiar: Familiar | None) -> DataFrame:
-    """``doc_id`` of the rows whose text is not like those of any known language."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+def unfamiliar(told: DataFrame, familiar: Familiar | None) -> Column:
+    """Whether a text of ``told`` is not like those of any known language, or not like those of the language told."""
     if familiar is None:
-        return texts.where(F.lit(False)).select("doc_id")
+        return F.lit(False)
+    return (F.col("share") < familiar.least) | _below("own_share", familiar.own_least)
 
-    def strange(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            shares = familiar.shares(batch.column("text").to_pylist())
-            yield batch.select(["doc_id"]).filter(pa.array(shares < familiar.least))
 
-    return texts.mapInArrow(strange, f"doc_id {kind}")
+def _below(measure: str, least: dict[str, float]) -> Column:
+    """Whether a measure lies below the bound of the language told, if that has one."""
+    if not least:
+        return F.lit(False)
+    bounds = F.create_map(*[F.lit(x) for bound in least.items() for x in bound])
+    return F.coalesce(F.col(measure) < bounds[F.col("lang_pred")], F.lit(False))
 
 
 def _runs(text: str) -> np.ndarray:
@@ -178,8 +201,9 @@ def _runs(text: str) -> np.ndarray:
     return ((data[:-2] << 16) | (data[1:-1] << 8) | data[2:])[inside]
 
 
-def _share(known: np.ndarray, runs: np.ndarray) -> float:
-    return (int(known[runs].sum()) + BENEFIT) / (len(runs) + BENEFIT)
+def _share(bits: np.ndarray, runs: np.ndarray) -> float:
+    known = np.count_nonzero(bits[runs >> 3] & (0x80 >> (runs & 7)).astype(np.uint8))
+    return (known + BENEFIT) / (len(runs) + BENEFIT)
 
 
 def _count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,11 +244,18 @@ def _run_rows(held: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]]) -> pa.
 
 def _held_shares(familiar: Familiar):
     def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """How many texts have each share, in steps."""
-        for batch in batches:
-            shares = familiar.shares(batch.column("text").to_pylist())
-            steps, counts = np.unique(np.floor(shares * STEPS).astype(np.int32), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(steps), pa.array(counts.astype(np.int64))], names=["step", "n"])
+        """How many texts of each language have each share of runs known of it, in steps; without a language, of any."""
+        for batch in (piece for whole in batches for piece in chunks([whole], "text")):
+            languages = batch.column("lang").to_pylist()
+            of_any, of_own = familiar.shares(batch.column("text").to_pylist(), languages)
+            of = np.array(languages)
+            held = [(None, of_any), *((lang, of_own[of == lang]) for lang in set(languages))]
+            for lang, shares in held:
+                steps, counts = np.unique(np.floor(shares * STEPS).astype(np.int32), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(steps), pa.string()), pa.array(steps), pa.array(counts.astype(np.int64))],
+                    names=["lang", "step", "n"],
+                )
 
     return share
 
@@ -443,16 +474,35 @@ class Labeller:
         return np.add.reduceat(sums, ends - counts, axis=0) / sizes[:, None]
 
 
-def identify(docs: DataFrame, network: Network | None) -> DataFrame:
-    """``doc_id, lang_pred, score`` of every row, from its text alone."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def identify(
+    docs: DataFrame, network: Network | None, familiar: Familiar | None = None, also: Sequence[str] = ()
+) -> DataFrame:
+    """``doc_id, lang_pred, score`` of every row, from its text alone, and its columns ``also`` as they are.
+
+    With ``familiar`` there are ``share, own_share`` too: the shares of its runs that any language and
+    that the language told knows.
+    """
+    kinds = {c: f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in ["doc_id", *also]}
     lettered = F.when(F.col("text").rlike(r"\p{L}"), F.col("text"))
-    return docs.select("doc_id", lettered.alias("text")).mapInArrow(
-        _label(network), f"doc_id {kind}, lang_pred string, score double"
-    )
+    rows = docs.select("doc_id", lettered.alias("text"), *[f"`{c}`" for c in also])
+    shares = ["share double", "own_share double"] if familiar else []
+    schema = [kinds["doc_id"], "lang_pred string", "score double", *shares, *[kinds[c] for c in also]]
+    return rows.mapInArrow(_label(network, familiar, also), ", ".join(schema))
 
 
-def _label(network: Network | None):
+def doubtful(told: DataFrame) -> Column:
+    """Whether the network scores a row of ``told`` lower than almost all texts that it takes for the same language.
+
+    All labelled rows that it is right about are counted: the bound lies below the scores of all but
+    a few of a thousand of them, and further by ``MARGIN``.
+    """
+    right = told.where(F.col("lang_pred") == F.col("lang"))
+    steps = right.groupBy("lang_pred", F.floor(F.col("score") * STEPS).alias("step")).agg(F.count("*").alias("n"))
+    counts = steps.toPandas()  # at most STEPS + 1 of a language
+    return _below("score", {lang: _least(own) for lang, own in counts.groupby("lang_pred")})
+
+
+def _label(network: Network | None, familiar: Familiar | None, also: Sequence[str]):
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(network) if network else None
         for batch in (piece for whole in batches for piece in chunks([whole], "text")):
@@ -463,9 +513,11 @@ def _label(network: Network | None):
                 means = labeller.documents([texts[row] for row in rows])
                 for row, best, score in zip(rows, means.argmax(axis=1), means.max(axis=1), strict=True):
                     languages[row], scores[row] = network.languages[best], min(1.0, float(score))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(languages, pa.string()), pa.array(scores)],
-                names=["doc_id", "lang_pred", "score"],
-            )
+            found = {"doc_id": batch.column("doc_id"), "lang_pred": pa.array(languages, pa.string()), "score": pa.array(scores)}
+            if familiar:
+                shares = familiar.shares([text or "" for text in batch.column("text").to_pylist()], languages)
+                found |= {"share": pa.array(shares[0]), "own_share": pa.array(shares[1])}
+            found |= {c: batch.column(c) for c in also}
+            yield pa.RecordBatch.from_arrays(list(found.values()), names=list(found))
 
     return label

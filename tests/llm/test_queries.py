@@ -84,6 +84,55 @@ def test_known_runs_are_counted_over_all_documents(spark, make_docs):
     assert language.learn_familiar(make_docs([])) is None
 
 
+def made_texts(rng, letters, count, words=60):
+    """Texts from a vocabulary of their own."""
+    known = ["".join(rng.choices(letters, k=5)) for _ in range(40)]
+    return [" ".join(rng.choices(known, k=words)) for _ in range(count)]
+
+
+def test_language_stage_rejects_texts_unlike_the_language_they_are_taken_for(spark, make_docs):
+    rng = random.Random(5)
+    first, second = made_texts(rng, "abcdefghijkl", 130), made_texts(rng, "mnopqrstuvwx", 130)
+    rows = [(i, text, lang, "a") for lang, texts in (("aa", first), ("bb", second)) for i, text in enumerate(texts[:120])]
+    rows = [(place, *row[1:]) for place, row in enumerate(rows)]
+    clean = {10**6 + i: text for i, text in enumerate(first[120:] + second[120:])}
+    # Every run of these is known, but half of them of the other language; a label does not help.
+    mixed = {2 * 10**6 + i: f"{a} {b}" for i, (a, b) in enumerate(zip(first[120:], second[120:], strict=True))}
+    rows += [(key, text, None, "a") for key, text in (clean | mixed).items()]
+    rows.append((3 * 10**6, f"{second[125]} {first[125]}", "aa", "a"))
+    kept = {r.doc_id for r in corpus_pipeline.known_language(spark, make_docs(rows), "").collect()}
+    assert not kept & {*mixed, 3 * 10**6}
+    assert kept >= set(clean) and len(kept & set(range(240))) >= 236
+
+
+def test_runs_are_held_against_the_language_told(spark, make_docs):
+    rng = random.Random(6)
+    texts = {"aa": made_texts(rng, "abcdefgh", 30), "bb": made_texts(rng, "stuvwxyz", 50)}
+    rows = [(i, text, lang, "a") for lang in texts for i, text in enumerate(texts[lang])]
+    familiar = language.learn_familiar(make_docs(rows))
+    for lang, own in texts.items():
+        assert sorted(familiar.own_runs[lang]) == sorted({r for t in own for r in language._runs(t).tolist()})
+    docs = make_docs([(1, texts["aa"][0]), (2, texts["bb"][0]), (3, "jkqv " * 30), (4, None), (5, "...")])
+    zeros = language.Direction(np.zeros((6, 256), np.float32), np.zeros((6, 2), np.float32))
+    for lang, strange in (("aa", {2, 3}), ("bb", {1, 3}), ("zz", {3})):
+        # A network that takes every text for one language.
+        network = language.Network([lang], zeros, zeros, np.zeros((1, 4), np.float32), np.zeros((1, 1), np.float32))
+        told = language.identify(docs, network, familiar, also=["source"])
+        assert told.columns == ["doc_id", "lang_pred", "score", "share", "own_share", "source"]
+        assert {r.doc_id for r in told.where(language.unfamiliar(told, familiar)).collect()} == strange
+        assert told.where(language.unfamiliar(told, None)).count() == 0
+
+
+def test_scores_are_held_against_those_of_the_language_told(spark):
+    rows = [(i, "aa", "aa", 0.9) for i in range(1000)] + [(i, "bb", "bb", 0.6) for i in range(1000)]
+    # Neither wrong labels nor missing ones move a bound.
+    rows += [(-1, "aa", "aa", 0.8), (-2, "aa", None, 0.86), (-3, "bb", None, 0.56), (-4, "bb", "aa", 0.5), (-5, "und", "und", 0.0)]
+    rows += [(-6, "cc", None, 0.1), (-7, "und", None, 0.0)] + [(-4, "bb", "aa", 0.5)] * 50
+    told = spark.createDataFrame(rows, "doc_id long, lang_pred string, lang string, score double")
+    assert {r.doc_id for r in told.where(language.doubtful(told)).collect()} == {-1, -4}
+    assert told.where("doc_id < -5").where(language.doubtful(told.limit(0))).count() == 0
+
+
 def test_pipeline_leaves_one_table(spark, sf_dir):
     before = set(Path(shared_dir(spark)).iterdir())
     result = corpus_pipeline.run(spark, sf_dir)
