@@ -234,11 +234,15 @@ def _cells(codebook: Codebook):
 
 
 def _walk(codebook: Codebook, sizes: dict[tuple[int, int], int], enough: float):
+    width = -(-len(codebook.second) // 8)
+
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for probe, vector in zip(batch["probe"], batch["vec"], strict=True):
-                for c1, cells in cells_in_order(codebook, sizes, enough, np.asarray(vector)).items():
+                for c1, bits in cells_in_order(codebook, sizes, enough, np.asarray(vector)).items():
+                    data = np.frombuffer(bits.to_bytes(width, "little"), np.uint8)
+                    cells = np.flatnonzero(np.unpackbits(data, bitorder="little")).tolist()
                     rows.append((probe, vector, c1, cells))
             yield pd.DataFrame(rows, columns=["probe", "vec", "c1", "cells"])
 
@@ -247,8 +251,8 @@ def _walk(codebook: Codebook, sizes: dict[tuple[int, int], int], enough: float):
 
 def cells_in_order(
     codebook: Codebook, sizes: dict[tuple[int, int], int], enough: float, query: np.ndarray
-) -> dict[int, list[int]]:
-    """The second centroids visited with each first one, best sums first.
+) -> dict[int, int]:
+    """The second centroids visited with each first one, a bit for each, best sums first.
 
     The heap holds, for each first centroid reached, its next pair: a pair is
     pushed when the one before it in its row or the head of the row before is
@@ -258,14 +262,14 @@ def cells_in_order(
     near2 = query[codebook.half :] @ codebook.second.T
     rows, columns = np.argsort(-near1, kind="stable"), np.argsort(-near2, kind="stable")
     heap = [(-(near1[rows[0]] + near2[columns[0]]), 0, 0)]
-    visited: dict[int, list[int]] = {}
+    visited: dict[int, int] = {}
     reached = 0
     while heap and reached < enough:
         _, i, j = heapq.heappop(heap)
         c1, c2 = int(rows[i]), int(columns[j])
         if held := sizes.get((c1, c2)):
             reached += held
-            visited.setdefault(c1, []).append(c2)
+            visited[c1] = visited.get(c1, 0) | 1 << c2
         if j + 1 < len(columns):
             heapq.heappush(heap, (-(near1[rows[i]] + near2[columns[j + 1]]), i, j + 1))
         if j == 0 and i + 1 < len(rows):
